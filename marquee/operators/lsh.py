@@ -1,0 +1,89 @@
+"""Approximate nearest items: locality-sensitive hashing ahead of the exact scorer.
+
+Unit vectors are hashed by random projections. Several projections together make one
+signature, and a user is scored against the items that share a signature in any band.
+A crowded signature is cut into cells of bounded size like the exact search, and a cell
+gives k rows per user instead of all its pairs.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, functions as F
+
+from marquee.functions.vectors import unit
+from marquee.operators.topk import ITEMS_PER_CELL, USERS_PER_CELL, best_of, score_cells
+
+
+def top_k_lsh(
+    users: DataFrame,
+    items: DataFrame,
+    k: int,
+    bands: int = 8,
+    projections: int = 2,
+    bucket_length: float = 0.25,
+    seed: int = 42,
+    user_col: str = "user_id",
+    item_col: str = "movie_id",
+    features: str = "features",
+    users_per_cell: int = USERS_PER_CELL,
+    items_per_cell: int = ITEMS_PER_CELL,
+) -> DataFrame:
+    """(user, item, score, rank) by cosine; a true neighbour that shares no signature is missed.
+
+    More bands raise recall; more projections or shorter buckets make smaller candidate sets.
+    """
+    all_users = _hashable(users, user_col, features).withColumnsRenamed({"_id": "_user", "_f": "_uf"})
+    all_items = _hashable(items, item_col, features).withColumnsRenamed({"_id": "_item", "_f": "_if"})
+    hasher = BucketedRandomProjectionLSH(
+        inputCol="_unit", outputCol="_hashes", bucketLength=bucket_length, numHashTables=bands * projections, seed=seed
+    ).fit(all_items)
+    left = _signed(hasher, all_users, bands, projections).select("_user", "_uf", "_sig")
+    right = _signed(hasher, all_items, bands, projections).select("_item", "_if", "_sig")
+
+    # A projection of a unit vector lies in [-1, 1]: there are at most
+    # bands * (2 / bucket_length + 2) ** projections signatures, however many vectors.
+    bound = bands * (2 / bucket_length + 2) ** projections
+    sizes = (
+        left.groupBy("_sig").agg(F.ceil(F.count("*") / users_per_cell).cast("int").alias("_user_blocks"))
+        .join(right.groupBy("_sig").agg(F.ceil(F.count("*") / items_per_cell).cast("int").alias("_item_blocks")), "_sig")
+    )
+    sizes = F.broadcast(sizes) if bound <= 1_000_000 else sizes
+
+    left = left.join(sizes, "_sig").select(
+        "_user", "_uf", "_sig", _place("_user", "_user_blocks").alias("_ub"), _every("_item_blocks").alias("_ib")
+    )
+    right = right.join(sizes, "_sig").select(
+        "_item", "_if", "_sig", _place("_item", "_item_blocks").alias("_ib"), _every("_user_blocks").alias("_ub")
+    )
+    found = score_cells(left, right, ["_sig", "_ub", "_ib"], k, "cosine")
+    # A pair met in several bands has the same score in each.
+    once = found.select("_user", "_item", "_score").distinct()
+    return best_of(once, k).select(
+        F.col("_user").alias(user_col), F.col("_item").alias(item_col), F.col("_score").alias("score"), F.col("_rank").alias("rank")
+    )
+
+
+def _hashable(df: DataFrame, id_column: str, features: str) -> DataFrame:
+    """Vectors with a direction; a zero vector has no neighbours."""
+    scaled = df.select(F.col(id_column).alias("_id"), F.col(features).alias("_f"), unit(F.col(features)).alias("_u"))
+    return scaled.filter(F.col("_u").isNotNull()).select("_id", "_f", array_to_vector("_u").alias("_unit"))
+
+
+def _signed(hasher: BucketedRandomProjectionLSHModel, df: DataFrame, bands: int, projections: int) -> DataFrame:
+    """One row per vector and band, with the band's signature."""
+
+    def signature(band: int) -> Column:
+        buckets = [vector_to_array(F.col("_hashes")[band * projections + i])[0].cast("int") for i in range(projections)]
+        return F.concat_ws(":", F.lit(str(band)), *[b.cast("string") for b in buckets])
+
+    return hasher.transform(df).withColumn("_sig", F.explode(F.array(*[signature(b) for b in range(bands)])))
+
+
+def _place(id_column: str, blocks: str) -> Column:
+    return F.pmod(F.xxhash64(id_column), F.col(blocks)).cast("int")
+
+
+def _every(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
