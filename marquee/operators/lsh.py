@@ -8,11 +8,10 @@ gives k rows per user instead of all its pairs.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions.vectors import unit
 from marquee.operators.topk import ITEMS_PER_CELL, USERS_PER_CELL, best_of, score_cells
 
 
@@ -66,9 +65,11 @@ def top_k_lsh(
 
 
 def _hashable(df: DataFrame, id_column: str, features: str) -> DataFrame:
-    """Vectors with a direction; a zero vector has no neighbours."""
-    scaled = df.select(F.col(id_column).alias("_id"), F.col(features).alias("_f"), unit(F.col(features)).alias("_u"))
-    return scaled.filter(F.col("_u").isNotNull()).select("_id", "_f", array_to_vector("_u").alias("_unit"))
+    """Vectors with a direction, scaled to length one; a zero vector has no neighbours."""
+    directed = df.filter(F.exists(features, lambda x: x != 0)).select(
+        F.col(id_column).alias("_id"), F.col(features).alias("_f"), array_to_vector(F.col(features)).alias("_vector")
+    )
+    return Normalizer(inputCol="_vector", outputCol="_unit", p=2.0).transform(directed).select("_id", "_f", "_unit")
 
 
 def _signed(hasher: BucketedRandomProjectionLSHModel, df: DataFrame, bands: int, projections: int) -> DataFrame:

@@ -9,21 +9,24 @@ or items only mean more cells.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import sys
+from collections.abc import Callable
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# The scorer travels to the Python workers as code, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 USERS_PER_CELL = 8192
 ITEMS_PER_CELL = 32768
-# Scores held at once inside a cell, in numbers of eight bytes.
-_TILE_SCORES = 4_000_000
+# Scores held at once inside a cell, four bytes each, and pairs scored again at once.
+_TILE_SCORES = 8_000_000
 _PAIRS_AT_ONCE = 200_000
-# A block product may round two equal scores apart. Whatever lies this close to the k-th
-# score is scored again, pair by pair, in a fixed order of summation.
-_NEAR = 1e-9
+_GROUPS = 512
 
 METRICS = ("cosine", "dot")
 
@@ -119,9 +122,9 @@ def _cell_scorer(k: int, metric: str, excluding: bool) -> Callable[[pa.Table, pa
         items = right.column("_item").to_numpy()
         order = np.argsort(items, kind="stable")
         items = items[order]
-        item_matrix = _matrix(right.column("_if"))[order]
         users = left.column("_user").to_numpy()
-        user_matrix = _matrix(left.column("_uf"))
+        item_side = _Side(_matrix(right.column("_if"))[order], unit=metric == "cosine")
+        user_side = _Side(_matrix(left.column("_uf")), unit=True)
         seen = left.column("_seen").combine_chunks() if excluding else None
 
         step = max(1, _TILE_SCORES // len(items))
@@ -129,7 +132,7 @@ def _cell_scorer(k: int, metric: str, excluding: bool) -> Callable[[pa.Table, pa
         for start in range(0, len(users), step):
             rows = slice(start, start + step)
             hidden = _positions(seen[rows], items) if excluding else None
-            row, col, values, rank = _best_in_tile(user_matrix[rows], item_matrix, k, metric, hidden)
+            row, col, values, rank = _best_in_tile(user_side, item_side, rows, k, metric, hidden)
             found.append((users[rows][row], items[col], values, rank))
         columns = [np.concatenate(parts) for parts in zip(*found)]
         scores = pa.array(columns[2], mask=np.isnan(columns[2]))
@@ -138,6 +141,16 @@ def _cell_scorer(k: int, metric: str, excluding: bool) -> Callable[[pa.Table, pa
     return score
 
 
+class _Side:
+    """The vectors of one side of a cell: exact, and scaled to lengths of at most 1."""
+
+    def __init__(self, exact: np.ndarray, unit: bool) -> None:
+        self.exact = exact
+        self.norms = np.sqrt(np.einsum("ij,ij->i", exact, exact))
+        lengths = self.norms if unit else np.full(len(exact), self.norms.max())
+        self.scaled = (exact / np.where(lengths > 0, lengths, 1.0)[:, None]).astype(np.float32)
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     vectors = column.combine_chunks()
     flat = vectors.flatten()
@@ -168,35 +181,49 @@ def _positions(seen: pa.ListArray, items: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _best_in_tile(
-    user_matrix: np.ndarray, item_matrix: np.ndarray, k: int, metric: str, hidden: Iterable[np.ndarray] | None
+    users: _Side, items: _Side, rows: slice, k: int, metric: str, hidden: tuple[np.ndarray, np.ndarray] | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    scores = user_matrix @ item_matrix.T
-    user_norm = np.sqrt(np.einsum("ij,ij->i", user_matrix, user_matrix))
-    item_norm = np.sqrt(np.einsum("ij,ij->i", item_matrix, item_matrix))
+    """Row, column, score and rank of the k best pairs of each row.
+
+    The block product runs in single precision on vectors no longer than 1, so a score is off
+    by less than a known bound. Every pair within that bound of the k-th best is then scored
+    again in double precision, always summed in the same order: the result is exact, and
+    equal vectors get equal scores wherever they stand.
+    """
+    scores = users.scaled[rows] @ items.scaled.T
     if metric == "cosine":
-        with np.errstate(divide="ignore", invalid="ignore"):
-            scores /= user_norm[:, None]
-            scores /= item_norm[None, :]
         # A similarity that does not exist stands below every real one.
-        scores[np.isnan(scores)] = -2.0
-        near = _NEAR
-    else:
-        near = _NEAR * max(1.0, float(user_norm.max()) * float(item_norm.max()))
+        scores[:, items.norms == 0] = -2.0
+        scores[users.norms[rows] == 0] = -2.0
     if hidden is not None:
         scores[hidden] = -np.inf
-    if k < scores.shape[1]:
-        kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-        chosen = (scores >= (kth - near)[:, None]) & (scores > -np.inf)
-    else:
-        chosen = scores > -np.inf
-    row, col = np.nonzero(chosen)
-    values = _pair_products(user_matrix, item_matrix, row, col)
+    bound = 4 * items.exact.shape[1] * np.finfo(np.float32).eps
+    floor = np.maximum(_kth_lower_bound(scores, k) - bound, np.finfo(np.float32).min)
+    row, col = np.divmod(np.flatnonzero(scores >= floor[:, None]), scores.shape[1])
+
+    values = _pair_products(users.exact[rows], items.exact, row, col)
     if metric == "cosine":
-        with np.errstate(divide="ignore", invalid="ignore"):
-            values = values / (user_norm[row] * item_norm[col])
+        lengths = users.norms[rows][row] * items.norms[col]
+        values = np.divide(values, lengths, out=np.full(len(values), np.nan), where=lengths > 0)
     order = np.lexsort((col, -np.nan_to_num(values, nan=-2.0), row))
     row, col, values = row[order], col[order], values[order]
-    first = np.searchsorted(row, np.arange(len(user_matrix)))
+    first = np.searchsorted(row, np.arange(len(scores)))
     rank = np.arange(len(row)) - first[row] + 1
     kept = rank <= k
     return row[kept], col[kept], values[kept], rank[kept].astype(np.int32)
+
+
+def _kth_lower_bound(scores: np.ndarray, k: int) -> np.ndarray:
+    """A number per row that at least k of its scores reach, and few more.
+
+    The k-th best of the maxima of disjoint column groups cannot exceed the k-th best score.
+    """
+    columns = scores.shape[1]
+    if columns <= k:
+        return np.full(len(scores), -np.inf, dtype=scores.dtype)
+    groups = max(_GROUPS, 8 * k)
+    if columns > 4 * groups:
+        deep = columns // groups
+        grouped = scores[:, : deep * groups].reshape(len(scores), deep, groups).max(axis=1)
+        scores = np.hstack([grouped, scores[:, deep * groups :]])
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]

@@ -67,14 +67,15 @@ VIEWS = {
     "suspect": """SELECT user_id, CASE WHEN user_id % 7 = 0 THEN movie_id + 1000000 ELSE movie_id END AS movie_id,
         CASE WHEN user_id % 10 = 0 THEN rating + 3 ELSE rating END AS rating, rated_at FROM ratings_raw""",
     "history": """SELECT * FROM (SELECT r.user_id, r.movie_id, m.title, m.genres, r.rating, r.rated_at,
-        ROW_NUMBER() OVER (PARTITION BY r.user_id ORDER BY r.rated_at DESC NULLS LAST, r.movie_id) AS position
+        CAST(ROW_NUMBER() OVER (PARTITION BY r.user_id ORDER BY r.rated_at DESC NULLS LAST, r.movie_id) AS INT) AS position
         FROM ratings r JOIN movies m ON m.movie_id = r.movie_id) AS t WHERE position <= 50""",
     "user_genres": """SELECT user_id, genre, COUNT(*) AS genre_count FROM (
         SELECT r.user_id, unnest(string_split(m.genres, '|')) AS genre
         FROM ratings r JOIN movies m ON m.movie_id = r.movie_id) AS t GROUP BY user_id, genre""",
     "distribution": """SELECT g.user_id, g.genre, g.genre_count,
         (200 * g.genre_count + t.total) // (2 * t.total) AS percentage, g.rank
-        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY genre_count DESC, genre) AS rank FROM user_genres) AS g
+        FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY genre_count DESC, genre) AS INT) AS rank
+              FROM user_genres) AS g
         JOIN (SELECT r.user_id, COUNT(*) AS total FROM ratings r JOIN movies m ON m.movie_id = r.movie_id
               GROUP BY r.user_id) AS t ON t.user_id = g.user_id WHERE g.rank <= 5""",
     "liked": """SELECT r.user_id, r.movie_id, m.title, m.genres, r.rating, r.rated_at
@@ -219,7 +220,7 @@ _SHARED = """array_to_string(list_sort(list_intersect(string_split(b.genres, '|'
 
 
 def _reasons(best: str) -> str:
-    return f"""SELECT c.user_id, c.movie_id AS target_id, b.position, b.movie_id, b.title, b.rating, {_SHARED} AS shared_genres
+    return f"""SELECT c.user_id, c.movie_id AS target_id, CAST(b.position AS INT) AS position, b.movie_id, b.title, b.rating, {_SHARED} AS shared_genres
         FROM cosine_top c LEFT JOIN movies m ON m.movie_id = c.movie_id JOIN ({best}) AS b ON b.user_id = c.user_id"""
 
 
@@ -376,7 +377,7 @@ ORACLE: dict[str, str] = {
     "explain_pairs": _with("cosine_top liked movies", _reasons(_TOP_LIKED)),
     "explain_pairs_sharing": _with(
         "cosine_top liked movies",
-        f"""SELECT user_id, target_id, position, movie_id, title, rating, shared_genres FROM (
+        f"""SELECT user_id, target_id, CAST(position AS INT) AS position, movie_id, title, rating, shared_genres FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, target_id ORDER BY {_BEST_ORDER}) AS position FROM (
         SELECT c.user_id, c.movie_id AS target_id, b.movie_id, b.title, b.rating, b.rated_at, {_SHARED} AS shared_genres
         FROM cosine_top c JOIN movies m ON m.movie_id = c.movie_id JOIN liked b ON b.user_id = c.user_id) AS s
@@ -385,7 +386,7 @@ ORACLE: dict[str, str] = {
     "user_history": _with("history", "SELECT * FROM history"),
     "history_pages": _with(
         "history",
-        f"""SELECT user_id, position, (position - 1) // 5 + 1 AS page,
+        f"""SELECT user_id, position, CAST((position - 1) // 5 + 1 AS BIGINT) AS page,
         (COUNT(*) OVER (PARTITION BY user_id) + 4) // 5 AS pages, movie_id, {_TITLE} AS title, {_meta(2)} AS meta,
         printf('%.1f', rating) AS rating_text FROM history""",
     ),
