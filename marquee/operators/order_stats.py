@@ -4,7 +4,7 @@ Sorting a group in one task does not survive a group that holds a third of all r
 a value falls into a coarse and, inside it, a fine bucket. Both grow with the value, and
 both are functions of the value alone. Counting the coarse buckets finds the one that holds
 the wanted rank, counting its fine buckets narrows it again, and only the distinct values
-of one fine bucket are put in order.
+of one fine bucket are put in order. The input is read three times.
 """
 
 from __future__ import annotations
@@ -42,17 +42,16 @@ def order_statistics(
     renamed = [F.col(g).alias(k) for g, k in zip(group, keys)] or [F.lit(0).alias("_g0")]
     scaled = F.signum("_v") * F.log1p(F.abs(F.col("_v"))) * _COARSE
     fine = F.floor((F.col("_s") - F.floor("_s")) * _FINE)
-    # Repeated values collapse before the shuffle; from here on a row is a distinct value.
     values = (
         df.filter(F.col(value).isNotNull())
         .select(*renamed, F.col(value).cast("double").alias("_v"))
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_c"))
         .withColumn("_s", scaled)
-        .select(*keys, "_v", "_c", F.floor("_s").alias("_coarse"), fine.alias("_fine"))
+        .select(*keys, "_v", F.floor("_s").alias("_coarse"), fine.alias("_fine"))
     )
+    count = F.count("*").alias("_c")
 
-    coarse = values.groupBy(*keys, "_coarse").agg(F.sum("_c").alias("_c"))
+    # Counts shrink inside each task, so only buckets are shuffled, however many rows there are.
+    coarse = values.groupBy(*keys, "_coarse").agg(count)
     whole = Window.partitionBy(*keys)
     wanted = F.explode(
         F.array(*[F.struct(F.lit(name).alias("_name"), rank(F.col("_n")).alias("_rank")) for name, rank in ranks.items()])
@@ -61,13 +60,13 @@ def order_statistics(
     counted = counted.withColumn("_upto", F.sum("_c").over(whole.orderBy("_coarse"))).withColumn("_w", wanted)
     in_coarse = _holding_rank(counted.select("*", "_w._name", "_w._rank")).select(*keys, "_coarse", "_n", "_name", "_rank")
 
-    inside = values.join(in_coarse, [*keys, "_coarse"])
     slot = Window.partitionBy(*keys, "_name")
-    finer = inside.groupBy(*keys, "_coarse", "_n", "_name", "_rank", "_fine").agg(F.sum("_c").alias("_c"))
+    inside = values.join(in_coarse, [*keys, "_coarse"])
+    finer = inside.groupBy(*keys, "_coarse", "_n", "_name", "_rank", "_fine").agg(count)
     finer = finer.withColumn("_upto", F.sum("_c").over(slot.orderBy("_fine")))
     in_fine = _holding_rank(finer).select(*keys, "_coarse", "_fine", "_n", "_name", "_rank")
 
-    last = values.join(in_fine, [*keys, "_coarse", "_fine"])
+    last = values.join(in_fine, [*keys, "_coarse", "_fine"]).groupBy(*keys, "_n", "_name", "_rank", "_v").agg(count)
     last = _holding_rank(last.withColumn("_upto", F.sum("_c").over(slot.orderBy("_v"))))
     named = [F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks]
     result = last.groupBy(*keys).agg(F.max("_n").alias("n"), *named)
