@@ -9,7 +9,7 @@ from marquee.functions.genres import shown_genres
 # The texts shown in place of missing data, and the title pattern.
 UNTITLED = "Untitled"
 NO_GENRE_TEXT = "Genres unavailable"
-TITLE_YEAR = r"^(.*)\s+\((\d{4})\)$"
+TITLE_YEAR = r"(?U)^(.*)\s+\((\d{4})\)$"
 
 
 def _full_title(raw: Column) -> Column:

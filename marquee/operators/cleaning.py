@@ -32,6 +32,12 @@ def _rejection(fields) -> Column:
     return reason
 
 
+def rejections(table: str) -> list[str]:
+    """All reasons for which a row of a raw table may be dropped."""
+    fields = {"movies": _MOVIE_FIELDS, "ratings": _RATING_FIELDS}[table]
+    return ["null", *[f"{fault} {name}" for fault in ("malformed", "out of range") for name, _, _ in fields]]
+
+
 def movie_rejection() -> Column:
     return _rejection(_MOVIE_FIELDS)
 
@@ -46,14 +52,24 @@ def _typed(fields) -> list[Column]:
 
 def clean_movies(raw: DataFrame) -> DataFrame:
     """Rows with a usable id, typed; a missing title or genre list reads ``Unknown``."""
-    texts = [F.coalesce(F.col(name).cast("string"), F.lit(UNKNOWN)).alias(name) for name in ("title", "genres")]
-    return raw.filter(movie_rejection().isNull()).select(*_typed(_MOVIE_FIELDS), *texts)
+    return typed_movies(raw.filter(movie_rejection().isNull()))
 
 
 def clean_ratings(raw: DataFrame) -> DataFrame:
     """Rows with usable ids and rating, typed; an unusable time becomes null and keeps its row."""
+    return typed_ratings(raw.filter(rating_rejection().isNull()))
+
+
+def typed_movies(sound: DataFrame) -> DataFrame:
+    """The columns of a clean movie from raw rows that are known to be usable."""
+    texts = [F.coalesce(F.col(name).cast("string"), F.lit(UNKNOWN)).alias(name) for name in ("title", "genres")]
+    return sound.select(*_typed(_MOVIE_FIELDS), *texts)
+
+
+def typed_ratings(sound: DataFrame) -> DataFrame:
+    """The columns of a clean rating from raw rows that are known to be usable."""
     time = F.trim(F.col("timestamp").cast("string")).try_cast("bigint").alias("timestamp")
-    return raw.filter(rating_rejection().isNull()).select(*_typed(_RATING_FIELDS), time)
+    return sound.select(*_typed(_RATING_FIELDS), time)
 
 
 def cleaning_counts(raw: DataFrame, rejection: Column, table: str) -> DataFrame:

@@ -51,9 +51,10 @@ def top_k(
     ``sized_by`` stands in for ``users`` when counting, if ``users`` is costly to compute.
     """
     user_count, item_count = _sizes(users if sized_by is None else sized_by, items)
-    spare = users.sparkSession.sparkContext.defaultParallelism
-    user_blocks = max(1, ceil(user_count / users_per_cell), min(spare, ceil(user_count / 256)))
     item_blocks = max(1, ceil(item_count / items_per_cell))
+    # A cell for every core if there is work for it, but no more: each user block is one more copy of the items.
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    user_blocks = max(1, ceil(user_count / users_per_cell), min(ceil(cores / item_blocks), ceil(user_count / 256)))
 
     item_block = _block(item_col, F.lit(item_blocks)).alias("_ib")
     left = users.select(

@@ -47,6 +47,11 @@ def latency_report(measures: DataFrame, group: str = "user_id", value: str = "ms
     return wide.select(*[F.col(name).cast("bigint").alias(name) if name in whole else name for name in names])
 
 
+def of_users(measures: DataFrame, users: DataFrame) -> DataFrame:
+    """The measures of some users, such as a sample."""
+    return measures.join(users.select("user_id"), "user_id", "left_semi")
+
+
 def _measures(one_row: DataFrame) -> DataFrame:
     pairs = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("amount")) for c in one_row.columns]
     return one_row.select(F.inline(F.array(*pairs)))

@@ -12,6 +12,7 @@ from marquee.operators import cleaning, contracts, keyed, sampling, split
 from marquee.operators.lsh import top_k_lsh
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, evaluation, pages, profiles, recommend, reports, training
+from marquee.session import store_once
 from marquee.sources.proxies import Proxies
 from marquee.sources.synthetic import with_synthetic_vectors
 
@@ -182,7 +183,7 @@ def split_hash(p: Proxies) -> DataFrame:
 
 @query
 def split_random(p: Proxies) -> DataFrame:
-    train, test = split.split_random(p.ratings_eval)
+    train, test = split.split_random(store_once(p.ratings_eval, "ratings_eval"))
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
@@ -432,5 +433,4 @@ def sample_users(p: Proxies) -> DataFrame:
 
 @query
 def latency_of_sample(p: Proxies) -> DataFrame:
-    chosen = sample_users(p)
-    return _rounded(reports.latency_report(p.latencies.join(chosen, "user_id", "left_semi")), "avg_ms")
+    return _rounded(reports.latency_report(reports.of_users(p.latencies, sample_users(p))), "avg_ms")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from math import ceil
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,9 +24,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app_name: str = "marquee", master: str | None = None, **options: str) -> SparkSession:
-    """A configured session. On a cluster leave ``master`` out: spark-submit names it."""
+# What one task should take out of a shuffle.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions to start a shuffle of this size with; adaptive execution joins those that stay small."""
+    return max(200, ceil(shuffled_bytes / SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "marquee", master: str | None = None, shuffled_bytes: int | None = None, **options: str
+) -> SparkSession:
+    """A configured session. On a cluster leave ``master`` out: spark-submit names it.
+
+    ``shuffled_bytes`` is the size of the largest table that a job shuffles.
+    """
     builder = SparkSession.builder.appName(app_name)
+    if shuffled_bytes:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions(shuffled_bytes))
+        )
     if master:
         builder = builder.master(master)
     for key, value in options.items():
@@ -48,3 +68,16 @@ def use_checkpoints(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="marquee-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+def store_once(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, computed now and read back from a table in the checkpoint folder.
+
+    For results that are used several times: later stages do not repeat the work, a lost
+    executor takes nothing with it, and every reader sees the same partitions.
+    """
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

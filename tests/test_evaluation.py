@@ -177,9 +177,8 @@ def test_training_from_files(spark, tmp_path):
     lines = [f"{u},{m},{5.0 if (u + m) % 2 == 0 else 1.0},{u}" for u in range(60) for m in range(40) if rng.random() < 0.5 and (u + m) % 2 == 0]
     (tmp_path / "raw" / "ratings.csv").write_text("userId,movieId,rating,timestamp\n" + "\n".join(lines) + "\n")
     for split in ("hash", "random"):
-        result = training.run_training(
-            spark, str(tmp_path / "raw"), str(tmp_path / split), training.AlsSettings(rank=4, max_iter=6), min_ratings=5, split=split
-        )
+        prepared = training.prepare_ratings(spark, str(tmp_path / "raw"), min_ratings=5)
+        result = training.run_training(prepared, str(tmp_path / split), training.AlsSettings(rank=4, max_iter=6), split=split)
         assert result["users"] > 50
         assert result["precision_at_10"] <= result["hit_rate_at_10"] <= 1
         assert result["hit_rate_at_10"] > 0.9 and result["ndcg_at_10"] > 0.3
