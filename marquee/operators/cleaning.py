@@ -32,6 +32,14 @@ def _rejection(fields) -> Column:
     return reason
 
 
+def _usable(fields) -> Column:
+    """True where ``_rejection`` gives no reason, said as a conjunction that can be taken apart and pushed down."""
+    sound = [
+        F.trim(F.col(name)).rlike(pattern) & F.trim(F.col(name)).try_cast(kind).isNotNull() for name, pattern, kind in fields
+    ]
+    return reduce(lambda a, b: a & b, sound)
+
+
 def rejections(table: str) -> list[str]:
     """All reasons for which a row of a raw table may be dropped."""
     fields = {"movies": _MOVIE_FIELDS, "ratings": _RATING_FIELDS}[table]
@@ -52,12 +60,12 @@ def _typed(fields) -> list[Column]:
 
 def clean_movies(raw: DataFrame) -> DataFrame:
     """Rows with a usable id, typed; a missing title or genre list reads ``Unknown``."""
-    return typed_movies(raw.filter(movie_rejection().isNull()))
+    return typed_movies(raw.filter(_usable(_MOVIE_FIELDS)))
 
 
 def clean_ratings(raw: DataFrame) -> DataFrame:
     """Rows with usable ids and rating, typed; an unusable time becomes null and keeps its row."""
-    return typed_ratings(raw.filter(rating_rejection().isNull()))
+    return typed_ratings(raw.filter(_usable(_RATING_FIELDS)))
 
 
 def typed_movies(sound: DataFrame) -> DataFrame:
