@@ -13,8 +13,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_COARSE = 1000
-_FINE = 4096
+# Coarse buckets per doubling of a value, and fine buckets in each. All the doubles there are
+# fall into some two million coarse buckets, and a fine one holds less than half a million.
+_COARSE = 512
+_FINE = 1 << 24
+# Lifts the logarithm of the smallest positive double above zero.
+_LIFT = 1100.0
 
 
 def nearest_rank(p: float) -> Callable[[Column], Column]:
@@ -34,17 +38,18 @@ def floor_index(p: float) -> Callable[[Column], Column]:
 def order_statistics(
     df: DataFrame, group: Sequence[str], value: str, ranks: dict[str, Callable[[Column], Column]]
 ) -> DataFrame:
-    """One row per group: its columns, ``n`` (non-null values) and the value at each named rank.
+    """One row per group: its columns, ``n`` (values) and the value at each named rank.
 
-    With no group columns the whole table is one group; an empty table gives no row.
+    Nulls and NaN are no values. With no group columns the whole table is one group; an empty table gives no row.
     """
     keys = [f"_g{i}" for i in range(len(group))] or ["_g0"]
     renamed = [F.col(g).alias(k) for g, k in zip(group, keys)] or [F.lit(0).alias("_g0")]
-    scaled = F.signum("_v") * F.log1p(F.abs(F.col("_v"))) * _COARSE
+    size = F.coalesce(F.log2(F.abs(F.col("_v"))), F.lit(-_LIFT)) + _LIFT
+    scaled = F.signum("_v") * size * _COARSE
     fine = F.floor((F.col("_s") - F.floor("_s")) * _FINE)
     values = (
-        df.filter(F.col(value).isNotNull())
-        .select(*renamed, F.col(value).cast("double").alias("_v"))
+        df.select(*renamed, F.col(value).cast("double").alias("_v"))
+        .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .withColumn("_s", scaled)
         .select(*keys, "_v", F.floor("_s").alias("_coarse"), fine.alias("_fine"))
     )

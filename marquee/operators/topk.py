@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # The scorer travels to the Python workers as code, so they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-USERS_PER_CELL = 8192
+USERS_PER_CELL = 4096
 ITEMS_PER_CELL = 32768
 # Scores held at once inside a cell, four bytes each, and pairs scored again at once.
 _TILE_SCORES = 8_000_000
@@ -52,9 +52,9 @@ def top_k(
     """
     user_count, item_count = _sizes(users if sized_by is None else sized_by, items)
     item_blocks = max(1, ceil(item_count / items_per_cell))
-    # A cell for every core if there is work for it, but no more: each user block is one more copy of the items.
+    # Two cells for every core if there is work for them, but no more: each user block is one more copy of the items.
     cores = users.sparkSession.sparkContext.defaultParallelism
-    user_blocks = max(1, ceil(user_count / users_per_cell), min(ceil(cores / item_blocks), ceil(user_count / 256)))
+    user_blocks = max(1, ceil(user_count / users_per_cell), min(ceil(2 * cores / item_blocks), ceil(user_count / 256)))
 
     item_block = _block(item_col, F.lit(item_blocks)).alias("_ib")
     left = users.select(

@@ -116,6 +116,13 @@ def _with(names: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in wanted) + "\n" + body
 
 
+def _made_vector(key: str, seed: int) -> str:
+    start = f"({key} * 7919 + j * 104729 + {seed * 15485863}) % 2147483647"
+    step = f"(({start}) * 48271 % 2147483647) * 69621 % 2147483647"
+    value = f"CAST({step} AS DOUBLE) * CAST(2 AS DOUBLE) / CAST(2147483647 AS DOUBLE) - CAST(1 AS DOUBLE)"
+    return f"list_transform(range(1, 51), lambda j: CAST(CAST({value} AS FLOAT) AS DOUBLE))"
+
+
 _TITLE_YEAR = r"^(.*)\s+\((\d{4})\)$"
 _TITLE = f"""CASE WHEN regexp_matches(title, '{_TITLE_YEAR}') THEN regexp_extract(title, '{_TITLE_YEAR}', 1)
     WHEN title IS NULL OR title = '' THEN 'Untitled' ELSE title END"""
@@ -320,6 +327,9 @@ ORACLE: dict[str, str] = {
     "refused_ratings": _with(
         "suspect", "SELECT *, 'out of range rating' AS broken_rule FROM suspect WHERE rating < 0.5 OR rating > 5"
     ),
+    "checked_scan": "SELECT p_partkey, p_name, p_type FROM part",
+    "factor_scan": """SELECT vec_id AS id, CAST(len(embedding) AS INT) AS length,
+        round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total FROM embeddings""",
     "vector_lengths": _with(
         "movie_factors", "SELECT CAST(len(features) AS INT) AS length, COUNT(*) AS vectors FROM movie_factors GROUP BY 1"
     ),
@@ -374,6 +384,15 @@ ORACLE: dict[str, str] = {
         CASE WHEN rank <= 5 THEN 'shown' ELSE 'more' END AS section
         FROM cosine_top JOIN movies USING (movie_id)""",
     ),
+    "recommend_customers": _with(
+        "movies",
+        f"""SELECT user_id, CAST(rank AS INT) AS rank, t.movie_id, m.title, m.genres, round(score, 6) AS similarity FROM (
+        SELECT user_id, movie_id, score, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
+        FROM (SELECT u.user_id, i.movie_id, list_cosine_similarity(u.features, i.features) AS score
+              FROM (SELECT CAST(c_custkey AS INT) AS user_id, {_made_vector('c_custkey', 42)} AS features FROM customer) AS u
+              CROSS JOIN (SELECT CAST(p_partkey AS INT) AS movie_id, {_made_vector('p_partkey', 43)} AS features FROM part) AS i
+        ) AS pairs) AS t JOIN movies m ON m.movie_id = t.movie_id WHERE rank <= 10""",
+    ),
     "explain_pairs": _with("cosine_top liked movies", _reasons(_TOP_LIKED)),
     "explain_pairs_sharing": _with(
         "cosine_top liked movies",

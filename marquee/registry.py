@@ -13,6 +13,7 @@ from marquee.operators.lsh import top_k_lsh
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, evaluation, pages, profiles, recommend, reports, training
 from marquee.session import store_once
+from marquee.sources.files import factor_layout, read_checked
 from marquee.sources.proxies import Proxies
 from marquee.sources.synthetic import with_synthetic_vectors
 
@@ -152,6 +153,20 @@ def refused_ratings(p: Proxies) -> DataFrame:
     return contracts.split_valid(_suspect_ratings(p), contracts.RATINGS)[1]
 
 
+@query
+def checked_scan(p: Proxies) -> DataFrame:
+    columns = ["p_partkey", "p_name", "p_type"]
+    return read_checked(p.spark, f"{p.sf_dir}/part.parquet", "part", columns, "p_partkey").select(*columns)
+
+
+@query
+def factor_scan(p: Proxies) -> DataFrame:
+    """Vectors under other column names, read as factors."""
+    factors = factor_layout(p.table("embeddings").withColumnRenamed("vec_id", "movieId"))
+    total = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return factors.select("id", F.size("features").alias("length"), F.round(total, 6).alias("total"))
+
+
 @query
 def vector_lengths(p: Proxies) -> DataFrame:
     return training.vector_lengths(p.movie_factors)
@@ -279,6 +294,12 @@ def recommend_cosine(p: Proxies) -> DataFrame:
     return _rounded(_recommended(p), "similarity")
 
 
+@query
+def recommend_customers(p: Proxies) -> DataFrame:
+    """Every customer against every part; both grow with the tables."""
+    return _rounded(recommend.recommendations(p.customer_vectors, p.part_vectors, p.movies, 10), "similarity")
+
+
 @query
 def recommend_lsh(p: Proxies) -> DataFrame:
     return _rounded(top_k_lsh(p.user_factors, p.movie_factors, 10), "score")

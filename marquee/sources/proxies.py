@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from marquee.operators.keyed import last_write_wins
 from marquee.operators.split import split_arithmetic
 from marquee.session import configure
+from marquee.sources.schemas import EMBEDDING_DIM
+from marquee.sources.synthetic import arithmetic_vector
 
 # Dirty text columns, as SQL that several engines read alike.
 DIRTY_MOVIE = {
@@ -102,6 +104,18 @@ class Proxies:
         vectors = self.table("embeddings").filter("vec_id % 10 <> 0")
         return vectors.select(F.col("vec_id").cast("int").alias("movie_id"), F.col("embedding").alias("features"))
 
+    @cached_property
+    def customer_vectors(self) -> DataFrame:
+        """A vector for every customer, made from the customer's key."""
+        key = F.col("c_custkey").cast("int")
+        return self.table("customer").select(key.alias("user_id"), arithmetic_vector(key, EMBEDDING_DIM, 42).alias("features"))
+
+    @cached_property
+    def part_vectors(self) -> DataFrame:
+        """A vector for every part, made from the part's key."""
+        key = F.col("p_partkey").cast("int")
+        return self.table("part").select(key.alias("movie_id"), arithmetic_vector(key, EMBEDDING_DIM, 43).alias("features"))
+
     @cached_property
     def ratings_eval(self) -> DataFrame:
         """Ratings with ids folded onto the vectors, so that recommendations can hit."""

@@ -5,7 +5,8 @@ import pytest
 
 from marquee.operators.order_stats import floor_index, nearest_rank, order_statistics
 from marquee.operators.sampling import sample_ids
-from marquee.plans.reports import latency_report, latency_summary
+from marquee.plans.reports import latency_report, latency_summary, of_users
+from marquee.sources.sinks import write_report
 
 
 def by_nearest_rank(values, p):
@@ -33,9 +34,11 @@ def test_against_sorting(spark):
         "signs": [rng.uniform(-1e6, 1e6) for _ in range(300)] + [0.0, -0.0] * 20,
         "tiny": [rng.random() * 10.0 ** rng.randint(-300, 300) for _ in range(200)],
         "one": [3.25],
+        "small": [rng.random() * 1e-6 for _ in range(250)],
+        "ends": [5e-324, -5e-324, 1.7e308, -1.7e308, math.inf, -math.inf, 0.0],
         "whole": [float(x) for x in range(100)],
     }
-    rows = [(g, v) for g, values in groups.items() for v in values] + [("spread", None), ("empty", None)]
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("spread", None), ("empty", None), ("one", math.nan)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v double")
     points = [0.0, 0.01, 0.5, 0.95, 0.99, 1.0]
@@ -58,6 +61,14 @@ def test_no_values_and_bad_points(spark):
             point(1.5)
 
 
+def test_a_report_is_stored_as_json(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0), (2, 4.0), (3, 9.0)], "user_id int, ms double")
+    report = latency_report(of_users(df, df.filter("user_id < 3")))
+    write_report(report, str(tmp_path / "report"))
+    stored = spark.read.json(str(tmp_path / "report")).first().asDict()
+    assert stored == {"users_sampled": 2, "total_runs": 2, "p50_ms": 2.0, "p95_ms": 4.0, "p99_ms": 4.0, "avg_ms": 3.0}
+
+
 def test_reports(spark):
     data = {1: [float(x) for x in range(1, 101)], 2: [0.125, 0.135], 3: [2.0]}
     df = spark.createDataFrame([(u, v) for u, values in data.items() for v in values], "user_id int, ms double")
