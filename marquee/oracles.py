@@ -5,6 +5,8 @@ Written apart from the Spark code: only the texts that make up the input views a
 
 from __future__ import annotations
 
+import re
+
 from marquee.sources.proxies import DIRTY_MOVIE, DIRTY_RATING, EVAL_RATING, MOVIE, RAW_RATING, columns
 
 
@@ -15,6 +17,49 @@ def _select(named: dict[str, str]) -> str:
 _LINES = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 _IN_TRAIN = "(CAST(user_id AS BIGINT) * 7919 + CAST(movie_id AS BIGINT) * 104729) % 100 < 80"
 
+def _made_vector(key: str, seed: int) -> str:
+    start = f"({key} * 7919 + j * 104729 + {seed * 15485863}) % 2147483647"
+    step = f"(({start}) * 48271 % 2147483647) * 69621 % 2147483647"
+    value = f"CAST({step} AS DOUBLE) * CAST(2 AS DOUBLE) / CAST(2147483647 AS DOUBLE) - CAST(1 AS DOUBLE)"
+    return f"list_transform(range(1, 51), lambda j: CAST(CAST({value} AS FLOAT) AS DOUBLE))"
+
+
+def _ranking_views(prefix: str, ratings: str, users: str, items: str) -> dict[str, str]:
+    """The steps of an evaluation of one set of vectors on one set of ratings."""
+    train, test, relevant, unseen = (f"{prefix}{name}" for name in ("train", "test", "relevant", "unseen_top"))
+
+    def best(score: str, condition: str = "") -> str:
+        return f"""SELECT user_id, movie_id, score, rank FROM (
+            SELECT user_id, movie_id, score, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
+            FROM (SELECT u.user_id, m.movie_id, {score}(u.features, m.features) AS score
+                  FROM {users} u CROSS JOIN {items} m {condition}) AS pairs) AS ranked WHERE rank <= 10"""
+
+    return {
+        train: f"SELECT * FROM {ratings} WHERE {_IN_TRAIN}",
+        test: f"SELECT * FROM {ratings} WHERE NOT ({_IN_TRAIN})",
+        relevant: f"""SELECT DISTINCT user_id, movie_id FROM {test}
+            WHERE rating >= 4.0 AND movie_id IN (SELECT movie_id FROM {items})""",
+        f"{prefix}cosine_top": best("list_cosine_similarity"),
+        unseen: best(
+            "list_dot_product",
+            f"""WHERE u.user_id IN (SELECT user_id FROM {relevant})
+            AND NOT EXISTS (SELECT 1 FROM {train} t WHERE t.user_id = u.user_id AND t.movie_id = m.movie_id)""",
+        ),
+        f"{prefix}per_user": f"""SELECT r.user_id, r.relevant, COALESCE(h.hits, 0) AS hits,
+            COALESCE(h.hits, 0) / CAST(10 AS DOUBLE) AS precision,
+            CASE WHEN COALESCE(h.hits, 0) > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS hit,
+            COALESCE(h.hits, 0) / CAST(r.relevant AS DOUBLE) AS recall,
+            COALESCE(h.gain, 0) / list_sum(list_transform(range(1, LEAST(10, r.relevant) + 1), lambda i: 1 / log2(i + 1))) AS ndcg
+            FROM (SELECT user_id, COUNT(*) AS relevant FROM {relevant} GROUP BY user_id) AS r
+            JOIN {users} u ON u.user_id = r.user_id
+            LEFT JOIN (SELECT t.user_id, COUNT(*) AS hits, SUM(1 / log2(t.rank + 1)) AS gain FROM {unseen} t
+                       JOIN {relevant} e ON e.user_id = t.user_id AND e.movie_id = t.movie_id GROUP BY t.user_id) AS h
+            ON h.user_id = r.user_id""",
+        f"{prefix}predicted": f"""SELECT t.user_id, t.movie_id, t.rating, list_dot_product(u.features, m.features) AS prediction
+            FROM {test} t JOIN {users} u ON u.user_id = t.user_id JOIN {items} m ON m.movie_id = t.movie_id""",
+    }
+
+
 # Input views, in an order in which each needs only those before it.
 VIEWS = {
     "movies": f"{_select(MOVIE)} FROM part",
@@ -29,9 +74,7 @@ VIEWS = {
     "movie_factors": """SELECT CAST(vec_id AS INT) AS movie_id, CAST(embedding AS DOUBLE[]) AS features
         FROM embeddings WHERE vec_id % 10 <> 0""",
     "ratings_eval": f"""SELECT user_id, movie_id, MAX(rating) AS rating
-        FROM ({_select(EVAL_RATING)} {_LINES} WHERE l_linenumber = 1) AS t GROUP BY user_id, movie_id""",
-    "train": f"SELECT * FROM ratings_eval WHERE {_IN_TRAIN}",
-    "test": f"SELECT * FROM ratings_eval WHERE NOT ({_IN_TRAIN})",
+        FROM ({_select(EVAL_RATING)} {_LINES}) AS t GROUP BY user_id, movie_id""",
     "cleaned_ratings": """SELECT TRY_CAST(trim(userId) AS INTEGER) AS userId, TRY_CAST(trim(movieId) AS INTEGER) AS movieId,
         TRY_CAST(trim(rating) AS FLOAT) AS rating,
         CASE WHEN regexp_matches(trim(timestamp), '^[0-9]+$') THEN TRY_CAST(trim(timestamp) AS BIGINT) END AS timestamp
@@ -39,31 +82,11 @@ VIEWS = {
         AND regexp_matches(trim(userId), '^[0-9]+$') AND regexp_matches(trim(movieId), '^[0-9]+$')
         AND regexp_matches(trim(rating), '^[0-9]+([.][0-9]+)?$')
         AND TRY_CAST(trim(userId) AS INTEGER) IS NOT NULL AND TRY_CAST(trim(movieId) AS INTEGER) IS NOT NULL""",
-    "relevant": """SELECT DISTINCT user_id, movie_id FROM test
-        WHERE rating >= 4.0 AND movie_id IN (SELECT movie_id FROM movie_factors)""",
-    "cosine_top": """SELECT user_id, movie_id, score, rank FROM (
-        SELECT user_id, movie_id, score, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
-        FROM (SELECT u.user_id, m.movie_id, list_cosine_similarity(u.features, m.features) AS score
-              FROM user_factors u CROSS JOIN movie_factors m) AS pairs) AS ranked WHERE rank <= 10""",
-    "unseen_top": """SELECT user_id, movie_id, score, rank FROM (
-        SELECT user_id, movie_id, score, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
-        FROM (SELECT u.user_id, m.movie_id, list_dot_product(u.features, m.features) AS score
-              FROM user_factors u CROSS JOIN movie_factors m
-              WHERE u.user_id IN (SELECT user_id FROM relevant)
-              AND NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.movie_id = m.movie_id)) AS pairs
-        ) AS ranked WHERE rank <= 10""",
-    "per_user": """SELECT r.user_id, r.relevant, COALESCE(h.hits, 0) AS hits,
-        COALESCE(h.hits, 0) / CAST(10 AS DOUBLE) AS precision,
-        CASE WHEN COALESCE(h.hits, 0) > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS hit,
-        COALESCE(h.hits, 0) / CAST(r.relevant AS DOUBLE) AS recall,
-        COALESCE(h.gain, 0) / list_sum(list_transform(range(1, LEAST(10, r.relevant) + 1), lambda i: 1 / log2(i + 1))) AS ndcg
-        FROM (SELECT user_id, COUNT(*) AS relevant FROM relevant GROUP BY user_id) AS r
-        JOIN user_factors u ON u.user_id = r.user_id
-        LEFT JOIN (SELECT t.user_id, COUNT(*) AS hits, SUM(1 / log2(t.rank + 1)) AS gain FROM unseen_top t
-                   JOIN relevant e ON e.user_id = t.user_id AND e.movie_id = t.movie_id GROUP BY t.user_id) AS h
-        ON h.user_id = r.user_id""",
-    "predicted": """SELECT t.user_id, t.movie_id, t.rating, list_dot_product(u.features, m.features) AS prediction
-        FROM test t JOIN user_factors u ON u.user_id = t.user_id JOIN movie_factors m ON m.movie_id = t.movie_id""",
+    "customer_vectors": f"""SELECT CAST(c_custkey AS INT) AS user_id, {_made_vector('c_custkey', 42)} AS features
+        FROM customer""",
+    "part_vectors": f"SELECT CAST(p_partkey AS INT) AS movie_id, {_made_vector('p_partkey', 43)} AS features FROM part",
+    **_ranking_views("", "ratings_eval", "user_factors", "movie_factors"),
+    **_ranking_views("customer_", "ratings", "customer_vectors", "part_vectors"),
     "suspect": """SELECT user_id, CASE WHEN user_id % 7 = 0 THEN movie_id + 1000000 ELSE movie_id END AS movie_id,
         CASE WHEN user_id % 10 = 0 THEN rating + 3 ELSE rating END AS rating, rated_at FROM ratings_raw""",
     "history": """SELECT * FROM (SELECT r.user_id, r.movie_id, m.title, m.genres, r.rating, r.rated_at,
@@ -85,23 +108,10 @@ VIEWS = {
         ORDER BY (CAST(user_id AS BIGINT) * 7919 + 42) % 10007, user_id LIMIT 20""",
 }
 
-_NEEDS = {
-    "ratings": ["ratings_raw"],
-    "train": ["ratings_eval"],
-    "test": ["ratings_eval"],
-    "cleaned_ratings": ["dirty_ratings"],
-    "relevant": ["test", "movie_factors"],
-    "cosine_top": ["user_factors", "movie_factors"],
-    "unseen_top": ["user_factors", "movie_factors", "relevant", "train"],
-    "per_user": ["relevant", "user_factors", "unseen_top"],
-    "predicted": ["test", "user_factors", "movie_factors"],
-    "suspect": ["ratings_raw"],
-    "history": ["ratings", "movies"],
-    "user_genres": ["ratings", "movies"],
-    "distribution": ["user_genres", "ratings", "movies"],
-    "liked": ["ratings", "movies"],
-    "sampled": ["latencies"],
-}
+def _needs(name: str) -> list[str]:
+    """The other views that a view reads."""
+    words = set(re.findall(r"\w+", VIEWS[name]))
+    return [other for other in VIEWS if other != name and other in words]
 
 
 def _with(names: str, body: str) -> str:
@@ -112,17 +122,10 @@ def _with(names: str, body: str) -> str:
         name = queue.pop()
         if name not in wanted:
             wanted.add(name)
-            queue += _NEEDS.get(name, [])
+            queue += _needs(name)
     return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in wanted) + "\n" + body
 
 
-def _made_vector(key: str, seed: int) -> str:
-    start = f"({key} * 7919 + j * 104729 + {seed * 15485863}) % 2147483647"
-    step = f"(({start}) * 48271 % 2147483647) * 69621 % 2147483647"
-    value = f"CAST({step} AS DOUBLE) * CAST(2 AS DOUBLE) / CAST(2147483647 AS DOUBLE) - CAST(1 AS DOUBLE)"
-    return f"list_transform(range(1, 51), lambda j: CAST(CAST({value} AS FLOAT) AS DOUBLE))"
-
-
 _TITLE_YEAR = r"^(.*)\s+\((\d{4})\)$"
 _TITLE = f"""CASE WHEN regexp_matches(title, '{_TITLE_YEAR}') THEN regexp_extract(title, '{_TITLE_YEAR}', 1)
     WHEN title IS NULL OR title = '' THEN 'Untitled' ELSE title END"""
@@ -153,15 +156,14 @@ _RATING_REJECTION = _rejection(
 
 
 def _upserted_factors(view: str, key: str) -> str:
-    total = "round(list_sum(features), 6) AS total"
     return _with(
         view,
-        f"""SELECT {key}, CAST(len(features) AS INT) AS length, {total}, loaded_at FROM (
+        f"""SELECT {key}, CAST(len(features) AS INT) AS length, round(list_sum(features), 6) AS total, loaded_at FROM (
         SELECT COALESCE(n.{key}, o.{key}) AS {key}, COALESCE(n.features, o.features) AS features,
                CASE WHEN o.{key} IS NULL THEN 2 ELSE 1 END AS loaded_at
-        FROM (SELECT * FROM {view} WHERE {key} % 3 <> 0) AS o
-        FULL OUTER JOIN (SELECT {key}, list_transform(features, lambda x: x * 2) AS features
-                         FROM {view} WHERE {key} % 4 = 2) AS n ON n.{key} = o.{key}) AS t""",
+        FROM {view} AS o
+        FULL OUTER JOIN (SELECT {key} + 100 AS {key}, list_transform(features, lambda x: x * 2) AS features FROM {view}) AS n
+        ON n.{key} = o.{key}) AS t""",
     )
 
 
@@ -228,7 +230,7 @@ _SHARED = """array_to_string(list_sort(list_intersect(string_split(b.genres, '|'
 
 def _reasons(best: str) -> str:
     return f"""SELECT c.user_id, c.movie_id AS target_id, CAST(b.position AS INT) AS position, b.movie_id, b.title, b.rating, {_SHARED} AS shared_genres
-        FROM cosine_top c LEFT JOIN movies m ON m.movie_id = c.movie_id JOIN ({best}) AS b ON b.user_id = c.user_id"""
+        FROM customer_cosine_top c LEFT JOIN movies m ON m.movie_id = c.movie_id JOIN ({best}) AS b ON b.user_id = c.user_id"""
 
 
 _BEST_ORDER = "rating DESC, rated_at DESC NULLS LAST, movie_id"
@@ -298,13 +300,17 @@ ORACLE: dict[str, str] = {
     "last_write_wins": _with("ratings", "SELECT * FROM ratings"),
     "upsert_movies": _with(
         "movies",
-        """SELECT movie_id, CONCAT('New ', title) AS title, CAST(NULL AS VARCHAR) AS genres FROM movies WHERE movie_id % 2 = 0
-        UNION ALL SELECT movie_id, title, genres FROM movies WHERE movie_id % 3 <> 0 AND movie_id % 2 <> 0""",
+        """SELECT movie_id + 100 AS movie_id, CONCAT('New ', title) AS title, CAST(NULL AS VARCHAR) AS genres FROM movies
+        UNION ALL SELECT movie_id, title, genres FROM movies WHERE movie_id NOT IN (SELECT movie_id + 100 FROM movies)""",
     ),
     "upsert_ratings": _with(
-        "ratings",
-        """SELECT user_id, movie_id, CAST(0.5 AS DOUBLE) AS rating, rated_at FROM ratings WHERE movie_id % 2 = 0
-        UNION ALL SELECT * FROM ratings WHERE movie_id % 3 <> 0 AND movie_id % 2 <> 0""",
+        "ratings_raw",
+        """SELECT user_id, movie_id, rating, rated_at FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, movie_id
+                                     ORDER BY o_orderstatus <> 'F' DESC, rated_at DESC, rating DESC) AS rn
+        FROM (SELECT CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS movie_id,
+              CEIL(l_quantity / 5) / 2 AS rating, l_shipdate AS rated_at, o_orderstatus
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS r) AS t WHERE rn = 1""",
     ),
     "upsert_user_factors": _upserted_factors("user_factors", "user_id"),
     "upsert_movie_factors": _upserted_factors("movie_factors", "movie_id"),
@@ -385,21 +391,41 @@ ORACLE: dict[str, str] = {
         FROM cosine_top JOIN movies USING (movie_id)""",
     ),
     "recommend_customers": _with(
-        "movies",
-        f"""SELECT user_id, CAST(rank AS INT) AS rank, t.movie_id, m.title, m.genres, round(score, 6) AS similarity FROM (
-        SELECT user_id, movie_id, score, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
-        FROM (SELECT u.user_id, i.movie_id, list_cosine_similarity(u.features, i.features) AS score
-              FROM (SELECT CAST(c_custkey AS INT) AS user_id, {_made_vector('c_custkey', 42)} AS features FROM customer) AS u
-              CROSS JOIN (SELECT CAST(p_partkey AS INT) AS movie_id, {_made_vector('p_partkey', 43)} AS features FROM part) AS i
-        ) AS pairs) AS t JOIN movies m ON m.movie_id = t.movie_id WHERE rank <= 10""",
-    ),
-    "explain_pairs": _with("cosine_top liked movies", _reasons(_TOP_LIKED)),
+        "customer_cosine_top movies",
+        """SELECT c.user_id, CAST(c.rank AS INT) AS rank, c.movie_id, m.title, m.genres, round(c.score, 6) AS similarity
+        FROM customer_cosine_top c JOIN movies m ON m.movie_id = c.movie_id""",
+    ),
+    "customer_topk_dot_excluding": _with(
+        "customer_unseen_top",
+        "SELECT user_id, movie_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM customer_unseen_top",
+    ),
+    "customer_metrics": _with(
+        "customer_per_user",
+        """SELECT user_id, relevant, hits, round(precision, 6) AS precision, hit, round(recall, 6) AS recall,
+        round(ndcg, 6) AS ndcg FROM customer_per_user""",
+    ),
+    "customer_mean_metrics": _with(
+        "customer_per_user",
+        """SELECT round(AVG(precision), 6) AS precision, round(AVG(hit), 6) AS hit_rate, round(AVG(recall), 6) AS recall,
+        round(AVG(ndcg), 6) AS ndcg, COUNT(*) AS users FROM customer_per_user""",
+    ),
+    "customer_predicted_ratings": _with(
+        "customer_predicted", "SELECT user_id, movie_id, rating, round(prediction, 6) AS prediction FROM customer_predicted"
+    ),
+    "customer_rmse": _with(
+        "customer_predicted",
+        """SELECT round(sqrt(AVG((prediction - rating) * (prediction - rating))), 6) AS rmse, COUNT(*) AS rows
+        FROM customer_predicted""",
+    ),
+    "customer_relevant_items": _with("customer_relevant", _sets("customer_relevant")),
+    "customer_train_items": _with("customer_train", _sets("customer_train")),
+    "explain_pairs": _with("customer_cosine_top liked movies", _reasons(_TOP_LIKED)),
     "explain_pairs_sharing": _with(
-        "cosine_top liked movies",
+        "customer_cosine_top liked movies",
         f"""SELECT user_id, target_id, CAST(position AS INT) AS position, movie_id, title, rating, shared_genres FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, target_id ORDER BY {_BEST_ORDER}) AS position FROM (
         SELECT c.user_id, c.movie_id AS target_id, b.movie_id, b.title, b.rating, b.rated_at, {_SHARED} AS shared_genres
-        FROM cosine_top c JOIN movies m ON m.movie_id = c.movie_id JOIN liked b ON b.user_id = c.user_id) AS s
+        FROM customer_cosine_top c JOIN movies m ON m.movie_id = c.movie_id JOIN liked b ON b.user_id = c.user_id) AS s
         WHERE shared_genres <> '') AS t WHERE position <= 3""",
     ),
     "user_history": _with("history", "SELECT * FROM history"),
@@ -412,15 +438,17 @@ ORACLE: dict[str, str] = {
     "user_stats": _with(
         "ratings movies",
         """, known AS (SELECT r.user_id, CAST(round(r.rating * 10) AS BIGINT) AS tenths, m.genres
-                FROM ratings r JOIN movies m ON m.movie_id = r.movie_id WHERE r.user_id % 50 <> 0),
+                FROM ratings r JOIN movies m ON m.movie_id = r.movie_id),
         totals AS (SELECT user_id, COUNT(*) AS n, CAST(SUM(tenths) AS BIGINT) AS s FROM known GROUP BY user_id),
         genres AS (SELECT user_id, genre, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY c DESC, genre) AS place FROM (
             SELECT user_id, genre, COUNT(*) AS c FROM (SELECT user_id, unnest(string_split(genres, '|')) AS genre FROM known) AS e
             GROUP BY user_id, genre) AS g)
-        SELECT CAST(c_custkey AS INT) AS user_id, COALESCE(t.n, 0) AS ratings_count,
+        SELECT e.user_id, COALESCE(t.n, 0) AS ratings_count,
         ((2 * t.s + t.n) // (2 * t.n)) / CAST(10 AS DOUBLE) AS avg_score, g.genre AS top_affinity
-        FROM customer LEFT JOIN totals t ON t.user_id = c_custkey
-        LEFT JOIN genres g ON g.user_id = c_custkey AND g.place = 1""",
+        FROM (SELECT CAST(c_custkey AS INT) AS user_id FROM customer
+              UNION ALL SELECT CAST(c_custkey + 100000000 AS INT) FROM customer) AS e
+        LEFT JOIN totals t ON t.user_id = e.user_id
+        LEFT JOIN genres g ON g.user_id = e.user_id AND g.place = 1""",
     ).replace("\n, known", ",\nknown"),
     "rating_counts": _with(
         "ratings_raw",
@@ -428,7 +456,7 @@ ORACLE: dict[str, str] = {
     ),
     "all_users": _with(
         "user_factors ratings",
-        _COUNTED_USERS.format(ratings="(SELECT * FROM ratings WHERE user_id % 20 <> 0)") + " ORDER BY 1 LIMIT 500",
+        _COUNTED_USERS.format(ratings="ratings") + " ORDER BY 1 LIMIT 500",
     ),
     "user_picker": _with(
         "user_factors ratings",
@@ -445,8 +473,8 @@ ORACLE: dict[str, str] = {
               SUM(CAST(percentage AS DOUBLE)) OVER (PARTITION BY user_id ORDER BY rank) AS upto FROM distribution) AS t""",
     ),
     "user_movie_rating": _with(
-        "cosine_top ratings",
-        """SELECT c.user_id, c.movie_id, r.rating FROM cosine_top c
+        "customer_cosine_top ratings",
+        """SELECT c.user_id, c.movie_id, r.rating FROM customer_cosine_top c
         LEFT JOIN ratings r ON r.user_id = c.user_id AND r.movie_id = c.movie_id""",
     ),
     "trending": _with(
@@ -475,7 +503,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT * FROM movies WHERE genres ILIKE '%promo%' ORDER BY title, movie_id LIMIT 30) AS t""",
     ),
     "all_genres": _with("movies", "SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM movies ORDER BY genre"),
-    "movie_details": _with("movies", "SELECT movie_id, title, genres FROM movies WHERE movie_id = 97"),
+    "movie_details": _with("movies", "SELECT movie_id, title, genres FROM movies"),
     "title_year": _with("movies", f"SELECT movie_id, {_TITLE} AS title, {_YEAR} AS year FROM movies"),
     "genre_text": _with("movies", f"SELECT movie_id, {_genre_text(3)} AS genre_text FROM movies"),
     "health": _with(

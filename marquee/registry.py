@@ -89,24 +89,33 @@ def last_write_wins(p: Proxies) -> DataFrame:
 
 @query
 def upsert_movies(p: Proxies) -> DataFrame:
-    existing = p.movies.filter("movie_id % 3 <> 0")
-    incoming = p.movies.filter("movie_id % 2 = 0").withColumn("title", F.concat(F.lit("New "), "title"))
-    return keyed.upsert(existing, incoming.withColumn("genres", F.lit(None).cast("string")), ["movie_id"])
+    """All movies, then all of them again under other ids, with other titles and without genres."""
+    incoming = p.movies.select(
+        (F.col("movie_id") + 100).alias("movie_id"),
+        F.concat(F.lit("New "), "title").alias("title"),
+        F.lit(None).cast("string").alias("genres"),
+    )
+    return keyed.upsert(p.movies, incoming, ["movie_id"])
 
 
 @query
 def upsert_ratings(p: Proxies) -> DataFrame:
-    existing = p.ratings.filter("movie_id % 3 <> 0")
-    incoming = p.ratings.filter("movie_id % 2 = 0").withColumn("rating", F.lit(0.5))
-    return keyed.upsert(existing, incoming, ["user_id", "movie_id"])
+    """The ratings of finished orders, then those of all others."""
+    key, newest = ["user_id", "movie_id"], ["rated_at", "rating"]
+    finished = F.col("o_orderstatus") == "F"
+    existing = keyed.last_write_wins(p.ratings_of(finished), key, newest)
+    incoming = keyed.last_write_wins(p.ratings_of(~finished), key, newest)
+    return keyed.upsert(existing, incoming, key)
 
 
 def _upsert_factors(factors: DataFrame, id_column: str) -> DataFrame:
-    stamped = factors.withColumn("loaded_at", F.lit(1))
-    existing = stamped.filter(F.col(id_column) % 3 != 0)
-    doubled = stamped.withColumn("features", F.transform("features", lambda x: x * F.lit(2).cast("float")))
-    incoming = doubled.filter(F.col(id_column) % 4 == 2).withColumn("loaded_at", F.lit(2))
-    merged = keyed.upsert(existing, incoming, [id_column], ["loaded_at"])
+    """All vectors, then all of them again doubled and under other ids."""
+    incoming = factors.select(
+        (F.col(id_column) + 100).alias(id_column),
+        F.transform("features", lambda x: x * F.lit(2).cast("float")).alias("features"),
+        F.lit(2).alias("loaded_at"),
+    )
+    merged = keyed.upsert(factors.withColumn("loaded_at", F.lit(1)), incoming, [id_column], ["loaded_at"])
     total = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double"))
     return merged.select(id_column, F.size("features").alias("length"), F.round(total, 6).alias("total"), "loaded_at")
 
@@ -263,25 +272,74 @@ def recommended_and_liked(p: Proxies) -> DataFrame:
 
 @query
 def als_factors(p: Proxies) -> DataFrame:
-    users, items = training.factor_tables(training.train_als(p.eval_split[0], SHORT_FIT))
+    users, items = training.factor_tables(training.train_als(p.customer_split[0], SHORT_FIT))
     users = users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "features")
     return users.unionByName(items.select(F.lit("movie").alias("kind"), F.col("movie_id").alias("id"), "features"))
 
 
 @query
 def als_rmse(p: Proxies) -> DataFrame:
-    train, test = p.eval_split
+    train, test = p.customer_split
     model = training.train_als(train, SHORT_FIT)
     return evaluation.rmse(model.transform(test.withColumn("rating", F.col("rating").cast("float"))))
 
 
 @query
 def als_ranking(p: Proxies) -> DataFrame:
-    train, test = p.eval_split
+    train, test = p.customer_split
     users, items = training.factor_tables(training.train_als(train, SHORT_FIT))
     return evaluation.mean_metrics(evaluation.user_metrics(users, items, train, test, k=10))
 
 
+# The same evaluation of every customer on every part
+
+
+@query
+def customer_relevant_items(p: Proxies) -> DataFrame:
+    return _set_text(evaluation.relevant_pairs(p.customer_split[1], p.part_vectors))
+
+
+@query
+def customer_train_items(p: Proxies) -> DataFrame:
+    return _set_text(p.customer_split[0])
+
+
+@query
+def customer_topk_dot_excluding(p: Proxies) -> DataFrame:
+    train, test = p.customer_split
+    relevant = evaluation.relevant_pairs(test, p.part_vectors)
+    return _rounded(evaluation.ranked_for_evaluation(p.customer_vectors, p.part_vectors, train, relevant, 10), "score")
+
+
+def _customer_metrics(p: Proxies) -> DataFrame:
+    return evaluation.user_metrics(p.customer_vectors, p.part_vectors, *p.customer_split, k=10)
+
+
+@query
+def customer_metrics(p: Proxies) -> DataFrame:
+    return _rounded(_customer_metrics(p), "precision", "recall", "ndcg")
+
+
+@query
+def customer_mean_metrics(p: Proxies) -> DataFrame:
+    return _rounded(evaluation.mean_metrics(_customer_metrics(p)), "precision", "hit_rate", "recall", "ndcg")
+
+
+def _customer_predictions(p: Proxies) -> DataFrame:
+    test = p.customer_split[1].select("user_id", "movie_id", "rating")
+    return evaluation.predict(test, p.customer_vectors, p.part_vectors)
+
+
+@query
+def customer_predicted_ratings(p: Proxies) -> DataFrame:
+    return _rounded(_customer_predictions(p), "prediction")
+
+
+@query
+def customer_rmse(p: Proxies) -> DataFrame:
+    return _rounded(evaluation.rmse(_customer_predictions(p)), "rmse")
+
+
 # Recommendations
 
 
@@ -311,7 +369,7 @@ def recommendation_cards(p: Proxies) -> DataFrame:
 
 
 def _reasons(p: Proxies, require_shared: bool) -> DataFrame:
-    pairs = top_k(p.user_factors, p.movie_factors, 10)
+    pairs = top_k(p.customer_vectors, p.part_vectors, 10)
     reasons = recommend.explanations(pairs, p.ratings, p.movies, 3, require_shared)
     return reasons.withColumn("shared_genres", display.readable_list(F.col("shared_genres")))
 
@@ -341,8 +399,10 @@ def history_pages(p: Proxies) -> DataFrame:
 
 @query
 def user_stats(p: Proxies) -> DataFrame:
-    everyone = p.table("customer").select(F.col("c_custkey").cast("int").alias("user_id"))
-    return profiles.stats(p.ratings.filter("user_id % 50 <> 0"), p.movies, everyone)
+    """All customers, and as many newcomers who have rated nothing."""
+    ids = [(F.col("c_custkey") + shift).cast("int") for shift in (0, 100_000_000)]
+    everyone = p.table("customer").select(F.explode(F.array(*ids)).alias("user_id"))
+    return profiles.stats(p.ratings, p.movies, everyone)
 
 
 @query
@@ -352,7 +412,7 @@ def rating_counts(p: Proxies) -> DataFrame:
 
 @query
 def all_users(p: Proxies) -> DataFrame:
-    return profiles.all_users(p.user_factors, p.ratings.filter("user_id % 20 <> 0"), 500)
+    return profiles.all_users(p.user_factors, p.ratings, 500)
 
 
 @query
@@ -372,7 +432,7 @@ def taste_shares(p: Proxies) -> DataFrame:
 
 @query
 def user_movie_rating(p: Proxies) -> DataFrame:
-    return profiles.ratings_for_pairs(top_k(p.user_factors, p.movie_factors, 10), p.ratings)
+    return profiles.ratings_for_pairs(top_k(p.customer_vectors, p.part_vectors, 10), p.ratings)
 
 
 # Catalogue
@@ -415,7 +475,7 @@ def all_genres(p: Proxies) -> DataFrame:
 
 @query
 def movie_details(p: Proxies) -> DataFrame:
-    return catalog.movie_details(p.movies, 97)
+    return catalog.movie_details(p.movies)
 
 
 @query

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.operators.keyed import last_write_wins
 from marquee.operators.split import split_arithmetic
@@ -81,6 +81,10 @@ class Proxies:
         """One row per purchase; a user may have several for one movie."""
         return self._order_lines.selectExpr(*columns(RAW_RATING))
 
+    def ratings_of(self, orders: Column) -> DataFrame:
+        """The purchases of some orders, as ratings."""
+        return self._order_lines.filter(orders).selectExpr(*columns(RAW_RATING))
+
     @cached_property
     def ratings(self) -> DataFrame:
         """The newest rating per user and movie."""
@@ -119,13 +123,17 @@ class Proxies:
     @cached_property
     def ratings_eval(self) -> DataFrame:
         """Ratings with ids folded onto the vectors, so that recommendations can hit."""
-        lines = self._order_lines.filter("l_linenumber = 1").selectExpr(*columns(EVAL_RATING))
+        lines = self._order_lines.selectExpr(*columns(EVAL_RATING))
         return lines.groupBy("user_id", "movie_id").agg(F.max("rating").alias("rating"))
 
     @cached_property
     def eval_split(self) -> tuple[DataFrame, DataFrame]:
         return split_arithmetic(self.ratings_eval, "user_id", "movie_id")
 
+    @cached_property
+    def customer_split(self) -> tuple[DataFrame, DataFrame]:
+        return split_arithmetic(self.ratings, "user_id", "movie_id")
+
     @cached_property
     def latencies(self) -> DataFrame:
         """Event values read as latency measures."""
