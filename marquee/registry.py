@@ -272,21 +272,21 @@ def recommended_and_liked(p: Proxies) -> DataFrame:
 
 @query
 def als_factors(p: Proxies) -> DataFrame:
-    users, items = training.factor_tables(training.train_als(p.customer_split[0], SHORT_FIT))
+    users, items = training.factor_tables(training.train_als(p.stored_split[0], SHORT_FIT))
     users = users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "features")
     return users.unionByName(items.select(F.lit("movie").alias("kind"), F.col("movie_id").alias("id"), "features"))
 
 
 @query
 def als_rmse(p: Proxies) -> DataFrame:
-    train, test = p.customer_split
+    train, test = p.stored_split
     model = training.train_als(train, SHORT_FIT)
     return evaluation.rmse(model.transform(test.withColumn("rating", F.col("rating").cast("float"))))
 
 
 @query
 def als_ranking(p: Proxies) -> DataFrame:
-    train, test = p.customer_split
+    train, test = p.stored_split
     users, items = training.factor_tables(training.train_als(train, SHORT_FIT))
     return evaluation.mean_metrics(evaluation.user_metrics(users, items, train, test, k=10))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.operators.keyed import last_write_wins
 from marquee.operators.split import split_arithmetic
-from marquee.session import configure
+from marquee.session import configure, store_once
 from marquee.sources.schemas import EMBEDDING_DIM
 from marquee.sources.synthetic import arithmetic_vector
 
@@ -134,6 +134,11 @@ class Proxies:
     def customer_split(self) -> tuple[DataFrame, DataFrame]:
         return split_arithmetic(self.ratings, "user_id", "movie_id")
 
+    @cached_property
+    def stored_split(self) -> tuple[DataFrame, DataFrame]:
+        """The same split of ratings computed once, for jobs that read them many times."""
+        return split_arithmetic(store_once(self.ratings, "ratings"), "user_id", "movie_id")
+
     @cached_property
     def latencies(self) -> DataFrame:
         """Event values read as latency measures."""

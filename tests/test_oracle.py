@@ -8,6 +8,8 @@ import __spark_entry__ as driver
 from compare import duck, duck_rows, spark_rows
 
 TESTDATA = "/root/testdata"
+# The smallest folder unless told otherwise, such as MARQUEE_SCALES=0.001,0.01.
+SCALES = os.environ.get("MARQUEE_SCALES", "0.001").split(",")
 QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 WITHOUT_SQL = {"vector_texts", "synthetic_vectors", "split_random", "als_factors", "als_rmse", "als_ranking", "recommend_lsh"}
 
@@ -19,7 +21,7 @@ def test_only_the_named_queries_lack_sql():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+@pytest.mark.parametrize("scale", SCALES)
 def test_same_rows(spark, scale, name):
     sf_dir = f"{TESTDATA}/sf{scale}"
     columns, found = spark_rows(QUERIES[name](spark, sf_dir))

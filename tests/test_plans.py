@@ -15,10 +15,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
 @pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_no_query_pairs_all_rows(spark, with_conf, name, broadcast):
-    with_conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
+def test_no_query_pairs_all_rows(spark, with_conf, name):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
     text = plan(driver.queries()[name](spark, SF))
     assert "CartesianProduct" not in text
     assert "NestedLoopJoin" not in text
