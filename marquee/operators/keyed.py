@@ -25,19 +25,17 @@ def upsert(
     """``existing`` with the rows of ``incoming`` added, or put in place of those with their key.
 
     Columns in ``kept_from_existing`` keep the value of the row that was there first. Each
-    input holds a key at most once (a contract checks it). One shuffle of both inputs.
+    input holds a key at most once, never null (a contract checks it). A small ``incoming``
+    is broadcast by Spark's own size check, and then ``existing`` is not shuffled at all.
     """
-    updated = [c for c in existing.columns if c not in key and c not in kept_from_existing]
-    both = existing.withColumn("_new", F.lit(0)).unionByName(incoming.select(*existing.columns).withColumn("_new", F.lit(1)))
-    # A struct is never null itself, so a null in the incoming row replaces the old value too.
-    picked = both.groupBy(*key).agg(
-        F.max_by(F.struct(F.lit(True).alias("_any"), *updated), "_new").alias("_last"),
-        F.min_by(F.struct(F.lit(True).alias("_any"), *kept_from_existing), "_new").alias("_first"),
-    )
-
-    def pick(c: str):
-        if c in key:
-            return F.col(c)
-        return F.col(f"_first.{c}" if c in kept_from_existing else f"_last.{c}").alias(c)
-
-    return picked.select(*[pick(c) for c in existing.columns])
+    rows = incoming.select(*existing.columns)
+    keys = incoming.select(*key)
+    untouched = existing.join(keys, list(key), "left_anti").select(*existing.columns)
+    if kept_from_existing:
+        held = existing.select(*key, F.struct(*kept_from_existing).alias("_held")).join(keys, list(key), "left_semi")
+        first = [
+            F.when(F.col("_held").isNotNull(), F.col(f"_held.{c}")).otherwise(F.col(c)).alias(c) if c in kept_from_existing else c
+            for c in existing.columns
+        ]
+        rows = rows.join(held, list(key), "left").select(*first)
+    return untouched.unionByName(rows)

@@ -27,6 +27,9 @@ ITEMS_PER_CELL = 32768
 _TILE_SCORES = 8_000_000
 _PAIRS_AT_ONCE = 200_000
 _GROUPS = 512
+# Numbers in the item vectors of a cell: long vectors make smaller cells, down to a least number of items.
+_CELL_NUMBERS = 4_194_304
+_LEAST_ITEMS = 1024
 
 METRICS = ("cosine", "dot")
 
@@ -51,6 +54,7 @@ def top_k(
     ``sized_by`` stands in for ``users`` when counting, if ``users`` is costly to compute.
     """
     user_count, item_count = _sizes(users if sized_by is None else sized_by, items)
+    items_per_cell = min(items_per_cell, max(_LEAST_ITEMS, _CELL_NUMBERS // _dimension(items, features)))
     item_blocks = max(1, ceil(item_count / items_per_cell))
     # Two cells for every core if there is work for them, but no more: each user block is one more copy of the items.
     cores = users.sparkSession.sparkContext.defaultParallelism
@@ -85,6 +89,11 @@ def _sizes(users: DataFrame, items: DataFrame) -> tuple[int, int]:
     return counts[0], counts[1] - counts[0]
 
 
+def _dimension(items: DataFrame, features: str) -> int:
+    row = items.select(F.size(features)).filter(F.col(features).isNotNull()).first()
+    return max(1, row[0]) if row else 1
+
+
 def _block(id_column: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(F.col(id_column).cast("bigint")), blocks.cast("bigint")).cast("int")
 

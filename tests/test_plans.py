@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from marquee.operators.keyed import upsert
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, profiles
 from marquee.sources.proxies import Proxies
@@ -55,6 +56,18 @@ def test_ratings_are_counted_before_they_are_joined(spark, with_conf):
     assert "HashAggregate" in below
 
 
+def test_a_small_upsert_does_not_shuffle_the_table(spark, tmp_path):
+    p = Proxies(spark, SF)
+    p.ratings.write.parquet(str(tmp_path / "r"))
+    existing = spark.read.parquet(str(tmp_path / "r"))
+    incoming = existing.filter("user_id = 3").withColumn("rating", F.lit(1.0))
+    merged = upsert(existing, incoming, ["user_id", "movie_id"])
+    assert merged.columns == existing.columns
+    text = plan(merged)
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert merged.count() == existing.count()
+
+
 def test_a_hot_movie_is_cut_into_several_tasks(spark, with_conf):
     with_conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
