@@ -131,11 +131,14 @@ def _cell_scorer(k: int, metric: str, excluding: bool) -> Callable[[pa.Table, pa
             return out_schema.empty_table()
         items = right.column("_item").to_numpy()
         order = np.argsort(items, kind="stable")
-        items = items[order]
+        item_matrix = _matrix(right.column("_if"))[order]
         users = left.column("_user").to_numpy()
-        item_side = _Side(_matrix(right.column("_if"))[order], unit=metric == "cosine")
-        user_side = _Side(_matrix(left.column("_uf")), unit=True)
         seen = left.column("_seen").combine_chunks() if excluding else None
+        # Of equal vectors the lower ids win, so only as many can matter as are wanted and hidden together.
+        possible = _copies_before(item_matrix) < k + (_longest(seen) if excluding else 0)
+        items = items[order][possible]
+        item_side = _Side(item_matrix[possible], unit=metric == "cosine")
+        user_side = _Side(_matrix(left.column("_uf")), unit=True)
 
         step = max(1, _TILE_SCORES // len(items))
         found = []
@@ -151,6 +154,25 @@ def _cell_scorer(k: int, metric: str, excluding: bool) -> Callable[[pa.Table, pa
     return score
 
 
+def _copies_before(matrix: np.ndarray) -> np.ndarray:
+    """How many earlier rows equal each row."""
+    none = np.zeros(len(matrix), dtype=np.int64)
+    weights = np.sqrt(np.arange(2.0, matrix.shape[1] + 2.0))
+    if len(np.unique(np.einsum("ij,j->i", matrix, weights))) == len(matrix):
+        return none
+    whole_rows = np.ascontiguousarray(matrix).view(np.dtype((np.void, matrix.dtype.itemsize * matrix.shape[1]))).ravel()
+    _, group = np.unique(whole_rows, return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(group[order]) > 0])
+    earlier = none.copy()
+    earlier[order] = np.arange(len(matrix)) - np.repeat(starts, np.diff(np.r_[starts, len(matrix)]))
+    return earlier
+
+
+def _longest(seen: pa.ListArray) -> int:
+    return int(np.nan_to_num(seen.value_lengths().to_numpy(zero_copy_only=False)).max())
+
+
 class _Side:
     """The vectors of one side of a cell: exact, and scaled to lengths of at most 1."""
 
@@ -171,7 +193,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _pair_products(user_matrix: np.ndarray, item_matrix: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
-    """Dot product of each chosen pair, a bounded number at a time: copies of one item may tie by the thousand."""
+    """Dot product of each chosen pair, a bounded number at a time."""
     values = np.empty(len(row))
     for start in range(0, len(row), _PAIRS_AT_ONCE):
         part = slice(start, start + _PAIRS_AT_ONCE)
@@ -204,7 +226,8 @@ def _best_in_tile(
     if metric == "cosine":
         # A similarity that does not exist stands below every real one.
         scores[:, items.norms == 0] = -2.0
-        scores[users.norms[rows] == 0] = -2.0
+    # All pairs of a zero vector tie, so the lowest ids win; said so, they are not all candidates.
+    scores[users.norms[rows] == 0] = -np.arange(scores.shape[1], dtype=np.float32)
     if hidden is not None:
         scores[hidden] = -np.inf
     bound = 4 * items.exact.shape[1] * np.finfo(np.float32).eps

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions.vectors import cosine_distance, cosine_similarity, dot
+from marquee.operators import topk
 from marquee.operators.lsh import top_k_lsh
 from marquee.operators.topk import top_k
 
@@ -93,6 +94,27 @@ def test_more_items_than_groups(spark):
     assert_same(best, brute(users, items, 10, "dot"))
 
 
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+def test_crowds_of_copies(spark, metric):
+    """A third of the users zero, two thirds of the items copies, and some copies hidden."""
+    rng = np.random.default_rng(12)
+    users, items = rng.normal(size=(30, 4)).astype(np.float32), rng.normal(size=(600, 4)).astype(np.float32)
+    users[::3] = 0
+    items[100:300] = 3 * items[5]
+    items[300:500] = 0
+    hidden = {(u, i) for u in (2, 4, 5) for i in range(90, 140)}
+    pairs = spark.createDataFrame(sorted(hidden), "user_id int, movie_id int")
+    best = top_k(vectors(spark, users, "user_id"), vectors(spark, items, "movie_id"), 12, metric, pairs)
+    assert_same(best, brute(users, items, 12, metric, hidden))
+    assert_same(top_k(vectors(spark, users, "user_id"), vectors(spark, items, "movie_id"), 12, metric), brute(users, items, 12, metric))
+
+
+def test_copies_before():
+    matrix = np.array([[1.0, 2.0], [3.0, 4.0], [1.0, 2.0], [1.0, 2.0], [3.0, 4.0], [5.0, 6.0]])
+    assert topk._copies_before(matrix).tolist() == [0, 0, 1, 2, 1, 0]
+    assert topk._copies_before(matrix[:2]).tolist() == [0, 0]
+
+
 def test_magnitudes_far_apart(spark):
     rng = np.random.default_rng(9)
     items = (rng.normal(size=(300, 6)) * 10.0 ** rng.integers(-12, 12, size=(300, 1))).astype(np.float32)
