@@ -70,9 +70,9 @@ VIEWS = {
     "dirty_movies": f"{_select(DIRTY_MOVIE)} FROM part",
     "dirty_ratings": f"{_select(DIRTY_RATING)} {_LINES}",
     "user_factors": """SELECT CAST(vec_id AS INT) AS user_id, CAST(embedding AS DOUBLE[]) AS features
-        FROM embeddings WHERE vec_id % 10 = 0""",
+        FROM embeddings""",
     "movie_factors": """SELECT CAST(vec_id AS INT) AS movie_id, CAST(embedding AS DOUBLE[]) AS features
-        FROM embeddings WHERE vec_id % 10 <> 0""",
+        FROM embeddings""",
     "ratings_eval": f"""SELECT user_id, movie_id, MAX(rating) AS rating
         FROM ({_select(EVAL_RATING)} {_LINES}) AS t GROUP BY user_id, movie_id""",
     "cleaned_ratings": """SELECT TRY_CAST(trim(userId) AS INTEGER) AS userId, TRY_CAST(trim(movieId) AS INTEGER) AS movieId,

@@ -48,8 +48,8 @@ RAW_RATING = {
     "rated_at": "l_shipdate",
 }
 EVAL_RATING = {
-    "user_id": "CAST((o_custkey % 50) * 10 AS INT)",
-    "movie_id": "CAST(FLOOR((l_partkey % 450) / 9) * 10 + l_partkey % 9 + 1 AS INT)",
+    "user_id": "CAST(o_custkey % 500 AS INT)",
+    "movie_id": "CAST(l_partkey % 500 AS INT)",
     "rating": "CEIL(l_quantity / 5) / 2",
 }
 
@@ -98,15 +98,18 @@ class Proxies:
     def dirty_ratings(self) -> DataFrame:
         return self._order_lines.selectExpr(*columns(DIRTY_RATING))
 
+    def _vectors(self, id_column: str) -> DataFrame:
+        vectors = self.table("embeddings")
+        return vectors.select(F.col("vec_id").cast("int").alias(id_column), F.col("embedding").alias("features"))
+
     @cached_property
     def user_factors(self) -> DataFrame:
-        vectors = self.table("embeddings").filter("vec_id % 10 = 0")
-        return vectors.select(F.col("vec_id").cast("int").alias("user_id"), F.col("embedding").alias("features"))
+        """Every stored vector as a user; each is a movie too."""
+        return self._vectors("user_id")
 
     @cached_property
     def movie_factors(self) -> DataFrame:
-        vectors = self.table("embeddings").filter("vec_id % 10 <> 0")
-        return vectors.select(F.col("vec_id").cast("int").alias("movie_id"), F.col("embedding").alias("features"))
+        return self._vectors("movie_id")
 
     @cached_property
     def customer_vectors(self) -> DataFrame:
