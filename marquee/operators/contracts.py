@@ -91,7 +91,9 @@ def check(df: DataFrame, contract: Contract, referenced: dict[str, DataFrame] |
 
 def _long(totals: DataFrame) -> DataFrame:
     """One row of named counts as (check, violations) rows."""
-    pairs = [F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("bigint").alias("violations")) for c in totals.columns]
+    pairs = [
+        F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("bigint").alias("violations")) for c in totals.columns
+    ]
     return totals.select(F.inline(F.array(*pairs)))
 
 
@@ -120,6 +122,18 @@ def enforce(report: DataFrame) -> None:
         raise ContractError("; ".join(f"{r['table']}: {r['check']} ({r['violations']})" for r in failed))
 
 
+def check_factors(users: DataFrame, items: DataFrame, dim: int) -> None:
+    """Raise unless all ids are integers, each once, and all vectors have length ``dim``."""
+    for df, contract in (
+        (users, factor_contract("user_factors", "user_id", dim)),
+        (items, factor_contract("movie_factors", "movie_id", dim)),
+    ):
+        problems = schema_problems(df, contract)
+        if problems:
+            raise ContractError(f"{contract.table}: {', '.join(problems)}")
+        enforce(check(df, contract))
+
+
 def synthetic_check(factors: DataFrame, records: int, dim: int, table: str) -> DataFrame:
     """Generated vectors: ids 1..records each once, ``dim`` floats, all within [-1, 1]."""
     values = F.col("features")

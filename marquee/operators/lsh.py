@@ -12,7 +12,7 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.operators.topk import ITEMS_PER_CELL, USERS_PER_CELL, best_of, score_cells
+from marquee.operators.topk import ITEMS_PER_CELL, USERS_PER_CELL, best_of, named, score_cells
 
 
 def top_k_lsh(
@@ -59,9 +59,7 @@ def top_k_lsh(
     found = score_cells(left, right, ["_sig", "_ub", "_ib"], k, "cosine")
     # A pair met in several bands has the same score in each.
     once = found.select("_user", "_item", "_score").distinct()
-    return best_of(once, k).select(
-        F.col("_user").alias(user_col), F.col("_item").alias(item_col), F.col("_score").alias("score"), F.col("_rank").alias("rank")
-    )
+    return named(best_of(once, k), user_col, item_col)
 
 
 def _hashable(df: DataFrame, id_column: str, features: str) -> DataFrame:

@@ -77,9 +77,13 @@ def top_k(
         left = left.join(_excluded_by_block(exclude, items, user_col, item_col, item_block), ["_user", "_ib"], "left")
     cells = score_cells(left, right, ["_ub", "_ib"], k, metric, exclude is not None)
     best = cells if item_blocks == 1 else best_of(cells, k)
-    return best.select(
-        F.col("_user").alias(user_col), F.col("_item").alias(item_col), F.col("_score").alias("score"), F.col("_rank").alias("rank")
-    )
+    return named(best, user_col, item_col)
+
+
+def named(scored: DataFrame, user_col: str, item_col: str) -> DataFrame:
+    """Scored pairs under the caller's column names."""
+    scores = scored.withColumnsRenamed({"_user": user_col, "_item": item_col, "_score": "score", "_rank": "rank"})
+    return scores.select(user_col, item_col, "score", "rank")
 
 
 def _sizes(users: DataFrame, items: DataFrame) -> tuple[int, int]:

@@ -67,8 +67,7 @@ def movie_cards(found: DataFrame) -> DataFrame:
 
 
 def user_picker(users: DataFrame) -> DataFrame:
-    label = F.concat(F.lit("User "), F.col("user_id").cast("string"), F.lit("  ·  "), F.col("rating_count").cast("string"), F.lit(" ratings"))
-    return users.select("user_id", label.alias("label"))
+    return users.select("user_id", F.format_string("User %d  ·  %d ratings", "user_id", "rating_count").alias("label"))
 
 
 def health_cards(health: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from marquee.operators.contracts import MOVIES, RATINGS, check, enforce, factor_contract, split_valid
+from marquee.operators.contracts import MOVIES, RATINGS, check, check_factors, enforce, factor_contract, split_valid
 from marquee.operators.keyed import upsert
 from marquee.sources import schemas
 
@@ -21,12 +21,11 @@ def write_clean(movies: DataFrame, ratings: DataFrame, out_dir: str) -> tuple[st
 
 
 def write_factors(users: DataFrame, items: DataFrame, out_dir: str, dim: int = schemas.EMBEDDING_DIM) -> tuple[str, str]:
-    """Store user and item vectors, then check what was stored; a wrong length or id raises."""
+    """Check user and item vectors, then store them; a wrong length or id raises and nothing is overwritten."""
+    check_factors(users, items, dim)
     paths = f"{out_dir}/user_factors.parquet", f"{out_dir}/movie_factors.parquet"
-    for df, path, old, new in ((users, paths[0], "user_id", "userId"), (items, paths[1], "movie_id", "movieId")):
-        df.withColumnRenamed(old, new).write.mode("overwrite").parquet(path)
-        stored = df.sparkSession.read.parquet(path)
-        enforce(check(stored, factor_contract(path.rsplit("/", 1)[1], new, dim)))
+    users.withColumnRenamed("user_id", "userId").write.mode("overwrite").parquet(paths[0])
+    items.withColumnRenamed("movie_id", "movieId").write.mode("overwrite").parquet(paths[1])
     return paths
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import RankingEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
 from marquee.functions import ranking
-from marquee.operators.contracts import ContractError
+from marquee.operators.contracts import ContractError, check_factors
 from marquee.plans import evaluation, training
 from marquee.sources.sinks import write_factors
 
@@ -142,9 +142,9 @@ def test_item_sets_are_chunked(spark):
 
 def test_als(ratings, model):
     users, items = training.factor_tables(model)
-    training.check_factors(users, items, 5)
+    check_factors(users, items, 5)
     with pytest.raises(ContractError, match="vector length"):
-        training.check_factors(users, items, 6)
+        check_factors(users, items, 6)
     assert training.vector_lengths(users).collect() == [(5, 10)]
     assert [dict(df.dtypes)["features"] for df in (users, items)] == ["array<float>"] * 2
     ours = {(r["user_id"], r["movie_id"]): r["prediction"] for r in evaluation.predict(ratings, users, items).collect()}
@@ -166,7 +166,8 @@ def test_export(spark, model, tmp_path):
     paths = write_factors(users, items, str(tmp_path), 5)
     assert [spark.read.parquet(p).columns for p in paths] == [["userId", "features"], ["movieId", "features"]]
     with pytest.raises(ContractError):
-        write_factors(users, items, str(tmp_path / "wrong"), 50)
+        write_factors(users.limit(1), items, str(tmp_path), 50)
+    assert spark.read.parquet(paths[0]).count() == 10
 
 
 def test_training_from_files(spark, tmp_path):
