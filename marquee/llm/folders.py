@@ -1,0 +1,15 @@
+"""Folders for files that an operator writes and reads again."""
+
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+from marquee.session import use_checkpoints
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the checkpoint folder, which all executors share."""
+    use_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"

@@ -67,3 +67,153 @@ def op10_sharding(spark, table):
     from marquee.llm.sharding import pack_shards
 
     return pack_shards(table("documents"), shards=24)
+
+
+@query
+def op6_warc(spark, table):
+    from marquee.llm import warc
+    from marquee.llm.folders import new_folder
+
+    arc, made = new_folder(spark, "arc"), new_folder(spark, "warc")
+    warc.write_arc(table("pages"), arc)
+    warc.arc_to_warc(spark, arc, made)
+    return warc.resolved(warc.read_warc(spark, made))
+
+
+# DuckDB has no base32: five bits of the digest at a time name a letter.
+ORACLE["op6_warc"] = """
+WITH digests AS (
+    SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes,
+        unhex(sha1(COALESCE(html, '')))::BIT::VARCHAR AS bits
+    FROM pages
+), named AS (
+    SELECT page_id, payload_bytes, bits, list_aggregate(list_transform(range(32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + list_sum(list_transform(range(5), lambda j: (1 << (4 - j)) * CAST(substr(bits, (5 * i + j + 1)::INT, 1) AS INT)))::INT,
+        1)), 'string_agg', '') AS payload_digest
+    FROM digests
+), largest AS (SELECT bits, max(page_id) AS original FROM named GROUP BY bits)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+FROM named JOIN largest USING (bits)
+"""
+
+
+@query
+def op9_secrets(spark, table):
+    from marquee.llm.secret_scan import find_secrets, spans_text
+
+    found = table("documents").select("doc_id", find_secrets(F.col("text")).alias("found"))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(spans_text(F.filter("found", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"),
+        spans_text(F.col("found")).alias("spans"),
+    )
+
+
+@query
+def op5_neighbours(spark, table):
+    from marquee.llm.neighbours import nearest_neighbours
+
+    return nearest_neighbours(table("embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def with_control_conversation(spark: SparkSession, conversations: DataFrame) -> DataFrame:
+    """All turns, and conversation -7, whose texts hold control strings."""
+    rows = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
+    own = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    return conversations.select("conv_id", "turn", "role", "text").unionByName(own)
+
+
+@query
+def op2_chat(spark, table):
+    from marquee.llm.chat import expand_prefix_targets, parse, trainable
+
+    examples = expand_prefix_targets(with_control_conversation(spark, table("conversations")))
+    read = examples.select(
+        "conv_id",
+        F.length("text").cast("long").alias("formatted"),
+        F.struct("example", trainable(F.col("text"), F.col("loss_start"), F.col("loss_length")).alias("text")).alias("loss"),
+        # The turns themselves are read from the example that holds them all.
+        F.when(F.col("is_last"), parse(F.col("text"))).alias("turns"),
+    )
+    read = read.select(
+        "conv_id",
+        "formatted",
+        "loss",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(
+            F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256
+        ).alias("turns_sha256"),
+    )
+    whole = read.groupBy("conv_id").agg(
+        F.max(F.when(F.col("n_turns") >= 0, F.col("n_turns"))).alias("n_turns"),
+        F.max("turns_sha256").alias("turns_sha256"),
+        F.array_join(F.transform(F.sort_array(F.collect_list("loss")), lambda x: x["text"]), "").alias("loss_text"),
+        F.sum("formatted").alias("formatted_chars"),
+    )
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def _shown_length(column: str, *controls: str) -> str:
+    """SQL for the escaped length of a column."""
+    text = rf"replace({column}, '\', '\\')"
+    for control in controls:
+        text = f"replace({text}, '{control}', '--')"
+    return f"length({text})"
+
+
+ORACLE["op2_chat"] = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}'
+    UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'
+), sized AS (
+    SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+        sum(4 + {_shown_length("role", "</turn>", "### ", ":")} + 2 + {_shown_length("text", "</turn>", "### ")} + 8) OVER w AS upto
+    FROM turns
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, any_value(n_turns) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+    COALESCE(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(COALESCE(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(upto) FILTER (role = 'assistant' OR n = n_turns)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query
+def op1_urls(spark, table):
+    from marquee.llm.url_templates import Rule, filter_urls
+
+    rules = [
+        Rule("allow", "org/"),
+        Rule("block", "example.org/es/"),
+        Rule("block", "example.org/en/1"),
+        Rule("allow", "com/fr/"),
+        Rule("block", "com/de/"),
+    ]
+    return filter_urls(table("pages"), rules)
+
+
+@query
+def op8_decontamination(spark, table):
+    from marquee.llm.decontamination import Benchmark
+
+    return Benchmark(table("benchmark")).leaks(table("documents"))
