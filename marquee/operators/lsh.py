@@ -1,27 +1,50 @@
 """Approximate nearest items: locality-sensitive hashing ahead of the exact scorer.
 
-Unit vectors are hashed by random projections. Several projections together make one
-signature, and a user is scored against the items that share a signature in any band.
+Vectors are projected on random directions, and each projection gives one bit: above or below the
+median of the items. A band is one signature of several bits, and a user is scored against the
+items that share its signature in any band, or the signature with one of the bits flipped whose projections lie closest to
+their medians. The number of bits follows the number of items, so a signature holds about
+``bucket_items`` of them however large the table is, and the share of all pairs that is scored falls as it grows.
 A crowded signature is cut into cells of bounded size like the exact search, and a cell
 gives k rows per user instead of all its pairs.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import sys
+from collections.abc import Iterator
+from math import ceil, log2
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.operators.topk import ITEMS_PER_CELL, USERS_PER_CELL, best_of, named, score_cells
 
+# Like the scorer, the hasher travels to the workers as code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BANDS = 8
+PROBES = 2
+BUCKET_ITEMS = 8
+# Items whose projections give the medians: those with the smallest hash of their id.
+SAMPLE = 2000
+_MOST_BITS = 40
+
+
+def signature_bits(items: int, bucket_items: int = BUCKET_ITEMS) -> int:
+    """Bits of a signature, such that one holds about ``bucket_items`` of the items."""
+    return min(_MOST_BITS, max(1, ceil(log2(max(2, items) / bucket_items)))) if items > bucket_items else 1
+
 
 def top_k_lsh(
     users: DataFrame,
     items: DataFrame,
     k: int,
-    bands: int = 8,
-    projections: int = 2,
-    bucket_length: float = 0.25,
+    bands: int = BANDS,
+    probes: int = PROBES,
+    bucket_items: int = BUCKET_ITEMS,
     seed: int = 42,
     user_col: str = "user_id",
     item_col: str = "movie_id",
@@ -31,53 +54,98 @@ def top_k_lsh(
 ) -> DataFrame:
     """(user, item, score, rank) by cosine; a true neighbour that shares no signature is missed.
 
-    More bands raise recall; more projections or shorter buckets make smaller candidate sets.
+    More bands and probes raise recall; smaller buckets make smaller candidate sets.
     """
-    all_users = _hashable(users, user_col, features).withColumnsRenamed({"_id": "_user", "_f": "_uf"})
-    all_items = _hashable(items, item_col, features).withColumnsRenamed({"_id": "_item", "_f": "_if"})
-    hasher = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hashes", bucketLength=bucket_length, numHashTables=bands * projections, seed=seed
-    ).fit(all_items)
-    left = _signed(hasher, all_users, bands, projections).select("_user", "_uf", "_sig")
-    right = _signed(hasher, all_items, bands, projections).select("_item", "_if", "_sig")
-
-    # A projection of a unit vector lies in [-1, 1]: there are at most
-    # bands * (2 / bucket_length + 2) ** projections signatures, however many vectors.
-    bound = bands * (2 / bucket_length + 2) ** projections
+    left, right = candidate_cells(
+        users, items, bands, probes, bucket_items, seed, user_col, item_col, features, users_per_cell, items_per_cell
+    )
+    found = score_cells(left, right, ["_sig", "_ub", "_ib"], k, "cosine")
+    # A pair met in several bands has the same score in each.
+    once = found.select("_user", "_item", "_score").distinct()
+    return named(best_of(once, k), user_col, item_col)
+
+
+def candidate_cells(
+    users: DataFrame,
+    items: DataFrame,
+    bands: int = BANDS,
+    probes: int = PROBES,
+    bucket_items: int = BUCKET_ITEMS,
+    seed: int = 42,
+    user_col: str = "user_id",
+    item_col: str = "movie_id",
+    features: str = "features",
+    users_per_cell: int = USERS_PER_CELL,
+    items_per_cell: int = ITEMS_PER_CELL,
+) -> tuple[DataFrame, DataFrame]:
+    """Users and items by signature, crowded signatures cut into cells."""
+    all_users = _directed(users, user_col, features).withColumnsRenamed({"_id": "_user", "_f": "_uf"})
+    all_items = _directed(items, item_col, features).withColumnsRenamed({"_id": "_item", "_f": "_if"})
+    bits = signature_bits(all_items.count(), bucket_items)
+    sampled = all_items.orderBy(F.xxhash64("_item"), "_item").limit(SAMPLE).select("_if").collect()
+    hasher = _Hasher(np.array([r[0] for r in sampled], dtype=np.float64), bands, bits, seed) if sampled else None
+    left = all_users.withColumn("_sig", F.explode(_signatures(hasher, F.col("_uf"), probes)))
+    right = all_items.withColumn("_sig", F.explode(_signatures(hasher, F.col("_if"), 0)))
+
     sizes = (
         left.groupBy("_sig").agg(F.ceil(F.count("*") / users_per_cell).cast("int").alias("_user_blocks"))
         .join(right.groupBy("_sig").agg(F.ceil(F.count("*") / items_per_cell).cast("int").alias("_item_blocks")), "_sig")
     )
-    sizes = F.broadcast(sizes) if bound <= 1_000_000 else sizes
-
     left = left.join(sizes, "_sig").select(
         "_user", "_uf", "_sig", _place("_user", "_user_blocks").alias("_ub"), _every("_item_blocks").alias("_ib")
     )
     right = right.join(sizes, "_sig").select(
         "_item", "_if", "_sig", _place("_item", "_item_blocks").alias("_ib"), _every("_user_blocks").alias("_ub")
     )
-    found = score_cells(left, right, ["_sig", "_ub", "_ib"], k, "cosine")
-    # A pair met in several bands has the same score in each.
-    once = found.select("_user", "_item", "_score").distinct()
-    return named(best_of(once, k), user_col, item_col)
+    return left, right
 
 
-def _hashable(df: DataFrame, id_column: str, features: str) -> DataFrame:
-    """Vectors with a direction, scaled to length one; a zero vector has no neighbours."""
-    directed = df.filter(F.exists(features, lambda x: x != 0)).select(
-        F.col(id_column).alias("_id"), F.col(features).alias("_f"), array_to_vector(F.col(features)).alias("_vector")
-    )
-    return Normalizer(inputCol="_vector", outputCol="_unit", p=2.0).transform(directed).select("_id", "_f", "_unit")
+def candidate_pairs(users: DataFrame, items: DataFrame, **options) -> int:
+    """How many pairs the hashed search scores, those that meet in several bands counted each time."""
+    left, right = candidate_cells(users, items, **options)
+    cell = ["_sig", "_ub", "_ib"]
+    counts = left.groupBy(*cell).agg(F.count("*").alias("l")).join(right.groupBy(*cell).agg(F.count("*").alias("r")), cell)
+    return counts.agg(F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0))).first()[0]
+
+
+def _directed(df: DataFrame, id_column: str, features: str) -> DataFrame:
+    """Vectors with a direction; a zero vector has no neighbours."""
+    return df.filter(F.exists(features, lambda x: x != 0)).select(F.col(id_column).alias("_id"), F.col(features).alias("_f"))
+
+
+class _Hasher:
+    """Random directions, and the medians of a sample's projections."""
+
+    def __init__(self, sample: np.ndarray, bands: int, bits: int, seed: int) -> None:
+        self.bands, self.bits = bands, bits
+        self.directions = np.random.default_rng(seed).standard_normal((sample.shape[1], bands * bits))
+        self.medians = np.median(self._projected(sample), axis=0)
+
+    def _projected(self, vectors: np.ndarray) -> np.ndarray:
+        return (vectors / np.linalg.norm(vectors, axis=1)[:, None]) @ self.directions
 
+    def signatures(self, vectors: np.ndarray, probes: int) -> np.ndarray:
+        """(vectors, bands * (1 + probes)): the band's number above the band's bits."""
+        away = (self._projected(vectors) - self.medians).reshape(len(vectors), self.bands, self.bits)
+        weights = 1 << np.arange(self.bits, dtype=np.int64)
+        own = ((away > 0) * weights).sum(axis=2) + (np.arange(self.bands, dtype=np.int64) << self.bits)
+        closest = np.argsort(np.abs(away), axis=2)[:, :, : min(probes, self.bits)]
+        return np.hstack([own, *[own ^ (np.int64(1) << closest[:, :, n]) for n in range(closest.shape[2])]])
 
-def _signed(hasher: BucketedRandomProjectionLSHModel, df: DataFrame, bands: int, projections: int) -> DataFrame:
-    """One row per vector and band, with the band's signature."""
 
-    def signature(band: int) -> Column:
-        buckets = [vector_to_array(F.col("_hashes")[band * projections + i])[0].cast("int") for i in range(projections)]
-        return F.concat_ws(":", F.lit(str(band)), *[b.cast("string") for b in buckets])
+def _signatures(hasher: _Hasher | None, vector: Column, probes: int) -> Column:
+    @F.arrow_udf("array<long>")
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            if not len(lists) or hasher is None:
+                yield pa.array([[]] * len(lists), pa.list_(pa.int64()))
+                continue
+            vectors = np.asarray(lists.flatten(), dtype=np.float64).reshape(len(lists), -1)
+            found = hasher.signatures(vectors, probes)
+            ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()))
 
-    return hasher.transform(df).withColumn("_sig", F.explode(F.array(*[signature(b) for b in range(bands)])))
+    return signed(vector)
 
 
 def _place(id_column: str, blocks: str) -> Column:

@@ -10,7 +10,7 @@ or items only mean more cells.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -21,8 +21,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # The scorer travels to the Python workers as code, so they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-USERS_PER_CELL = 4096
+# Each user block is one more copy of the items on the way, so it is as large as an item block.
+USERS_PER_CELL = 32768
 ITEMS_PER_CELL = 32768
+# So few users travel to the items instead of meeting them in cells.
+FEW_USERS = 64
 # Scores held at once inside a cell, four bytes each, and pairs scored again at once.
 _TILE_SCORES = 8_000_000
 _PAIRS_AT_ONCE = 200_000
@@ -53,6 +56,10 @@ def top_k(
     before the k best are taken. A cosine with a zero vector is null and ranks last.
     ``sized_by`` stands in for ``users`` when counting, if ``users`` is costly to compute.
     """
+    if exclude is None and sized_by is None:
+        few = users.select(F.col(user_col).alias("_user"), F.col(features).alias("_uf")).limit(FEW_USERS + 1).collect()
+        if len(few) <= FEW_USERS:
+            return named(_best_for_few(few, users, items, k, metric, user_col, item_col, features), user_col, item_col)
     user_count, item_count = _sizes(users if sized_by is None else sized_by, items)
     items_per_cell = min(items_per_cell, max(_LEAST_ITEMS, _CELL_NUMBERS // _dimension(items, features)))
     item_blocks = max(1, ceil(item_count / items_per_cell))
@@ -80,6 +87,33 @@ def top_k(
     return named(best, user_col, item_col)
 
 
+def _best_for_few(
+    few: list, users: DataFrame, items: DataFrame, k: int, metric: str, user_col: str, item_col: str, features: str
+) -> DataFrame:
+    """The k best items of at most FEW_USERS users, scored where the items are read; k rows per user and batch leave a task."""
+    check_choice(k, metric)
+    types = [users.schema[user_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()]
+    schema = f"_user {types[0]}, _item {types[1]}, _score double, _rank int"
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+    left = pa.table({"_user": pa.array([r[0] for r in few], kinds.get(types[0])), "_uf": pa.array([r[1] for r in few], pa.list_(pa.float64()))})
+    scorer = _cell_scorer(k, metric, False)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows and left.num_rows:
+                yield from scorer(left, pa.Table.from_batches([batch])).to_batches()
+
+    right = items.select(F.col(item_col).alias("_item"), F.col(features).alias("_if"))
+    return best_of(right.mapInArrow(score, schema), k)
+
+
+def check_choice(k: int, metric: str) -> None:
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    if k < 1:
+        raise ValueError("k must be positive")
+
+
 def named(scored: DataFrame, user_col: str, item_col: str) -> DataFrame:
     """Scored pairs under the caller's column names."""
     scores = scored.withColumnsRenamed({"_user": user_col, "_item": item_col, "_score": "score", "_rank": "rank"})
@@ -111,10 +145,7 @@ def _excluded_by_block(exclude: DataFrame, items: DataFrame, user_col: str, item
 
 def score_cells(left: DataFrame, right: DataFrame, cell: list[str], k: int, metric: str, excluding: bool = False) -> DataFrame:
     """(_user, _item, _score, _rank) of each cell's k best items per user."""
-    if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}")
-    if k < 1:
-        raise ValueError("k must be positive")
+    check_choice(k, metric)
     types = {f.name: f.dataType.simpleString() for f in [*left.schema.fields, *right.schema.fields]}
     schema = f"_user {types['_user']}, _item {types['_item']}, _score double, _rank int"
     scorer = _cell_scorer(k, metric, excluding)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.vectors import cosine_distance, cosine_similarity, dot
 from marquee.operators import topk
-from marquee.operators.lsh import top_k_lsh
+from marquee.operators.lsh import candidate_pairs, signature_bits, top_k_lsh
 from marquee.operators.topk import top_k
 
 SCHEMA = "{} int, features array<float>"
@@ -180,3 +180,16 @@ def test_hashed_search_finds_most_neighbours(spark, cells):
     assert len(common) / len(exact) > 0.9
     assert all(found[pair] == exact[pair] for pair in common)
     assert max(r["rank"] for r in rows) <= 10
+
+
+def test_the_hashed_search_scores_a_falling_share_of_the_pairs(spark):
+    rng = np.random.default_rng(9)
+    shares = []
+    for size in (2000, 8000):
+        centres = rng.standard_normal((size // 5, 16))
+        users = vectors(spark, clustered(rng, 200, centres), "user_id")
+        items = vectors(spark, clustered(rng, size, centres), "movie_id")
+        shares.append(candidate_pairs(users, items) / (200 * size))
+    assert shares[1] < shares[0]
+    assert shares[1] < 0.1
+    assert [signature_bits(n) for n in (0, 1, 32, 64, 2000, 1_000_000_000)] == [1, 1, 2, 3, 8, 27]
