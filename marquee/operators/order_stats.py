@@ -4,7 +4,8 @@ Sorting a group in one task does not survive a group that holds a third of all r
 a value falls into a coarse and, inside it, a fine bucket. Both grow with the value, and
 both are functions of the value alone. Counting the coarse buckets finds the one that holds
 the wanted rank, counting its fine buckets narrows it again, and only the distinct values
-of one fine bucket are put in order. The input is read three times.
+of one fine bucket are put in order. The input is read once and stored as counts of its distinct
+values, so a value that is repeated many times is one row from there on.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from marquee.session import store_once
+
 # Coarse buckets per doubling of a value, and fine buckets in each. All the doubles there are
 # fall into some two million coarse buckets, and a fine one holds less than half a million.
 _COARSE = 512
@@ -36,46 +39,58 @@ def floor_index(p: float) -> Callable[[Column], Column]:
 
 
 def order_statistics(
-    df: DataFrame, group: Sequence[str], value: str, ranks: dict[str, Callable[[Column], Column]]
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    ranks: dict[str, Callable[[Column], Column]],
+    weight: str | None = None,
+    mean: str | None = None,
 ) -> DataFrame:
     """One row per group: its columns, ``n`` (values) and the value at each named rank.
 
     Nulls and NaN are no values. With no group columns the whole table is one group; an empty table gives no row.
+    ``weight`` names a column that says how often a value stands in the table; ``mean`` names an output column for the average.
     """
     keys = [f"_g{i}" for i in range(len(group))] or ["_g0"]
     renamed = [F.col(g).alias(k) for g, k in zip(group, keys)] or [F.lit(0).alias("_g0")]
     size = F.coalesce(F.log2(F.abs(F.col("_v"))), F.lit(-_LIFT)) + _LIFT
     scaled = F.signum("_v") * size * _COARSE
     fine = F.floor((F.col("_s") - F.floor("_s")) * _FINE)
+    once = F.lit(1) if weight is None else F.col(weight)
     values = (
-        df.select(*renamed, F.col(value).cast("double").alias("_v"))
+        df.select(*renamed, F.col(value).cast("double").alias("_v"), once.cast("bigint").alias("_c"))
         .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .withColumn("_s", scaled)
-        .select(*keys, "_v", F.floor("_s").alias("_coarse"), fine.alias("_fine"))
+        .select(*keys, "_v", F.floor("_s").alias("_coarse"), fine.alias("_fine"), "_c")
     )
-    count = F.count("*").alias("_c")
+    count = F.sum("_c").alias("_c")
+    # The one pass over the input: what follows reads the counts of distinct values.
+    values = store_once(values.groupBy(*keys, "_coarse", "_fine", "_v").agg(count), "value-counts")
 
     # Counts shrink inside each task, so only buckets are shuffled, however many rows there are.
-    coarse = values.groupBy(*keys, "_coarse").agg(count)
+    coarse = values.groupBy(*keys, "_coarse").agg(count, F.sum(F.col("_v") * F.col("_c")).alias("_t"))
     whole = Window.partitionBy(*keys)
     wanted = F.explode(
         F.array(*[F.struct(F.lit(name).alias("_name"), rank(F.col("_n")).alias("_rank")) for name, rank in ranks.items()])
     )
-    counted = coarse.withColumn("_n", F.sum("_c").over(whole))
+    counted = coarse.withColumn("_n", F.sum("_c").over(whole)).withColumn("_total", F.sum("_t").over(whole))
     counted = counted.withColumn("_upto", F.sum("_c").over(whole.orderBy("_coarse"))).withColumn("_w", wanted)
-    in_coarse = _holding_rank(counted.select("*", "_w._name", "_w._rank")).select(*keys, "_coarse", "_n", "_name", "_rank")
+    kept = [*keys, "_n", "_total", "_name", "_rank"]
+    in_coarse = _holding_rank(counted.select("*", "_w._name", "_w._rank")).select(*kept, "_coarse")
 
     slot = Window.partitionBy(*keys, "_name")
-    inside = values.join(in_coarse, [*keys, "_coarse"])
-    finer = inside.groupBy(*keys, "_coarse", "_n", "_name", "_rank", "_fine").agg(count)
+    # The explicit exchange lets adaptive execution split a crowded bucket in the join below it.
+    inside = values.join(in_coarse, [*keys, "_coarse"]).repartition(*keys, "_coarse", "_fine")
+    finer = inside.groupBy(*kept, "_coarse", "_fine").agg(count)
     finer = finer.withColumn("_upto", F.sum("_c").over(slot.orderBy("_fine")))
-    in_fine = _holding_rank(finer).select(*keys, "_coarse", "_fine", "_n", "_name", "_rank")
+    in_fine = _holding_rank(finer).select(*kept, "_coarse", "_fine")
 
-    last = values.join(in_fine, [*keys, "_coarse", "_fine"]).groupBy(*keys, "_n", "_name", "_rank", "_v").agg(count)
+    last = values.join(in_fine, [*keys, "_coarse", "_fine"]).groupBy(*kept, "_v").agg(count)
     last = _holding_rank(last.withColumn("_upto", F.sum("_c").over(slot.orderBy("_v"))))
     named = [F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks]
-    result = last.groupBy(*keys).agg(F.max("_n").alias("n"), *named)
-    return result.select(*[F.col(k).alias(g) for g, k in zip(group, keys)], "n", *ranks)
+    result = last.groupBy(*keys).agg(F.max("_n").alias("n"), F.max(F.col("_total") / F.col("_n")).alias("_mean"), *named)
+    means = [] if mean is None else [F.col("_mean").alias(mean)]
+    return result.select(*[F.col(k).alias(g) for g, k in zip(group, keys)], "n", *means, *ranks)
 
 
 def _holding_rank(buckets: DataFrame) -> DataFrame:

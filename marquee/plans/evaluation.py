@@ -18,9 +18,15 @@ SET_WIDTH = 65_536
 
 
 def relevant_pairs(test: DataFrame, items: DataFrame, threshold: float = RELEVANT_FROM) -> DataFrame:
-    """Distinct (user, item) pairs rated at least ``threshold`` whose item the model knows."""
+    """Distinct (user, item) pairs rated at least ``threshold`` whose item the model knows.
+
+    The explicit exchange keeps the rows of a hot movie from staying together after the join:
+    without it the distinct pairs would reuse the join's placement, and adaptive execution
+    could not split that movie.
+    """
     liked = test.filter(F.col("rating") >= threshold).select("user_id", "movie_id")
-    return liked.join(items.select("movie_id"), "movie_id", "left_semi").select("user_id", "movie_id").distinct()
+    known = liked.join(items.select("movie_id"), "movie_id", "left_semi").select("user_id", "movie_id")
+    return known.repartition("user_id", "movie_id").distinct()
 
 
 def item_sets(pairs: DataFrame, width: int = SET_WIDTH) -> DataFrame:

@@ -17,8 +17,10 @@ COLD_START_BELOW = 5
 def history(ratings: DataFrame, movies: DataFrame, limit: int = 50) -> DataFrame:
     """The newest ``limit`` rated movies per user, ``position`` 1 being the newest."""
     newest = Window.partitionBy("user_id").orderBy(F.desc_nulls_last("rated_at"), "movie_id")
-    rated = ratings.join(movies, "movie_id").select("user_id", "movie_id", "title", "genres", "rating", "rated_at")
-    return rated.withColumn("position", F.row_number().over(newest)).filter(F.col("position") <= limit)
+    # Only ids meet before the cut; the texts join the few rows that are left.
+    rated = ratings.join(movies.select("movie_id"), "movie_id", "left_semi").select("user_id", "movie_id", "rating", "rated_at")
+    kept = rated.withColumn("position", F.row_number().over(newest)).filter(F.col("position") <= limit)
+    return kept.join(movies, "movie_id").select("user_id", "movie_id", "title", "genres", "rating", "rated_at", "position")
 
 
 def genre_profile(ratings: DataFrame, movies: DataFrame) -> DataFrame:

@@ -27,8 +27,10 @@ def with_movies(best: DataFrame, movies: DataFrame) -> DataFrame:
 def liked_most(ratings: DataFrame, movies: DataFrame, top_n: int = 3, threshold: float = 4.0) -> DataFrame:
     """Each user's best rated movies: rating, then newest, then id."""
     best = Window.partitionBy("user_id").orderBy(F.desc("rating"), F.desc_nulls_last("rated_at"), "movie_id")
-    liked = ratings.filter(F.col("rating") >= threshold).join(movies, "movie_id")
-    return liked.withColumn("position", F.row_number().over(best)).filter(F.col("position") <= top_n)
+    # Only ids meet before the cut; the texts join the few rows that are left.
+    liked = ratings.filter(F.col("rating") >= threshold).join(movies.select("movie_id"), "movie_id", "left_semi")
+    kept = liked.withColumn("position", F.row_number().over(best)).filter(F.col("position") <= top_n)
+    return kept.join(movies, "movie_id")
 
 
 def explanations(

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.operators.order_stats import floor_index, nearest_rank, order_statistics
+from marquee.session import store_once
 
 # The percentiles reported.
 PERCENTILES = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
@@ -22,10 +23,13 @@ def health(user_factors: DataFrame, movie_factors: DataFrame, ratings: DataFrame
 
 
 def latency_summary(measures: DataFrame, group: str = "user_id", value: str = "ms") -> DataFrame:
-    """Per group: runs, and average and percentiles (element ``floor(n * p)``) to two decimals."""
-    ranked = order_statistics(measures, [group], value, {name: floor_index(p) for name, p in PERCENTILES.items()})
-    means = measures.filter(F.col(value).isNotNull()).groupBy(group).agg(F.avg(value).alias("avg_ms"))
-    return ranked.join(means, group).select(
+    """Per group: runs, and average and percentiles (element ``floor(n * p)``) to two decimals.
+
+    Two decimals as a decimal number is written: 2.675 gives 2.68, though the double nearest to it is a little smaller.
+    """
+    ranks = {name: floor_index(p) for name, p in PERCENTILES.items()}
+    ranked = order_statistics(measures, [group], value, ranks, mean="avg_ms")
+    return ranked.select(
         group,
         F.col("n").alias("runs"),
         # The first rounding takes away what summing doubles in another order would change.
@@ -35,16 +39,18 @@ def latency_summary(measures: DataFrame, group: str = "user_id", value: str = "m
 
 def latency_report(measures: DataFrame, group: str = "user_id", value: str = "ms") -> DataFrame:
     """One row over all measures: nearest-rank percentiles, average, number of groups and runs."""
-    ranked = order_statistics(measures, [], value, {name: nearest_rank(p) for name, p in PERCENTILES.items()})
-    overall = measures.filter(F.col(value).isNotNull()).agg(
-        F.avg(value).alias("avg_ms"), F.count(value).alias("total_runs")
-    )
-    groups = measures.filter(F.col(value).isNotNull()).select(group).distinct().agg(F.count("*").alias("users_sampled"))
-    long = _measures(ranked.select(*PERCENTILES)).unionAll(_measures(overall)).unionAll(_measures(groups))
+    valued = measures.filter(F.col(value).isNotNull())
+    counted = store_once(valued.groupBy(group, value).agg(F.count("*").alias("times")), "measures")
+    ranks = {name: nearest_rank(p) for name, p in PERCENTILES.items()}
+    overall = order_statistics(counted, [], value, ranks, weight="times", mean="avg_ms")
+    overall = overall.select(F.col("n").alias("total_runs"), "avg_ms", *PERCENTILES)
+    groups = counted.select(group).distinct().agg(F.count("*").alias("users_sampled"))
+    long = _measures(overall).unionAll(_measures(groups))
     names = ["users_sampled", "total_runs", *PERCENTILES, "avg_ms"]
     wide = long.agg(*[F.max(F.when(F.col("name") == name, F.col("amount"))).alias(name) for name in names])
     whole = ("users_sampled", "total_runs")
-    return wide.select(*[F.col(name).cast("bigint").alias(name) if name in whole else name for name in names])
+    counts = {name: F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint")).alias(name) for name in whole}
+    return wide.select(*[counts.get(name, name) for name in names])
 
 
 def of_users(measures: DataFrame, users: DataFrame) -> DataFrame:
