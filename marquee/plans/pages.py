@@ -11,8 +11,8 @@ CARDS_SHOWN = 5
 
 
 def recommendation_cards(recommended: DataFrame) -> DataFrame:
-    """Title, year, genres and match of each recommendation; the first five are shown, the next five on demand."""
-    section = F.when(F.col("rank") <= CARDS_SHOWN, "shown").when(F.col("rank") <= 2 * CARDS_SHOWN, "more")
+    """Title, year, genres and match of each recommendation; the first five are shown, the next five on demand, others later."""
+    section = F.when(F.col("rank") <= CARDS_SHOWN, "shown").when(F.col("rank") <= 2 * CARDS_SHOWN, "more").otherwise("later")
     return recommended.select(
         "user_id",
         "rank",
@@ -22,7 +22,7 @@ def recommendation_cards(recommended: DataFrame) -> DataFrame:
         display.genre_text(F.col("genres"), 3).alias("genre_text"),
         display.match_percent(F.col("similarity")).alias("match_percent"),
         section.alias("section"),
-    ).filter(F.col("section").isNotNull())
+    )
 
 
 def history_pages(history: DataFrame, per_page: int = PAGE_ROWS) -> DataFrame:

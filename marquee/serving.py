@@ -70,6 +70,21 @@ class Serving:
     def all_users(self, limit: int | None = 500) -> DataFrame:
         return profiles.all_users(self.user_factors, self.ratings, limit)
 
+    def history_pages(self, user_id: int | None = None, limit: int = 50) -> DataFrame:
+        return pages.history_pages(profiles.history(_only(self.ratings, user_id), self.movies, limit))
+
+    def taste_shares(self, user_id: int | None = None) -> DataFrame:
+        return pages.taste_shares(profiles.genre_distribution(_only(self.ratings, user_id), self.movies))
+
+    def movie_cards(self, query: str | None = None, limit: int = 20, genre: str | None = None) -> DataFrame:
+        return pages.movie_cards(self.search_movies(query, limit, genre))
+
+    def user_picker(self, limit: int | None = 500) -> DataFrame:
+        return pages.user_picker(self.all_users(limit))
+
+    def health_cards(self) -> DataFrame:
+        return pages.health_cards(self.system_health())
+
     def cards(self, user_id: int | None = None, top_n: int = 10) -> DataFrame:
         return pages.recommendation_cards(self.recommendations(user_id, top_n))
 

@@ -70,6 +70,29 @@ def use_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+# Folders in the checkpoint folder that this process has named.
+_NAMED: list[str] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the checkpoint folder, which all executors share."""
+    use_checkpoints(spark)
+    _NAMED.append(f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}")
+    return _NAMED[-1]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is stored."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def forget_stored(spark: SparkSession) -> None:
+    """Delete what this process put into the checkpoint folder; call it when no frame made from it is needed any more."""
+    while _NAMED:
+        remove_folder(spark, _NAMED.pop())
+
+
 def store_once(df: DataFrame, name: str) -> DataFrame:
     """The same rows, computed now and read back from a table in the checkpoint folder.
 
@@ -77,7 +100,6 @@ def store_once(df: DataFrame, name: str) -> DataFrame:
     executor takes nothing with it, and every reader sees the same partitions.
     """
     spark = df.sparkSession
-    use_checkpoints(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

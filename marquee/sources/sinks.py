@@ -7,8 +7,18 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from marquee.operators.contracts import MOVIES, RATINGS, check, check_factors, enforce, factor_contract, split_valid
+from marquee.operators.contracts import (
+    MOVIES,
+    RATINGS,
+    ContractError,
+    check,
+    check_factors,
+    enforce,
+    factor_contract,
+    split_valid,
+)
 from marquee.operators.keyed import upsert
+from marquee.session import remove_folder
 from marquee.sources import schemas
 
 
@@ -69,8 +79,9 @@ class Store:
     """Versions of the four serving tables under one folder.
 
     A publication writes all tables of a new version, checks what was written, and only then
-    adds the version to the log, in one file. Readers take the newest version in the log, so a
-    load that fails, or is killed, is never seen.
+    adds the version to the log, in one file that names the version it was made from. Readers take the
+    end of that chain, so a load that fails, or is killed, is never seen, and no clock decides.
+    A load whose parent is no longer the newest version when it ends is refused.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -78,14 +89,43 @@ class Store:
         self.root = root.rstrip("/")
         self._log = f"{self.root}/published"
 
-    def current(self) -> str | None:
-        """The newest published version."""
+    def _published(self) -> list:
+        """Version and parent of every publication."""
         try:
-            log = self.spark.read.schema("version string, at timestamp").json(self._log)
-            newest = log.orderBy(F.desc("at"), "version").first()
+            return self.spark.read.schema("version string, parent string, at timestamp").json(self._log).collect()
         except AnalysisException:
-            return None
-        return newest["version"] if newest else None
+            return []
+
+    def current(self) -> str | None:
+        """The newest published version: the one that no other was made from.
+
+        Two loads that ended at the same moment leave two ends; the lower name wins and stays the winner.
+        """
+        children: dict[str | None, list[str]] = {}
+        for row in self._published():
+            children.setdefault(row["parent"], []).append(row["version"])
+        newest = None
+        while newest in children:
+            newest = min(children.pop(newest))
+        return newest
+
+    def clean_up(self) -> list[str]:
+        """Remove versions that are not in the log, and the staged input of those that are; gives the folders removed.
+
+        Call it when no load is under way: a load in progress is not in the log yet.
+        """
+        listed = {row["version"] for row in self._published()}
+        versions = f"{self.root}/versions"
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(versions)
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        removed = []
+        for status in files.listStatus(path) if files.exists(path) else []:
+            version = status.getPath().getName()
+            folder = f"{versions}/{version}/incoming" if version in listed else f"{versions}/{version}"
+            if files.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)):
+                remove_folder(self.spark, folder)
+                removed.append(folder)
+        return removed
 
     def path(self, version: str, table: str) -> str:
         return f"{self.root}/versions/{version}/{table}"
@@ -116,7 +156,8 @@ class Store:
         of range or without its movie refuses it too, unless ``strict`` is off: then such
         rows go to the table ``ratings_refused`` of the version and the others are published.
         """
-        before = None if replace else self.current()
+        parent = self.current()
+        before = None if replace else parent
         version = uuid4().hex
         contracts = {
             "movies": MOVIES,
@@ -141,8 +182,13 @@ class Store:
             staged[name] = self._write(version, name, staged[name])
         if before is not None:
             enforce(check(staged["ratings"], RATINGS, {"movies": staged["movies"]}))
-        entry = self.spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+        if self.current() != parent:
+            raise ContractError(f"another load was published on top of {parent} meanwhile; run this one again")
+        made_from = F.lit(parent).cast("string").alias("parent")
+        entry = self.spark.range(1).select(F.lit(version).alias("version"), made_from, F.current_timestamp().alias("at"))
         entry.coalesce(1).write.mode("append").json(self._log)
+        if self.current() != version:
+            raise ContractError(f"another load was published on top of {parent} at the same moment; run this one again")
         return version
 
     def _stage(self, version: str, table: str, df: DataFrame) -> DataFrame:

@@ -145,4 +145,39 @@ def test_serving(store):
     assert tuple(serving.system_health().first()) == (3, 3, 3, "present")
     assert [tuple(r) for r in serving.all_users().collect()] == [(1, 2), (2, 1), (3, 0)]
     assert serving.cards(1).count() == 3
+    assert [r["section"] for r in serving.cards(1).collect()] == ["shown"] * 3
+    assert serving.history_pages(1).count() == 2
+    assert serving.taste_shares(1).count() == 3
+    assert serving.movie_cards("a (").count() == 1
+    assert serving.user_picker().count() == 3
+    assert serving.health_cards().first()["total_ratings"] == "3"
     assert isinstance(serving.user_history(1).first()["rated_at"], (datetime.datetime, type(None)))
+
+
+def test_a_load_that_was_overtaken_is_refused(store, monkeypatch):
+    first = load(store)
+    other = Store(store.spark, store.root)
+    write = store._write
+
+    def slow(version, name, df):
+        if name == "ratings":
+            load(other)
+        return write(version, name, df)
+
+    monkeypatch.setattr(store, "_write", slow)
+    with pytest.raises(ContractError, match="meanwhile"):
+        load(store)
+    assert store.current() not in (None, first)
+
+
+def test_versions_that_were_never_published_are_removed(store):
+    import os
+
+    kept = load(store)
+    with pytest.raises(ContractError):
+        load(store, rating_rows=RATINGS + RATINGS)
+    assert len(os.listdir(f"{store.root}/versions")) == 2
+    removed = store.clean_up()
+    assert len(removed) == 2 and f"{store.root}/versions/{kept}/incoming" in removed
+    assert os.listdir(f"{store.root}/versions") == [kept]
+    assert store.read("ratings").count() == 3 and store.clean_up() == []
