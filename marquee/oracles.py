@@ -7,7 +7,17 @@ from __future__ import annotations
 
 import re
 
-from marquee.sources.proxies import DIRTY_MOVIE, DIRTY_RATING, EVAL_RATING, MOVIE, RAW_RATING, columns
+from marquee.sources.proxies import (
+    DAMAGED_ID,
+    DIRTY_MOVIE,
+    DIRTY_RATING,
+    EVAL_RATING,
+    MOVIE,
+    RAW_RATING,
+    SUSPECT_MOVIE,
+    SUSPECT_RATING,
+    columns,
+)
 
 
 def _select(named: dict[str, str]) -> str:
@@ -15,6 +25,7 @@ def _select(named: dict[str, str]) -> str:
 
 
 _LINES = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+_EVAL = {name: text.format(vectors="(SELECT MAX(vec_id) + 1 FROM embeddings)") for name, text in EVAL_RATING.items()}
 _IN_TRAIN = "(CAST(user_id AS BIGINT) * 7919 + CAST(movie_id AS BIGINT) * 104729) % 100 < 80"
 
 def _made_vector(key: str, seed: int) -> str:
@@ -74,7 +85,7 @@ VIEWS = {
     "movie_factors": """SELECT CAST(vec_id AS INT) AS movie_id, CAST(embedding AS DOUBLE[]) AS features
         FROM embeddings""",
     "ratings_eval": f"""SELECT user_id, movie_id, MAX(rating) AS rating
-        FROM ({_select(EVAL_RATING)} {_LINES}) AS t GROUP BY user_id, movie_id""",
+        FROM ({_select(_EVAL)} {_LINES}) AS t GROUP BY user_id, movie_id""",
     "cleaned_ratings": """SELECT TRY_CAST(trim(userId) AS INTEGER) AS userId, TRY_CAST(trim(movieId) AS INTEGER) AS movieId,
         TRY_CAST(trim(rating) AS FLOAT) AS rating,
         CASE WHEN regexp_matches(trim(timestamp), '^[0-9]+$') THEN TRY_CAST(trim(timestamp) AS BIGINT) END AS timestamp
@@ -87,14 +98,22 @@ VIEWS = {
     "part_vectors": f"SELECT CAST(p_partkey AS INT) AS movie_id, {_made_vector('p_partkey', 43)} AS features FROM part",
     **_ranking_views("", "ratings_eval", "user_factors", "movie_factors"),
     **_ranking_views("customer_", "ratings", "customer_vectors", "part_vectors"),
-    "suspect": """SELECT user_id, CASE WHEN user_id % 7 = 0 THEN movie_id + 1000000 ELSE movie_id END AS movie_id,
-        CASE WHEN user_id % 10 = 0 THEN rating + 3 ELSE rating END AS rating, rated_at FROM ratings_raw""",
+    "suspect": f"{_select(SUSPECT_RATING)} FROM ratings_raw",
+    "suspect_movies": f"{_select(SUSPECT_MOVIE)} FROM movies",
+    "suspect_users": """SELECT CASE WHEN user_id % 41 = 0 THEN NULL WHEN user_id % 41 = 1 THEN 1 ELSE user_id END AS user_id,
+        CASE WHEN user_id % 41 = 2 THEN NULL ELSE features END AS features FROM user_factors""",
+    "suspect_items": """SELECT CASE WHEN movie_id % 41 = 0 THEN NULL WHEN movie_id % 41 = 1 THEN 1 ELSE movie_id END AS movie_id,
+        CASE WHEN movie_id % 41 = 2 THEN NULL ELSE features END AS features FROM movie_factors""",
+    "no_movies": "SELECT * FROM suspect_movies WHERE title = genres",
+    "damaged": f"""SELECT {DAMAGED_ID} AS id, id % 23 = 0 AS lost, id % 23 <> 0 AND id % 17 = 0 AS short,
+        id % 23 <> 0 AND id % 17 <> 0 AND id % 19 = 0 AS shifted
+        FROM (SELECT p_partkey + 1 AS id FROM part) AS p WHERE id % 31 <> 0""",
     "history": """SELECT * FROM (SELECT r.user_id, r.movie_id, m.title, m.genres, r.rating, r.rated_at,
         CAST(ROW_NUMBER() OVER (PARTITION BY r.user_id ORDER BY r.rated_at DESC NULLS LAST, r.movie_id) AS INT) AS position
         FROM ratings r JOIN movies m ON m.movie_id = r.movie_id) AS t WHERE position <= 50""",
     "user_genres": """SELECT user_id, genre, COUNT(*) AS genre_count FROM (
         SELECT r.user_id, unnest(string_split(m.genres, '|')) AS genre
-        FROM ratings r JOIN movies m ON m.movie_id = r.movie_id) AS t GROUP BY user_id, genre""",
+        FROM ratings r JOIN movies m ON m.movie_id = r.movie_id) AS t WHERE genre <> '' GROUP BY user_id, genre""",
     "distribution": """SELECT g.user_id, g.genre, g.genre_count,
         (200 * g.genre_count + t.total) // (2 * t.total) AS percentage, g.rank
         FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY genre_count DESC, genre) AS INT) AS rank
@@ -179,16 +198,16 @@ def _repeated(table: str, view: str, key: str) -> str:
     return _violations(table, f"FROM {copies}", repeated__key="COUNT(*) FILTER (WHERE c > 1)")
 
 
-def _factor_violations(view: str, key: str, dim: int) -> str:
+def _factor_violations(table: str, view: str, key: str, dim: int) -> str:
     rows = _violations(
-        view,
+        table,
         f"FROM {view}",
         empty="CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END",
         **{f"null__key__{key}": f"COUNT(*) FILTER (WHERE {key} IS NULL)"},
         null__features="COUNT(*) FILTER (WHERE features IS NULL)",
         vector__length__features=f"COUNT(*) FILTER (WHERE len(features) <> {dim})",
     )
-    return rows + " UNION ALL " + _repeated(view, view, key)
+    return rows + " UNION ALL " + _repeated(table, view, key)
 
 
 _RATING_VIOLATIONS = " UNION ALL ".join(
@@ -210,12 +229,19 @@ _MOVIE_VIOLATIONS = " UNION ALL ".join(
     [
         _violations(
             "movies",
-            "FROM movies",
+            "FROM suspect_movies",
             empty="CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END",
             null__key__movie_id="COUNT(*) FILTER (WHERE movie_id IS NULL)",
             null__title="COUNT(*) FILTER (WHERE title IS NULL)",
         ),
-        _repeated("movies", "movies", "movie_id"),
+        _repeated("movies", "suspect_movies", "movie_id"),
+        _violations(
+            "no_movies",
+            "FROM no_movies",
+            empty="CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END",
+            null__key__movie_id="COUNT(*) FILTER (WHERE movie_id IS NULL)",
+        ),
+        _repeated("no_movies", "no_movies", "movie_id"),
     ]
 )
 
@@ -225,7 +251,7 @@ def _sets(view: str) -> str:
         array_to_string(list_sort(list(DISTINCT movie_id)), ',') AS items FROM {view} GROUP BY 1, 2"""
 
 
-_SHARED = """array_to_string(list_sort(list_intersect(string_split(b.genres, '|'), string_split(m.genres, '|'))), ', ')"""
+_SHARED = """COALESCE(array_to_string(list_sort(list_intersect(string_split(b.genres, '|'), string_split(m.genres, '|'))), ', '), '')"""
 
 
 def _reasons(best: str) -> str:
@@ -263,11 +289,6 @@ _AVG_MS = """(SUM(CAST(round(ms * 100) AS BIGINT)) // COUNT(*)
 _COUNTED_USERS = """SELECT u.user_id, COUNT(r.user_id) AS rating_count
     FROM user_factors u LEFT JOIN {ratings} r ON r.user_id = u.user_id GROUP BY u.user_id"""
 
-_SYNTHETIC_RULES = [
-    "record count", "null id", "id not in 1..n", "null features", "vector length features", "out of range features", "repeated id",
-]
-
-
 ORACLE: dict[str, str] = {
     "clean_movies": _with(
         "dirty_movies",
@@ -309,19 +330,19 @@ ORACLE: dict[str, str] = {
         SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, movie_id
                                      ORDER BY o_orderstatus <> 'F' DESC, rated_at DESC, rating DESC) AS rn
         FROM (SELECT CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS movie_id,
-              CEIL(l_quantity / 5) / 2 AS rating, l_shipdate AS rated_at, o_orderstatus
-              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS r) AS t WHERE rn = 1""",
+              CEIL(l_quantity / 5) / 2 AS rating, {rated_at} AS rated_at, o_orderstatus
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS r) AS t WHERE rn = 1""".format(**RAW_RATING),
     ),
     "upsert_user_factors": _upserted_factors("user_factors", "user_id"),
     "upsert_movie_factors": _upserted_factors("movie_factors", "movie_id"),
     "contract_report": _with(
-        "suspect movies user_factors movie_factors",
+        "suspect movies suspect_movies no_movies suspect_users suspect_items",
         " UNION ALL ".join(
             [
                 _RATING_VIOLATIONS,
                 _MOVIE_VIOLATIONS,
-                _factor_violations("user_factors", "user_id", 64),
-                _factor_violations("movie_factors", "movie_id", 63),
+                _factor_violations("user_factors", "suspect_users", "user_id", 64),
+                _factor_violations("movie_factors", "suspect_items", "movie_id", 63),
             ]
         ),
     ),
@@ -331,7 +352,10 @@ ORACLE: dict[str, str] = {
         WHERE movie_id NOT IN (SELECT movie_id FROM movies) GROUP BY movie_id""",
     ),
     "refused_ratings": _with(
-        "suspect", "SELECT *, 'out of range rating' AS broken_rule FROM suspect WHERE rating < 0.5 OR rating > 5"
+        "suspect",
+        """SELECT *, CASE WHEN user_id IS NULL THEN 'null key user_id' WHEN rating IS NULL THEN 'null rating'
+        ELSE 'out of range rating' END AS broken_rule
+        FROM suspect WHERE user_id IS NULL OR rating IS NULL OR rating < 0.5 OR rating > 5""",
     ),
     "checked_scan": "SELECT p_partkey, p_name, p_type FROM part",
     "factor_scan": """SELECT vec_id AS id, CAST(len(embedding) AS INT) AS length,
@@ -339,12 +363,61 @@ ORACLE: dict[str, str] = {
     "vector_lengths": _with(
         "movie_factors", "SELECT CAST(len(features) AS INT) AS length, COUNT(*) AS vectors FROM movie_factors GROUP BY 1"
     ),
-    "synthetic_check": " UNION ALL ".join(
-        f"""SELECT 'movie_factors' AS "table", '{rule}' AS "check", CAST(0 AS BIGINT) AS violations""" for rule in _SYNTHETIC_RULES
+    "vector_texts": _with(
+        "movie_factors",
+        "SELECT movie_id, CAST(len(features) AS INT) AS length, round(list_sum(features), 6) AS total FROM movie_factors",
     ),
-    "split_hash": _with(
+    "synthetic_check": _with(
+        "damaged",
+        " UNION ALL ".join(
+            [
+                _violations(
+                    "movie_factors",
+                    "FROM damaged",
+                    record__count="ABS(COUNT(*) - (SELECT COUNT(*) FROM part))",
+                    null__id="COUNT(*) FILTER (WHERE id IS NULL)",
+                    id__not__in__1__n="COUNT(*) FILTER (WHERE id < 1 OR id > (SELECT COUNT(*) FROM part))",
+                    null__features="COUNT(*) FILTER (WHERE lost)",
+                    vector__length__features="COUNT(*) FILTER (WHERE short)",
+                    out__of__range__features="COUNT(*) FILTER (WHERE shifted)",
+                ).replace("'id not in 1 n'", "'id not in 1..n'"),
+                _repeated("movie_factors", "damaged", "id").replace("'repeated key'", "'repeated id'"),
+            ]
+        ),
+    ),
+    "split_arithmetic": _with(
         "ratings_raw", f"SELECT *, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM ratings_raw"
     ),
+    # Whatever a seed draws: no row is lost, no key is divided, and the parts have their shares.
+    **{
+        name: _with(
+            view,
+            f"""SELECT CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS keys, CAST(0 AS BIGINT) AS divided_keys, TRUE AS share_sound
+            FROM (SELECT user_id, movie_id, COUNT(*) AS n FROM {view} GROUP BY user_id, movie_id) AS t""",
+        )
+        for name, view in (("split_hash", "ratings_raw"), ("split_random", "ratings_eval"))
+    },
+    # The model predicts for every test rating whose user and movie it was trained on, and the exported vectors say the same.
+    "als_predictions": _with(
+        "customer_train customer_test",
+        """SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS off FROM customer_test
+        WHERE user_id IN (SELECT user_id FROM customer_train) AND movie_id IN (SELECT movie_id FROM customer_train)""",
+    ),
+    "cleaning_pipeline": _with(
+        "cleaned_ratings",
+        """SELECT * FROM cleaned_ratings
+        WHERE movieId IN (SELECT movieId FROM cleaned_ratings GROUP BY movieId HAVING COUNT(*) >= 30)""",
+    ),
+    "training_pipeline": _with(
+        "customer_train customer_test",
+        """SELECT (SELECT COUNT(DISTINCT user_id) FROM customer_train) AS user_vectors,
+        (SELECT COUNT(DISTINCT movie_id) FROM customer_train) AS movie_vectors,
+        (SELECT COUNT(DISTINCT user_id) FROM customer_test WHERE rating >= 4.0
+         AND user_id IN (SELECT user_id FROM customer_train)
+         AND movie_id IN (SELECT movie_id FROM customer_train)) AS judged_users""",
+    ),
+    "lsh_recall": """SELECT COUNT(*) AS users, 10 * COUNT(*) AS exact_rows, TRUE AS recall_sound,
+        CAST(0 AS BIGINT) AS other_scores, TRUE AS fewer_pairs FROM embeddings""",
     "relevant_items": _with("relevant", _sets("relevant")),
     "train_items": _with("train", _sets("train")),
     "topk_dot_excluding": _with(
@@ -502,7 +575,11 @@ ORACLE: dict[str, str] = {
         f"""SELECT movie_id, {_TITLE} AS title, {_YEAR} AS year, {_meta(3)} AS meta
         FROM (SELECT * FROM movies WHERE genres ILIKE '%promo%' ORDER BY title, movie_id LIMIT 30) AS t""",
     ),
-    "all_genres": _with("movies", "SELECT DISTINCT unnest(string_split(genres, '|')) AS genre FROM movies ORDER BY genre"),
+    "all_genres": _with(
+        "movies",
+        """SELECT DISTINCT genre FROM (SELECT unnest(string_split(genres, '|')) AS genre FROM movies) AS g
+        WHERE genre <> '' ORDER BY genre""",
+    ),
     "movie_details": _with("movies", "SELECT movie_id, title, genres FROM movies"),
     "title_year": _with("movies", f"SELECT movie_id, {_TITLE} AS title, {_YEAR} AS year FROM movies"),
     "genre_text": _with("movies", f"SELECT movie_id, {_genre_text(3)} AS genre_text FROM movies"),
@@ -512,6 +589,13 @@ ORACLE: dict[str, str] = {
         (SELECT COUNT(*) FROM ratings) AS total_ratings,
         CASE WHEN (SELECT COUNT(*) FROM movie_factors) > 0 THEN 'present' ELSE 'missing' END AS index_status""",
     ),
+    "health_cards": _with(
+        "user_factors movie_factors ratings",
+        """SELECT format('{:,}', (SELECT COUNT(*) FROM user_factors)) AS total_users,
+        format('{:,}', (SELECT COUNT(*) FROM movie_factors)) AS total_movies,
+        format('{:,}', (SELECT COUNT(*) FROM ratings)) AS total_ratings,
+        CASE WHEN (SELECT COUNT(*) FROM movie_factors) > 0 THEN 'present' ELSE 'missing' END AS index_status""",
+    ),
     "latency_floor_index": _with(
         "latencies",
         f"""SELECT user_id, COUNT(*) AS runs, {_AVG_MS} AS avg_ms, {_rank_value(0.5, _FLOOR)} AS p50_ms,
@@ -525,3 +609,4 @@ ORACLE: dict[str, str] = {
         "latencies sampled", _overall("(SELECT * FROM latencies WHERE user_id IN (SELECT user_id FROM sampled)) AS l")
     ),
 }
+ORACLE["publish_pipeline"] = ORACLE["upsert_ratings"]

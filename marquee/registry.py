@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import display
 from marquee.functions.vectors import vector_text
 from marquee.operators import cleaning, contracts, keyed, sampling, split
-from marquee.operators.lsh import top_k_lsh
+from marquee.operators.lsh import candidate_pairs, top_k_lsh
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, evaluation, pages, profiles, recommend, reports, training
-from marquee.session import store_once
-from marquee.sources.files import factor_layout, read_checked
-from marquee.sources.proxies import Proxies
+from marquee.plans.cleaning_run import run_cleaning
+from marquee.session import new_folder, store_once
+from marquee.sources.files import factor_layout, read_checked, read_factors
+from marquee.sources.proxies import DAMAGED_ID, SUSPECT_MOVIE, SUSPECT_RATING, Proxies, columns
+from marquee.sources.sinks import Store
 from marquee.sources.synthetic import with_synthetic_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The vectors of the test tables have 64 elements.
 DIM = 64
 MIN_RATINGS = 30
-# Short fits for the registered queries; the published settings are the defaults of AlsSettings.
-SHORT_FIT = training.AlsSettings(rank=10, max_iter=5)
+# The hashed search must find this share of the exact best ten of the test vectors, which have hardly any structure.
+LSH_RECALL = 0.4
 
 QUERIES: dict[str, Query] = {}
 
@@ -131,25 +134,31 @@ def upsert_movie_factors(p: Proxies) -> DataFrame:
 
 
 def _suspect_ratings(p: Proxies) -> DataFrame:
-    """Ratings with some out of range and some without a movie, for the contract queries."""
-    shifted = F.when(F.col("user_id") % 10 == 0, F.col("rating") + 3).otherwise(F.col("rating"))
-    lost = F.when(F.col("user_id") % 7 == 0, F.col("movie_id") + 1_000_000).otherwise(F.col("movie_id"))
-    return p.ratings_raw.withColumn("rating", shifted).withColumn("movie_id", lost)
+    """Ratings that break each rule of the contract: lost users, ratings lost or out of range, unknown movies."""
+    return p.ratings_raw.selectExpr(*columns(SUSPECT_RATING))
+
+
+def _suspect_factors(factors: DataFrame, id_column: str) -> DataFrame:
+    """Vectors with ids lost and repeated, and without features."""
+    fault = F.col(id_column) % 41
+    return factors.select(
+        F.when(fault == 0, None).when(fault == 1, 1).otherwise(F.col(id_column)).alias(id_column),
+        F.when(fault == 2, None).otherwise(F.col("features")).alias("features"),
+    )
 
 
 @query
 def contract_report(p: Proxies) -> DataFrame:
-    ratings = contracts.check(_suspect_ratings(p), contracts.RATINGS, {"movies": p.movies})
+    """Tables with every kind of fault, and one without rows."""
+    movies = p.movies.selectExpr(*columns(SUSPECT_MOVIE))
     parts = [
-        ratings,
-        contracts.check(p.movies, contracts.MOVIES),
-        contracts.check(p.user_factors, contracts.factor_contract("user_factors", "user_id", DIM)),
-        contracts.check(p.movie_factors, contracts.factor_contract("movie_factors", "movie_id", DIM - 1)),
+        contracts.check(_suspect_ratings(p), contracts.RATINGS, {"movies": p.movies}),
+        contracts.check(movies, contracts.MOVIES),
+        contracts.check(movies.filter("title = genres"), contracts.Contract("no_movies", ("movie_id",), ("movie_id",))),
+        contracts.check(_suspect_factors(p.user_factors, "user_id"), contracts.factor_contract("user_factors", "user_id", DIM)),
+        contracts.check(_suspect_factors(p.movie_factors, "movie_id"), contracts.factor_contract("movie_factors", "movie_id", DIM - 1)),
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -183,7 +192,11 @@ def vector_lengths(p: Proxies) -> DataFrame:
 
 @query
 def vector_texts(p: Proxies) -> DataFrame:
-    return p.movie_factors.select("movie_id", vector_text(F.col("features"), DIM).alias("text"))
+    """The text form of every vector, read back as numbers."""
+    read = F.from_json(vector_text(F.col("features"), DIM), "array<double>")
+    total = F.aggregate("read", F.lit(0.0), lambda s, x: s + x)
+    texts = p.movie_factors.select("movie_id", read.alias("read"))
+    return texts.select("movie_id", F.size("read").alias("length"), F.round(total, 6).alias("total"))
 
 
 @query
@@ -193,22 +206,52 @@ def synthetic_vectors(p: Proxies) -> DataFrame:
 
 @query
 def synthetic_check(p: Proxies) -> DataFrame:
-    return contracts.synthetic_check(synthetic_vectors(p), p.table("part").count(), 50, "movie_factors")
+    """The check of generated vectors, on vectors with every kind of damage."""
+    part = p.table("part")
+    made = with_synthetic_vectors(part.select((F.col("p_partkey") + 1).alias("id")), 50, 43)
+    damaged = made.filter("id % 31 <> 0").select(
+        F.expr(DAMAGED_ID).alias("id"),
+        F.when(F.col("id") % 23 == 0, None)
+        .when(F.col("id") % 17 == 0, F.slice("features", 1, 49))
+        .when(F.col("id") % 19 == 0, F.transform("features", lambda x: x + F.lit(3).cast("float")))
+        .otherwise(F.col("features"))
+        .alias("features"),
+    )
+    records = part.agg(F.count("*")).scalar()
+    return contracts.synthetic_check(damaged, records, 50, "movie_factors")
 
 
 # Splits, ranking and models
 
 
 @query
-def split_hash(p: Proxies) -> DataFrame:
+def split_arithmetic(p: Proxies) -> DataFrame:
     train, test = split.split_arithmetic(p.ratings_raw, "user_id", "movie_id")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+def _split_report(train: DataFrame, test: DataFrame) -> DataFrame:
+    """One row: rows and keys of both parts, keys found in both, and whether the train part has its share."""
+    key = ["user_id", "movie_id"]
+    tagged = train.select(*key, F.lit(1).alias("_t")).unionByName(test.select(*key, F.lit(0).alias("_t")))
+    per_key = tagged.groupBy(*key).agg(F.count("*").alias("n"), F.sum("_t").alias("t"))
+    share = F.sum("t") / F.sum("n")
+    return per_key.agg(
+        F.sum("n").alias("rows"),
+        F.count("*").alias("keys"),
+        F.count_if((F.col("t") > 0) & (F.col("t") < F.col("n"))).alias("divided_keys"),
+        (F.abs(share - 0.8) < 0.03).alias("share_sound"),
+    )
+
+
+@query
+def split_hash(p: Proxies) -> DataFrame:
+    return _split_report(*split.split_hash(p.ratings_raw, ("user_id", "movie_id")))
+
+
 @query
 def split_random(p: Proxies) -> DataFrame:
-    train, test = split.split_random(store_once(p.ratings_eval, "ratings_eval"))
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return _split_report(*split.split_random(store_once(p.ratings_eval, "ratings_eval")))
 
 
 def _set_text(pairs: DataFrame) -> DataFrame:
@@ -272,7 +315,7 @@ def recommended_and_liked(p: Proxies) -> DataFrame:
 
 @query
 def als_factors(p: Proxies) -> DataFrame:
-    users, items = training.factor_tables(training.train_als(p.stored_split[0], SHORT_FIT))
+    users, items = training.factor_tables(training.train_als(p.stored_split[0]))
     users = users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "features")
     return users.unionByName(items.select(F.lit("movie").alias("kind"), F.col("movie_id").alias("id"), "features"))
 
@@ -280,17 +323,74 @@ def als_factors(p: Proxies) -> DataFrame:
 @query
 def als_rmse(p: Proxies) -> DataFrame:
     train, test = p.stored_split
-    model = training.train_als(train, SHORT_FIT)
+    model = training.train_als(train)
     return evaluation.rmse(model.transform(test.withColumn("rating", F.col("rating").cast("float"))))
 
 
 @query
 def als_ranking(p: Proxies) -> DataFrame:
     train, test = p.stored_split
-    users, items = training.factor_tables(training.train_als(train, SHORT_FIT))
+    users, items = training.factor_tables(training.train_als(train))
     return evaluation.mean_metrics(evaluation.user_metrics(users, items, train, test, k=10))
 
 
+@query
+def als_predictions(p: Proxies) -> DataFrame:
+    """The model's score of each test rating beside the product of the exported vectors: rows, and rows that differ."""
+    train, test = p.stored_split
+    model = training.train_als(train)
+    key = ["user_id", "movie_id"]
+    scored = model.transform(test.select(*key)).select(*key, F.col("prediction").alias("own"))
+    exported = evaluation.predict(test.select(*key), *training.factor_tables(model))
+    both = scored.join(exported, key, "full")
+    apart = F.abs(F.col("own") - F.col("prediction")) > 1e-4
+    return both.agg(F.count("*").alias("rows"), F.count_if(F.coalesce(apart, F.lit(True))).alias("off"))
+
+
+# Pipelines from files to files
+
+
+@query
+def cleaning_pipeline(p: Proxies) -> DataFrame:
+    """Dirty text written as CSV, cleaned to stored tables, and the ratings read back."""
+    raw, out = new_folder(p.spark, "raw"), new_folder(p.spark, "clean")
+    for name, rows in (("movies", p.dirty_movies), ("ratings", p.dirty_ratings)):
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.write.options(**options).csv(f"{raw}/{name}.csv")
+    _, ratings, _ = run_cleaning(p.spark, raw, out, MIN_RATINGS)
+    return p.spark.read.parquet(ratings)
+
+
+@query
+def training_pipeline(p: Proxies) -> DataFrame:
+    """Split, fit, evaluation and export with the published settings: what was stored and how many users were judged."""
+    names = {"user_id": "userId", "movie_id": "movieId"}
+    ratings = p.ratings.select("user_id", "movie_id", F.col("rating").cast("float")).withColumnsRenamed(names)
+    result = training.run_training(ratings, new_folder(p.spark, "model"), split="arithmetic")
+    stored = [read_factors(p.spark, result[f"{kind}_factors_path"], kind) for kind in ("user", "movie")]
+    users, movies = (f.agg(F.count("*")).scalar() for f in stored)
+    return p.spark.range(1).select(
+        users.alias("user_vectors"), movies.alias("movie_vectors"), F.lit(result["users"]).cast("bigint").alias("judged_users")
+    )
+
+
+@query
+def publish_pipeline(p: Proxies) -> DataFrame:
+    """Ratings of finished orders published, those of all others merged into them, and the published table read."""
+    store = Store(p.spark, new_folder(p.spark, "tables"))
+    key, newest = ["user_id", "movie_id"], ["rated_at", "rating"]
+    loaded = F.lit(0).cast("timestamp").alias("loaded_at")
+    factors = [f.select("*", loaded) for f in (p.user_factors, p.movie_factors)]
+    finished = F.col("o_orderstatus") == "F"
+    for orders in (finished, ~finished):
+        ratings = keyed.last_write_wins(p.ratings_of(orders), key, newest).select(
+            *key, F.col("rating").cast("decimal(2,1)").alias("rating"), F.col("rated_at").cast("timestamp").alias("rated_at")
+        )
+        store.publish(p.movies.fillna("Unknown", ["genres"]), ratings, *factors, dim=DIM)
+    rated_at = F.col("rated_at").cast(p.ratings_raw.schema["rated_at"].dataType).alias("rated_at")
+    return store.read("ratings").select(*key, F.col("rating").cast("double").alias("rating"), rated_at)
+
+
 # The same evaluation of every customer on every part
 
 
@@ -363,6 +463,22 @@ def recommend_lsh(p: Proxies) -> DataFrame:
     return _rounded(top_k_lsh(p.user_factors, p.movie_factors, 10), "score")
 
 
+@query
+def lsh_recall(p: Proxies) -> DataFrame:
+    """The hashed search beside the exact one: whether it finds enough, with the same scores, from fewer pairs."""
+    exact = top_k(p.user_factors, p.movie_factors, 10)
+    hashed = top_k_lsh(p.user_factors, p.movie_factors, 10).select("user_id", "movie_id", F.col("score").alias("hashed"))
+    both = exact.join(hashed, ["user_id", "movie_id"], "left")
+    pairs = candidate_pairs(p.user_factors, p.movie_factors)
+    return both.agg(
+        F.countDistinct("user_id").alias("users"),
+        F.count("*").alias("exact_rows"),
+        (F.count("hashed") >= LSH_RECALL * F.count("*")).alias("recall_sound"),
+        F.count_if(F.col("hashed") != F.col("score")).alias("other_scores"),
+        (F.lit(pairs) * 2 < F.countDistinct("user_id") * p.movie_factors.agg(F.count("*")).scalar()).alias("fewer_pairs"),
+    )
+
+
 @query
 def recommendation_cards(p: Proxies) -> DataFrame:
     return pages.recommendation_cards(_recommended(p))
@@ -497,6 +613,11 @@ def health(p: Proxies) -> DataFrame:
     return reports.health(p.user_factors, p.movie_factors, p.ratings)
 
 
+@query
+def health_cards(p: Proxies) -> DataFrame:
+    return pages.health_cards(reports.health(p.user_factors, p.movie_factors, p.ratings))
+
+
 @query
 def latency_floor_index(p: Proxies) -> DataFrame:
     return reports.latency_summary(p.latencies)

@@ -38,20 +38,34 @@ DIRTY_RATING = {
 MOVIE = {
     "movie_id": "CAST(p_partkey AS INT)",
     "title": "CONCAT(p_name, ' (', CAST(1950 + p_size AS STRING), ')')",
-    "genres": """CASE WHEN p_partkey % 97 = 0 THEN '(no genres listed)'
-        ELSE CONCAT(p_type, '|', REPLACE(p_name, ' ', '|')) END""",
+    "genres": """CASE WHEN p_partkey % 97 = 0 THEN '(no genres listed)' WHEN p_partkey % 89 = 0 THEN NULL
+        WHEN p_partkey % 83 = 0 THEN '' ELSE CONCAT(p_type, '|', REPLACE(p_name, ' ', '|')) END""",
 }
 RAW_RATING = {
     "user_id": "CAST(o_custkey AS INT)",
     "movie_id": "CAST(l_partkey AS INT)",
     "rating": "CEIL(l_quantity / 5) / 2",
-    "rated_at": "l_shipdate",
+    "rated_at": "CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE l_shipdate END",
 }
+# Ids folded onto the ids below ``{vectors}``, one more than the largest id among the vectors.
 EVAL_RATING = {
-    "user_id": "CAST(o_custkey % 500 AS INT)",
-    "movie_id": "CAST(l_partkey % 500 AS INT)",
+    "user_id": "CAST(o_custkey % {vectors} AS INT)",
+    "movie_id": "CAST(l_partkey % {vectors} AS INT)",
     "rating": "CEIL(l_quantity / 5) / 2",
 }
+# Rows that break the rules of the contracts.
+SUSPECT_RATING = {
+    "user_id": "CASE WHEN movie_id % 31 = 0 THEN NULL ELSE user_id END",
+    "movie_id": "CASE WHEN user_id % 7 = 0 THEN movie_id + 1000000 ELSE movie_id END",
+    "rating": "CASE WHEN movie_id % 29 = 0 THEN NULL WHEN user_id % 10 = 0 THEN rating + 3 ELSE rating END",
+    "rated_at": "rated_at",
+}
+SUSPECT_MOVIE = {
+    "movie_id": "CASE WHEN movie_id % 41 = 0 THEN NULL WHEN movie_id % 43 = 0 THEN 1 ELSE movie_id END",
+    "title": "CASE WHEN movie_id % 37 = 0 THEN NULL ELSE title END",
+    "genres": "genres",
+}
+DAMAGED_ID = """CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN 1 WHEN id % 29 = 0 THEN id + 10000000 ELSE id END"""
 
 
 def columns(named: dict[str, str]) -> list[str]:
@@ -125,8 +139,10 @@ class Proxies:
 
     @cached_property
     def ratings_eval(self) -> DataFrame:
-        """Ratings with ids folded onto the vectors, so that recommendations can hit."""
-        lines = self._order_lines.selectExpr(*columns(EVAL_RATING))
+        """Ratings with ids folded onto all the vectors there are, so that recommendations can hit."""
+        vectors = self.table("embeddings").agg(F.max("vec_id") + 1).scalar()
+        folded = {name: (F.col(key) % vectors).cast("int") for name, key in (("user_id", "o_custkey"), ("movie_id", "l_partkey"))}
+        lines = self._order_lines.select(*[c.alias(name) for name, c in folded.items()], F.expr(EVAL_RATING["rating"]).alias("rating"))
         return lines.groupBy("user_id", "movie_id").agg(F.max("rating").alias("rating"))
 
     @cached_property

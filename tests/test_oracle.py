@@ -6,12 +6,13 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import duck, duck_rows, spark_rows
+from marquee.oracles import ORACLE
+from marquee.registry import QUERIES
 
 TESTDATA = "/root/testdata"
 # The smallest folder unless told otherwise, such as MARQUEE_SCALES=0.001,0.01.
 SCALES = os.environ.get("MARQUEE_SCALES", "0.001").split(",")
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
-WITHOUT_SQL = {"vector_texts", "synthetic_vectors", "split_random", "als_factors", "als_rmse", "als_ranking", "recommend_lsh"}
+WITHOUT_SQL = {"synthetic_vectors", "als_factors", "als_rmse", "als_ranking", "recommend_lsh"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables here")
 
@@ -39,3 +40,7 @@ def test_entry(spark):
     trending = driver.entry(spark)
     assert trending.columns == ["movie_id", "title", "genres", "avg_rating", "rating_count"]
     assert trending.count() == 10
+
+
+def test_the_driver_sees_all_of_them():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
