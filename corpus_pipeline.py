@@ -19,32 +19,37 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.llm.bpe import Codec
 from marquee.llm.decontamination import Benchmark
-from marquee.llm.folders import new_folder
 from marquee.llm.quality import CompressionClassifier
-from marquee.llm.queries import learning_rows, tokenizer_file
+from marquee.llm.queries import learning_labels, tokenizer_file
 from marquee.llm.secret_scan import mask_secrets
 from marquee.llm.simhash import keep_one_per_class
+from marquee.llm.workers import prepare
+from marquee.session import new_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the compression classifier does not reject."""
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = CompressionClassifier.fit(learning_rows(docs, labels), "doc_id", "text", "quality")
+    model = CompressionClassifier.fit(docs, learning_labels(labels))
     return docs.where(model.score(F.col("text")) >= 0.5)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that SimHash links."""
+    prepare(spark)
     return keep_one_per_class(docs, words=3, radius=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
+    prepare(spark)
     return Benchmark(spark.read.parquet(f"{sf_dir}/benchmark.parquet")).without_leaks(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked."""
+    prepare(spark)
     masked = docs.withColumn("text", mask_secrets(F.col("text")))
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
@@ -52,6 +57,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with ``token_ids`` and ``n_tokens``."""
     codec = Codec.load(spark, tokenizer_file())
+    prepare(spark)
     kept = docs.drop("token_ids", "n_tokens")
     return kept.withColumn("token_ids", codec.encode(F.col("text"))).withColumn("n_tokens", F.size("token_ids").cast("long"))
 

@@ -8,7 +8,7 @@ better dictionary leaves, which tells runs of repeated words from prose. A logis
 on labelled texts that had no part in the dictionaries, turns it into a probability.
 
 The fit is bounded: ``SAMPLE`` labelled texts of each class, those with the smallest hash of their
-id, an excerpt of ``EXCERPT`` characters of each; the two classes count in the curve by their
+id, an excerpt of ``EXCERPT`` characters of each (repeated rows count once); the two classes count in the curve by their
 share of all labelled rows. Scores are a column function over whole texts without a shuffle. A text
 is compressed in blocks of ``BLOCK`` bytes, each against the dictionary anew, so that a long text is
 judged by the dictionaries to its end and not by its own beginning.
@@ -28,6 +28,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marquee.session import store_once
+
 SAMPLE = 1500
 EXCERPT = 8000
 PIECE = 1000  # bytes of one text in a dictionary
@@ -94,25 +96,30 @@ class CompressionClassifier:
     share: float
 
     @classmethod
-    def fit(cls, labelled: DataFrame, id_column: str, text_column: str, label_column: str) -> CompressionClassifier:
-        """From rows with a text and a label of 0 or 1; other rows, and empty texts, are left out."""
-        usable = labelled.select(
-            F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).cast("int").alias("label")
-        ).where("text != '' AND label IN (0, 1)")
+    def fit(
+        cls, docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"
+    ) -> CompressionClassifier:
+        """From the documents that ``labels`` (id, label of 0 or 1) names; other labels, and empty texts, are left out.
+
+        Only ids are shuffled to choose the sample; its texts are then picked out by a broadcast of those ids.
+        """
+        texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("text != ''")
+        marks = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")).where("label IN (0, 1)")
+        usable = store_once(texts.select("id").join(marks, "id"), "labelled-ids")
         counts = {r[0]: r[1] for r in usable.groupBy("label").count().collect()}
         total = sum(counts.values())
         share = min(max(counts.get(1, 0) / total if total else 0.5, 0.01), 0.99)
         if len(counts) < 2:
             return cls(None, (), share)
-        samples = {}
-        for label in (1, 0):
-            rows = usable.where(F.col("label") == label).withColumn("place", F.xxhash64(F.col("id").cast("string"), F.lit("sample")))
-            # The ids are chosen first, so that no texts are sorted.
-            chosen = rows.select("place", "id").orderBy("place", "id").limit(SAMPLE)
-            texts = rows.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi").select(
-                "place", F.substring("text", 1, EXCERPT).alias("text")
-            )
-            samples[label] = [r[1].encode() for r in sorted(texts.collect())[:SAMPLE]]
+        place = F.xxhash64(F.col("id").cast("string"), F.lit("sample")).alias("place")
+        chosen = [usable.where(F.col("label") == n).select("id", "label", place).distinct().orderBy("place", "id").limit(SAMPLE) for n in (1, 0)]
+        # At most 2 * SAMPLE ids.
+        picked = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").select(
+            "label", "place", "id", F.substring("text", 1, EXCERPT).alias("text")
+        )
+        samples: dict[int, list[bytes]] = {1: [], 0: []}
+        for label, _, _, text in sorted(set(map(tuple, picked.collect()))):
+            samples[label].append(text.encode())
         # Two thirds make the dictionaries, as many texts of either class; a third calibrates.
         made = {label: [t for i, t in enumerate(texts) if i % 3] for label, texts in samples.items()}
         even = max(1, min(map(len, made.values())))

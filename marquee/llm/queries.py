@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from marquee.llm.workers import prepare
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, Callable[[str], DataFrame]], DataFrame]):
     """Register a query under its function's name; it gets the session and a reader of tables."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(spark, lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+
+    def ask(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return build(spark, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+    QUERIES[build.__name__] = ask
     return build
 
 
@@ -43,9 +50,9 @@ def op4_bpe(spark, table):
     )
 
 
-def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with their quality label, but for the held-out third."""
-    return docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id").where(~held_out(F.col("doc_id")))
+def learning_labels(labels: DataFrame) -> DataFrame:
+    """The quality labels, but for the held-out third."""
+    return labels.select("doc_id", "quality").where(~held_out(F.col("doc_id")))
 
 
 def held_out(doc_id):
@@ -57,7 +64,7 @@ def op7_quality(spark, table):
     from marquee.llm.quality import CompressionClassifier
 
     docs = table("documents")
-    model = CompressionClassifier.fit(learning_rows(docs, table("labels")), "doc_id", "text", "quality")
+    model = CompressionClassifier.fit(docs, learning_labels(table("labels")))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -72,7 +79,7 @@ def op10_sharding(spark, table):
 @query
 def op6_warc(spark, table):
     from marquee.llm import warc
-    from marquee.llm.folders import new_folder
+    from marquee.session import new_folder
 
     arc, made = new_folder(spark, "arc"), new_folder(spark, "warc")
     warc.write_arc(table("pages"), arc)
