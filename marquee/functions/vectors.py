@@ -23,12 +23,6 @@ def cosine_distance(a: Column, b: Column) -> Column:
     return F.lit(1.0) - cosine_similarity(a, b)
 
 
-def unit(a: Column) -> Column:
-    """The vector scaled to length one; null for a zero vector."""
-    length = norm(a)
-    return F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length))
-
-
 def is_vector(a: Column, dim: int) -> Column:
     """True for an array of exactly ``dim`` numbers, none of them null or NaN."""
     sound = (F.size(a) == dim) & F.forall(a, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")))

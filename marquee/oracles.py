@@ -428,6 +428,16 @@ ORACLE: dict[str, str] = {
         """SELECT user_id, relevant, hits, round(precision, 6) AS precision, hit, round(recall, 6) AS recall,
         round(ndcg, 6) AS ndcg FROM per_user""",
     ),
+    "metrics_of_lists": _with(
+        "per_user",
+        """SELECT user_id, round(precision, 6) AS precision, hit, round(recall, 6) AS recall, round(ndcg, 6) AS ndcg
+        FROM per_user""",
+    ),
+    "similarity_of_pairs": _with(
+        "customer_cosine_top",
+        """SELECT user_id, movie_id, round(score, 6) AS similarity, round(1 - score, 6) AS distance
+        FROM customer_cosine_top""",
+    ),
     "precision_recall_hit": _with(
         "per_user",
         """SELECT round(AVG(precision), 6) AS precision, round(AVG(hit), 6) AS hit_rate, round(AVG(recall), 6) AS recall,

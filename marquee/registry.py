@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.functions import display
-from marquee.functions.vectors import vector_text
+from marquee.functions import display, ranking
+from marquee.functions.vectors import cosine_distance, cosine_similarity, vector_text
 from marquee.operators import cleaning, contracts, keyed, sampling, split
 from marquee.operators.lsh import candidate_pairs, top_k_lsh
 from marquee.operators.topk import top_k
@@ -285,6 +285,23 @@ def user_metrics(p: Proxies) -> DataFrame:
     return _rounded(_user_metrics(p), "precision", "recall", "ndcg")
 
 
+@query
+def metrics_of_lists(p: Proxies) -> DataFrame:
+    """The same metrics from one short list per user and kind."""
+    train, test = p.eval_split
+    relevant = evaluation.relevant_pairs(test, p.movie_factors)
+    ranked = evaluation.ranked_for_evaluation(p.user_factors, p.movie_factors, train, relevant, 10)
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("rank", "movie_id"))), lambda x: x["movie_id"])
+    lists = relevant.groupBy("user_id").agg(F.collect_set("movie_id").alias("relevant"))
+    lists = lists.join(p.user_factors.select("user_id"), "user_id", "left_semi")
+    lists = lists.join(ranked.groupBy("user_id").agg(in_order.alias("recommended")), "user_id", "left")
+    lists = lists.join(train.groupBy("user_id").agg(F.collect_set("movie_id").alias("train")), "user_id", "left")
+    recommended = F.coalesce("recommended", F.slice("relevant", 1, 0))
+    metrics = {"precision": ranking.precision_at, "hit": ranking.hit_at, "recall": ranking.recall_at, "ndcg": ranking.ndcg_at}
+    found = [m(recommended, F.col("relevant"), F.col("train"), 10).alias(name) for name, m in metrics.items()]
+    return _rounded(lists.select("user_id", *found), "precision", "recall", "ndcg")
+
+
 @query
 def precision_recall_hit(p: Proxies) -> DataFrame:
     means = evaluation.mean_metrics(_user_metrics(p))
@@ -458,6 +475,16 @@ def recommend_customers(p: Proxies) -> DataFrame:
     return _rounded(recommend.recommendations(p.customer_vectors, p.part_vectors, p.movies, 10), "similarity")
 
 
+@query
+def similarity_of_pairs(p: Proxies) -> DataFrame:
+    """The similarity of each customer's ten nearest parts, from the two vectors of the pair."""
+    pairs = top_k(p.customer_vectors, p.part_vectors, 10).select("user_id", "movie_id")
+    both = pairs.join(p.customer_vectors, "user_id").join(p.part_vectors.withColumnRenamed("features", "other"), "movie_id")
+    a, b = F.col("features"), F.col("other")
+    found = both.select("user_id", "movie_id", cosine_similarity(a, b).alias("similarity"), cosine_distance(a, b).alias("distance"))
+    return _rounded(found, "similarity", "distance")
+
+
 @query
 def recommend_lsh(p: Proxies) -> DataFrame:
     return _rounded(top_k_lsh(p.user_factors, p.movie_factors, 10), "score")
