@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from marquee.operators.contracts import (
@@ -75,6 +75,11 @@ def serving_factors(factors: DataFrame, id_column: str) -> DataFrame:
     )
 
 
+# Parts of a stored table that are written as a whole; the same for all versions of a store.
+BUCKETS = 64
+MANIFEST = "table string, bucket int, holder string"
+
+
 class Store:
     """Versions of the four serving tables under one folder.
 
@@ -82,11 +87,15 @@ class Store:
     adds the version to the log, in one file that names the version it was made from. Readers take the
     end of that chain, so a load that fails, or is killed, is never seen, and no clock decides.
     A load whose parent is no longer the newest version when it ends is refused.
+
+    A table is stored in buckets of its first key. A load writes the buckets that it touches and no
+    others; the version's manifest names, for each bucket, the version that holds it.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self._log = f"{self.root}/published"
 
     def _published(self) -> list:
@@ -130,15 +139,30 @@ class Store:
     def path(self, version: str, table: str) -> str:
         return f"{self.root}/versions/{version}/{table}"
 
+    def holders(self, version: str) -> dict[str, dict[int, str]]:
+        """For each table and bucket the version that holds it: as many rows as there are tables and buckets."""
+        found: dict[str, dict[int, str]] = {name: {} for name in schemas.SERVING}
+        for row in self.spark.read.schema(MANIFEST).json(self.path(version, "manifest")).collect():
+            found[row["table"]][row["bucket"]] = row["holder"]
+        return found
+
     def read(self, table: str, version: str | None = None) -> DataFrame:
         version = version or self.current()
         if version is None:
             raise LookupError(f"nothing is published under {self.root}")
-        return self.spark.read.schema(schemas.SERVING[table]).parquet(self.path(version, table))
+        return self._read(table, self.holders(version)[table])
+
+    def _read(self, table: str, held: dict[int, str]) -> DataFrame:
+        if not held:
+            return self.spark.createDataFrame([], schemas.SERVING[table])
+        paths = [f"{self.path(holder, table)}/bucket={bucket}" for bucket, holder in sorted(held.items())]
+        return self.spark.read.schema(schemas.SERVING[table]).parquet(*paths)
 
     def tables(self) -> dict[str, DataFrame]:
         version = self.current()
-        return {name: self.read(name, version) for name in schemas.SERVING}
+        if version is None:
+            raise LookupError(f"nothing is published under {self.root}")
+        return {name: self._read(name, held) for name, held in self.holders(version).items()}
 
     def publish(
         self,
@@ -167,6 +191,7 @@ class Store:
         }
         incoming = {"movies": movies, "ratings": ratings, "user_factors": user_factors, "movie_factors": movie_factors}
         staged: dict[str, DataFrame] = {}
+        holders = self.holders(before) if before is not None else {name: {} for name in incoming}
         for name, df in incoming.items():
             # Keys are checked on the input: a merge would hide a key that comes twice.
             staged[name] = self._stage(version, f"incoming/{name}", df)
@@ -175,13 +200,18 @@ class Store:
             rules = contracts[name]
             parents = {"movies": staged["movies"]} if rules.references else None
             enforce(check(staged[name], rules, parents if before is None else None))
-            if before is not None:
+            touched = {r[0] for r in staged[name].select(self._bucket(name)).distinct().collect()}
+            existing = {bucket: holder for bucket, holder in holders[name].items() if bucket in touched}
+            if existing:
                 kept = ["loaded_at"] if name.endswith("factors") else []
-                merged = upsert(self.read(name, before), staged[name], contracts[name].key, kept)
-                staged[name] = merged
-            staged[name] = self._write(version, name, staged[name])
+                staged[name] = upsert(self._read(name, existing), staged[name], contracts[name].key, kept)
+            self._write(version, name, staged[name])
+            holders[name] |= dict.fromkeys(touched, version)
+            staged[name] = self._read(name, holders[name])
         if before is not None:
             enforce(check(staged["ratings"], RATINGS, {"movies": staged["movies"]}))
+        rows = [(name, bucket, holder) for name, held in holders.items() for bucket, holder in held.items()]
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.json(self.path(version, "manifest"))
         if self.current() != parent:
             raise ContractError(f"another load was published on top of {parent} meanwhile; run this one again")
         made_from = F.lit(parent).cast("string").alias("parent")
@@ -195,13 +225,15 @@ class Store:
         df.write.parquet(self.path(version, table))
         return self.spark.read.schema(df.schema).parquet(self.path(version, table))
 
-    def _write(self, version: str, table: str, df: DataFrame) -> DataFrame:
-        """Store a table ordered by key, so that file statistics serve a lookup by user or movie."""
-        wanted = schemas.SERVING[table]
-        key = [c for c in ("user_id", "movie_id") if c in wanted.names]
-        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
-        typed.repartitionByRange(*key).sortWithinPartitions(*key).write.parquet(self.path(version, table))
-        return self.read(table, version)
+    def _bucket(self, table: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(_key(table)[0]).cast("bigint")), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def _write(self, version: str, table: str, df: DataFrame) -> None:
+        """Store buckets ordered by key, so that file statistics serve a lookup by user or movie."""
+        key = _key(table)
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SERVING[table].fields], self._bucket(table))
+        ordered = typed.repartitionByRange("bucket", *key).sortWithinPartitions("bucket", *key)
+        ordered.write.partitionBy("bucket").parquet(self.path(version, table))
 
     def _set_aside(self, version: str, ratings: DataFrame, movies: DataFrame) -> DataFrame:
         """The ratings to publish; the others are stored with the rule they break."""
@@ -210,3 +242,7 @@ class Store:
         orphans = sound.join(known, "movie_id", "left_anti").withColumn("broken_rule", F.lit("orphan movie_id"))
         broken.unionByName(orphans).write.parquet(self.path(version, "ratings_refused"))
         return sound.join(known, "movie_id", "left_semi")
+
+
+def _key(table: str) -> list[str]:
+    return [c for c in ("user_id", "movie_id") if c in schemas.SERVING[table].names]

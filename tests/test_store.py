@@ -181,3 +181,17 @@ def test_versions_that_were_never_published_are_removed(store):
     assert len(removed) == 2 and f"{store.root}/versions/{kept}/incoming" in removed
     assert os.listdir(f"{store.root}/versions") == [kept]
     assert store.read("ratings").count() == 3 and store.clean_up() == []
+
+
+def test_a_load_writes_the_buckets_it_touches_and_no_others(store):
+    first = load(store, [(i, "T", "G") for i in range(200)], [(i, i, 4.0, i) for i in range(200)], users=200, items=200)
+    second = load(store, [(7, "New", "G")], [(7, 7, 1.0, 7)], users=1, items=1)
+    holders = store.holders(second)
+    for table in ("movies", "ratings", "user_factors", "movie_factors"):
+        assert sorted(holders[table].values()).count(second) == 1
+        assert set(holders[table].values()) == {first, second}
+        assert store.read(table).count() == 200
+    assert store.read("movies").filter("movie_id = 7").first()["title"] == "New"
+    assert store.read("movies", first).filter("movie_id = 7").first()["title"] == "T"
+    store.clean_up()
+    assert store.read("ratings").count() == 200
