@@ -191,11 +191,14 @@ def near_duplicate_classes(
 def keep_one_per_class(docs: DataFrame, **options) -> DataFrame:
     """The documents whose id names their class, one row each, with all columns.
 
-    A row without an id can't be named and stays.
+    A row without an id can't be named and stays. Only the ids that are not simply kept are joined with
+    the documents: those that name no class, and the repeated ones.
     """
-    classes = near_duplicate_classes(docs, **options)
-    kept = classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = store_once(kept, "kept-documents")
-    single = docs.join(kept.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))
+    classes = near_duplicate_classes(docs, **options).where("doc_id IS NOT NULL")
+    naming = classes.groupBy("doc_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("rows"))
+    others = store_once(naming.where("rows != 1"), "other-documents")
+    kept = docs.join(others.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    repeated = others.where("rows > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
