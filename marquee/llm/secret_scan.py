@@ -4,7 +4,8 @@ Base kinds are patterns: an assignment to a name such as ``token``, an access ke
 hexadecimal digits. The method adds spans of kind ``novel``: a word of ``CANDIDATE`` or more
 characters, with letters and digits, that follows a sensitive word closely. The surrounding text
 and a dictionary of identifiers prime zstandard, and the candidate costs what it adds to the
-compressed size. Names, numbers and repeats are cheap after such a dictionary; random keys are not.
+compressed size. Names and numbers are cheap after such a dictionary; random keys are not. Other
+copies of the candidate are left out of its surroundings, so a key that is repeated costs as much as one.
 A candidate whose cost is at least ``NOVELTY`` of its length is reported. A base span stays as it
 is, and no novel span overlaps one.
 
@@ -39,6 +40,7 @@ LEVEL = 5
 SENSITIVE_WORDS = ("pass", "secret", "token", "key", "credential", "auth", "bearer", "private", "signature", "cookie")
 SENSITIVE = re.compile("|".join(SENSITIVE_WORDS), re.IGNORECASE | re.ASCII)
 WORD = re.compile(rf"[A-Za-z0-9+/_.=-]{{{CANDIDATE},}}", re.ASCII)
+LONG_RUN = re.compile(rf"[A-Za-z0-9]{{{CANDIDATE},}}", re.ASCII)
 
 # Identifiers that code and configuration are full of.
 IDENTIFIERS = " ".join(
@@ -92,7 +94,8 @@ class Novelty:
 
     def cost(self, text: str, start: int, end: int) -> float:
         """Compressed bytes that text[start:end] adds to its surroundings, per byte of it."""
-        around = (text[max(0, start - AROUND) : start] + text[end : end + AROUND]).encode()
+        around = [(max(0, start - AROUND), start), (end, min(len(text), end + AROUND))]
+        around = "".join(_without_copies(text, start, end, low, high) for low, high in around).encode()
         found = text[start:end].encode()
         return (len(self.size(around + found)) - len(self.size(around))) / len(found)
 
@@ -120,6 +123,23 @@ class Novelty:
         return out
 
 
+def _without_copies(text: str, start: int, end: int, low: int, high: int) -> str:
+    """text[low:high] without the copies of text[start:end], with other marks around it or cut by a bound too."""
+    found = text[start:end]
+    copies = []
+    for copy in {found.strip("+/_.=-"), *LONG_RUN.findall(found)} - {""}:
+        first, last = max(0, low - len(copy) + 1), high + len(copy) - 1
+        while (at := text.find(copy, first, last)) >= 0:
+            copies.append((at, at + len(copy)))
+            first = at + 1
+    out, at = [], low
+    for first, last in sorted(copies):
+        if first > at:
+            out.append(text[at:first])
+        at = max(at, last)
+    return "".join([*out, text[at:high]])
+
+
 def _disjoint(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
     """Starts and ends of the spans, overlapping ones joined, in order."""
     starts, ends = [], []

@@ -65,6 +65,22 @@ def test_novel_strings_near_a_sensitive_word(spark):
         assert all(b <= x or y <= a for k, a, b in spans[i] if k == "novel" for _, x, y in taken)
 
 
+def novel_words(spark, texts):
+    return [[texts[i][a:b] for k, a, b in spans if k == "novel"] for i, spans in sorted(found(spark, texts).items())]
+
+
+def test_each_copy_of_a_repeated_key(spark):
+    # 12 of TEXTS; copies with other marks around them; one that the bound of the surroundings cuts; many lines.
+    texts = [
+        TEXTS[12],
+        f"auth cookie: {KEY} then auth cookie: {KEY}. and cookie <{KEY}>",
+        f"signature {KEY}" + " w" * ((secret_scan.AROUND - 30) // 2) + f" signature {KEY}",
+        f"signature {KEY}\n" * 20,
+    ]
+    for text, words in zip(texts, novel_words(spark, texts)):
+        assert [w.strip(".") for w in words] == [KEY] * text.count(KEY), text
+
+
 def test_masks(spark):
     rows = spark.createDataFrame([(t,) for t in TEXTS], "text string")
     masked = [r.m for r in rows.select(mask_secrets(F.col("text")).alias("m")).collect()]
