@@ -39,7 +39,8 @@ NOVELTY = 0.75
 LEVEL = 5
 SENSITIVE_WORDS = ("pass", "secret", "token", "key", "credential", "auth", "bearer", "private", "signature", "cookie")
 SENSITIVE = re.compile("|".join(SENSITIVE_WORDS), re.IGNORECASE | re.ASCII)
-WORD = re.compile(rf"[A-Za-z0-9+/_.=-]{{{CANDIDATE},}}", re.ASCII)
+# What "=" parts are words of their own, but for the padding that ends a base64 key.
+WORD = re.compile(rf"[A-Za-z0-9+/_.-]{{{CANDIDATE},}}(?:={{1,2}}(?![A-Za-z0-9+/_.=-]))?", re.ASCII)
 LONG_RUN = re.compile(rf"[A-Za-z0-9]{{{CANDIDATE},}}", re.ASCII)
 
 # Identifiers that code and configuration are full of.
@@ -106,20 +107,19 @@ class Novelty:
         starts, ends = _disjoint(taken)
         out, done = [], 0
         for sensitive in SENSITIVE.finditer(text):
-            candidate = WORD.search(text, max(done, sensitive.end()), sensitive.end() + REACH + CANDIDATE)
-            if candidate is None:
-                continue
-            start = candidate.start()
-            if start == sensitive.end() and text[start] != "=":
-                continue  # the rest of the name that holds the sensitive word
-            end = WORD.match(text, start).end()  # beyond the reach too
-            done = end
-            found = text[start:end]
-            before = bisect_left(starts, end) - 1
-            if before >= 0 and ends[before] > start:
-                continue
-            if any(c.isdigit() for c in found) and any(c.isalpha() for c in found) and self.cost(text, start, end) >= NOVELTY:
-                out.append(("novel", start, end))
+            at, reach = max(done, sensitive.end()), sensitive.end() + REACH + CANDIDATE
+            while candidate := WORD.search(text, at, reach):
+                start = candidate.start()
+                end = at = WORD.match(text, start).end()  # beyond the reach too
+                if start == sensitive.end():
+                    continue  # the rest of the name that holds the sensitive word
+                done = end
+                found = text[start:end]
+                before = bisect_left(starts, end) - 1
+                if before >= 0 and ends[before] > start:
+                    continue
+                if any(c.isdigit() for c in found) and any(c.isalpha() for c in found) and self.cost(text, start, end) >= NOVELTY:
+                    out.append(("novel", start, end))
         return out
 
 

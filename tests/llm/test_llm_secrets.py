@@ -73,12 +73,24 @@ def test_each_copy_of_a_repeated_key(spark):
     # 12 of TEXTS; copies with other marks around them; one that the bound of the surroundings cuts; many lines.
     texts = [
         TEXTS[12],
-        f"auth cookie: {KEY} then auth cookie: {KEY}. and cookie <{KEY}>",
+        f"auth cookie={KEY} then auth cookie: {KEY}. and cookie <{KEY}>",
         f"signature {KEY}" + " w" * ((secret_scan.AROUND - 30) // 2) + f" signature {KEY}",
         f"signature {KEY}\n" * 20,
     ]
     for text, words in zip(texts, novel_words(spark, texts)):
-        assert [w.strip(".") for w in words] == [KEY] * text.count(KEY), text
+        assert [w.rstrip(".") for w in words] == [KEY] * text.count(KEY), text
+
+
+def test_every_word_in_reach_is_a_candidate(spark):
+    key = "9fQ2xLr7VbT4mZk8WpYc"
+    texts = [
+        f"secret_configuration_value = {key}",
+        f"tokenForServiceAccount: {key}",
+        f"bearer for https.service.internal.example is {key}",
+        f"private_configuration_value={key}",
+        f"signature {key} {KEY} end",
+    ]
+    assert novel_words(spark, texts) == [[key], [key], [key], [key], [key, KEY]]
 
 
 def test_masks(spark):
