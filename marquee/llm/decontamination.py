@@ -18,7 +18,8 @@ The items are broadcast, at most ``PART_CHARACTERS`` characters at a time; a lar
 parts, one pass over the documents each. All else is a column function: whole texts, no shuffle.
 
 Defined results: null and empty texts and items hold nothing. Items of fewer than ``SHORTEST`` words
-are left out: they turn up by chance. Items with equal words are found together. Of windows that
+are left out: they turn up by chance. Items with equal words are found together; those without an id are
+searched as well, and reported once, with a null item_id, unless an item with an id has the same words. Of windows that
 overlap, the closest one is reported for an item, the first one if tied.
 """
 
@@ -220,7 +221,7 @@ class Leaks:
             for item, start, n, distance in found:
                 begin, end = bounds[start - first][0], bounds[start - first + n - 1][1]
                 out[i] += [(owner, begin, end, distance) for owner in self.owners[n][item]]
-            out[i].sort(key=lambda leak: (leak[1], leak[0]))
+            out[i].sort(key=lambda leak: (leak[1], leak[0] is not None, leak[0]))
 
     def _verify(self, portion: list[tuple[int, np.ndarray]], codes: np.ndarray, lasts: np.ndarray, leaks: dict) -> None:
         """Embed the windows of all lengths together, look them up, and compute the distances of the pairs."""
@@ -275,13 +276,28 @@ def _bounds(text: str, wanted: set[int]) -> dict[int, tuple[int, int]]:
     return {i: (place[m.start()], place[m.end() - 1] + 1) for i, m in enumerate(_WORD.finditer(text.lower())) if i in wanted}
 
 
+def _joined_words(text):
+    @F.arrow_udf("string")
+    def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([" ".join(words_of(t)) for t in texts.to_pylist()], pa.string())
+
+    return joined(text)
+
+
 class Benchmark:
     """Items in parts that are each small enough to broadcast."""
 
     def __init__(self, items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> None:
         spark = items.sparkSession
         rows = items.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-        rows = rows.where("text IS NOT NULL AND id IS NOT NULL")
+        rows = rows.where("text IS NOT NULL")
+        nameless = rows.where("id IS NULL")
+        if not nameless.isEmpty():
+            named = rows.where("id IS NOT NULL").withColumn("words", _joined_words(F.col("text")))
+            nameless = nameless.withColumn("words", _joined_words(F.col("text"))).dropDuplicates(["words"])
+            nameless = nameless.join(named.select("words"), "words", "left_anti")
+            rows = store_once(named.unionByName(nameless).select("id", "text"), "items")
         size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
         parts = max(1, -(-size // PART_CHARACTERS))
         part = F.pmod(F.xxhash64("id", "text"), F.lit(parts))

@@ -108,6 +108,18 @@ def test_odd_texts_and_items(spark):
     assert [r.doc_id for r in kept] == [0, 1, 2, 8] and kept[0].asDict().keys() == {"doc_id", "text", "item_id", "leak"}
 
 
+def test_items_without_an_id(spark, monkeypatch):
+    items = [(None, ITEM), (None, ITEM.upper()), (None, None), (None, "one two three four five six"), (6, "ONE two three four five six")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    _, docs = tables(spark, ["nothing here", f"before {ITEM} after", "one two three four five six", f"one two three four five six {ITEM}"])
+    for size in (decontamination.PART_CHARACTERS, 30):
+        monkeypatch.setattr(decontamination, "PART_CHARACTERS", size)
+        benchmark = Benchmark(items)
+        found = sorted(((r.doc_id, r.item_id, r.distance) for r in benchmark.leaks(docs).collect()), key=str)
+        assert found == [(1, None, 0), (2, 6, 0), (3, 6, 0), (3, None, 0)]
+        assert [r.doc_id for r in benchmark.without_leaks(docs).collect()] == [0]
+
+
 def test_empty_tables_and_parts(spark, monkeypatch):
     empty = Benchmark(spark.createDataFrame([], "item_id long, text string"))
     _, docs = tables(spark, TEXTS)
