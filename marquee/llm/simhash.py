@@ -169,10 +169,10 @@ def links(prints: DataFrame, radius: int = 3, copies: int = 1, crowd: int = CROW
     return pairs.unionByName(stars).unionByName(through)
 
 
-def near_duplicate_classes(
+def _rooted_classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, radius: int = 3, copies: int = 1
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row: the class is named by its smallest id."""
+    """(doc_id, fp, root, component_id) for every row; the root tells classes of one name apart."""
     prints = store_once(
         docs.select(F.col(id_column).alias("doc_id"), fingerprint(F.col(text_column), words).alias("fp")), "fingerprints"
     )
@@ -182,23 +182,33 @@ def near_duplicate_classes(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
+    classes = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row: the class is named by its smallest id."""
+    return _rooted_classes(docs, **options).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one_per_class(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose id names their class, one row each, with all columns.
+def keep_one_per_class(docs: DataFrame, text_column: str = "text", words: int = 3, **options) -> DataFrame:
+    """The documents whose id names their class, one row for each class, with all columns.
 
     A row without an id can't be named and stays. Only the ids that are not simply kept are joined with
-    the documents: those that name no class, and the repeated ones.
+    the documents: those that name no class, and the repeated ones, whose rows are told apart by fingerprint.
     """
-    classes = near_duplicate_classes(docs, **options).where("doc_id IS NOT NULL")
-    naming = classes.groupBy("doc_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("rows"))
-    others = store_once(naming.where("rows != 1"), "other-documents")
+    classes = _rooted_classes(docs, text_column=text_column, words=words, **options).where("doc_id IS NOT NULL")
+    names = F.col("doc_id") == F.col("component_id")
+    naming = classes.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if(names).alias("named"))
+    others = store_once(naming.where("rows != 1 OR named != 1"), "other-documents")
     kept = docs.join(others.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = others.where("rows > 1").select("doc_id")
+    repeated = others.where("rows > 1 AND named > 0").select("doc_id")
     if repeated.isEmpty():
         return kept
-    return kept.unionByName(docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    naming_rows = classes.where(names).join(repeated, "doc_id").select("doc_id", F.col("fp").alias("own print"), F.col("root").alias("own class"))
+    naming_rows = store_once(naming_rows.distinct(), "naming-rows")
+    marked = docs.join(repeated, "doc_id", "left_semi").withColumn("own print", fingerprint(F.col(text_column), words))
+    single = marked.join(naming_rows, ["doc_id", "own print"]).dropDuplicates(["doc_id", "own class"])
+    return kept.unionByName(single.select(*docs.columns))

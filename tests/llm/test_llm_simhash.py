@@ -98,6 +98,14 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert kept.columns == ["doc_id", "text", "fingerprint", "component_id", "fp", "root"]
 
 
+def test_repeated_ids_with_different_texts(spark):
+    one, two, three = "a b c d e f", "g h i j k l", "m n o p q r"
+    # 5 names the classes of two texts; 7 names one and has a copy of what 5 names; 8 has copies only.
+    rows = [(5, one), (5, two), (5, two), (7, three), (7, one), (8, two), (8, three)]
+    kept = simhash.keep_one_per_class(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(5, one), (5, two), (7, three)]
+
+
 def test_an_empty_table(spark):
     assert simhash.near_duplicate_classes(documents(spark, [])).collect() == []
     assert simhash.keep_one_per_class(documents(spark, [])).collect() == []
