@@ -224,3 +224,11 @@ def op8_decontamination(spark, table):
     from marquee.llm.decontamination import Benchmark
 
     return Benchmark(table("benchmark")).leaks(table("documents"))
+
+
+@query
+def op12_repeats(spark, table):
+    from marquee.llm.repeated_spans import without_repeats
+
+    found = without_repeats(table("documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
