@@ -232,3 +232,53 @@ def op12_repeats(spark, table):
 
     found = without_repeats(table("documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_whitening(spark, table):
+    from marquee.llm.whitening import whitened_rows
+
+    return whitened_rows(table("embeddings"))
+
+
+@query
+def op11_fill_in_middle(spark, table):
+    from marquee.llm.fill_in_middle import examples, restored
+
+    made = examples(table("documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+# Texts are counted in code points here, as SQL strings are.
+ORACLE["op11_fill_in_middle"] = """
+WITH drawn AS (
+    SELECT doc_id, COALESCE(text, '') AS t, length(COALESCE(text, ''))::BIGINT AS n,
+        sha256('1:' || COALESCE(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), numbers AS (
+    SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+        ('0x' || substr(h, 17, 8))::BIGINT % 100 AS c, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS d
+    FROM drawn
+), parts AS (
+    SELECT *, substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, greatest(a, b) - least(a, b)) AS m,
+        substr(t, greatest(a, b) + 1) AS s,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+            WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
