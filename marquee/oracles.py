@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from marquee.sources.proxies import (
+    CLUSTERS,
     DAMAGED_ID,
     DIRTY_MOVIE,
     DIRTY_RATING,
@@ -71,6 +72,18 @@ def _ranking_views(prefix: str, ratings: str, users: str, items: str) -> dict[st
     }
 
 
+def _clustered_vector(key: str, seed: int) -> str:
+    centre, own = _made_vector(f"({key} % {CLUSTERS})", 44), _made_vector(key, seed)
+    return f"list_transform(list_zip({centre}, {own}), lambda p: p[1] + p[2] / 8)"
+
+
+def _best_pairs(score: str) -> str:
+    return f"""SELECT user_id, movie_id, score, rank FROM (
+        SELECT user_id, movie_id, score, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
+        FROM (SELECT u.user_id, m.movie_id, {score}(u.features, m.features) AS score
+              FROM clustered_customers u CROSS JOIN clustered_parts m) AS pairs) AS ranked WHERE rank <= 10"""
+
+
 # Input views, in an order in which each needs only those before it.
 VIEWS = {
     "movies": f"{_select(MOVIE)} FROM part",
@@ -96,6 +109,10 @@ VIEWS = {
     "customer_vectors": f"""SELECT CAST(c_custkey AS INT) AS user_id, {_made_vector('c_custkey', 42)} AS features
         FROM customer""",
     "part_vectors": f"SELECT CAST(p_partkey AS INT) AS movie_id, {_made_vector('p_partkey', 43)} AS features FROM part",
+    "clustered_customers": f"SELECT CAST(c_custkey AS INT) AS user_id, {_clustered_vector('c_custkey', 45)} AS features FROM customer",
+    "clustered_parts": f"SELECT CAST(p_partkey AS INT) AS movie_id, {_clustered_vector('p_partkey', 46)} AS features FROM part",
+    "clustered_top": _best_pairs("list_cosine_similarity"),
+    "clustered_top_dot": _best_pairs("list_dot_product"),
     **_ranking_views("", "ratings_eval", "user_factors", "movie_factors"),
     **_ranking_views("customer_", "ratings", "customer_vectors", "part_vectors"),
     "suspect": f"{_select(SUSPECT_RATING)} FROM ratings_raw",
@@ -406,7 +423,12 @@ ORACLE: dict[str, str] = {
     "cleaning_pipeline": _with(
         "cleaned_ratings",
         """SELECT * FROM cleaned_ratings
-        WHERE movieId IN (SELECT movieId FROM cleaned_ratings GROUP BY movieId HAVING COUNT(*) >= 30)""",
+        WHERE movieId IN (SELECT movieId FROM cleaned_ratings GROUP BY movieId HAVING COUNT(*) >= 5)""",
+    ),
+    "prepared_ratings": _with(
+        "cleaned_ratings",
+        """SELECT r.* FROM cleaned_ratings r JOIN (SELECT movieId, COUNT(*) AS n FROM cleaned_ratings GROUP BY movieId) AS s
+        ON s.movieId = r.movieId WHERE s.n >= 5""",
     ),
     "training_pipeline": _with(
         "customer_train customer_test",
@@ -416,8 +438,23 @@ ORACLE: dict[str, str] = {
          AND user_id IN (SELECT user_id FROM customer_train)
          AND movie_id IN (SELECT movie_id FROM customer_train)) AS judged_users""",
     ),
-    "lsh_recall": """SELECT COUNT(*) AS users, 10 * COUNT(*) AS exact_rows, TRUE AS recall_sound,
-        CAST(0 AS BIGINT) AS other_scores, TRUE AS fewer_pairs FROM embeddings""",
+    # The rows of the exact search are counted; the rest is what the indexed one promises.
+    "lsh_recall": _with(
+        "cosine_top",
+        """SELECT COUNT(DISTINCT user_id) AS users, COUNT(*) AS exact_rows, TRUE AS recall_sound,
+        CAST(0 AS BIGINT) AS other_scores, TRUE AS fewer_pairs FROM cosine_top""",
+    ),
+    **{
+        name: _with(view, f"SELECT user_id, movie_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM {view}")
+        for name, view in (("pruned_topk", "clustered_top"), ("pruned_topk_dot", "clustered_top_dot"))
+    },
+    "pruned_share": """SELECT (SELECT COUNT(*) FROM customer) AS users, (SELECT COUNT(*) FROM part) AS items, TRUE AS pruned""",
+    # Every user that was trained on solves its equations, and folding in gives the same vector.
+    "als_residuals": _with(
+        "customer_train",
+        """SELECT COUNT(DISTINCT user_id) AS users, COUNT(*) AS ratings, CAST(0 AS BIGINT) AS unsolved, CAST(0 AS BIGINT) AS apart
+        FROM customer_train""",
+    ),
     "relevant_items": _with("relevant", _sets("relevant")),
     "train_items": _with("train", _sets("train")),
     "topk_dot_excluding": _with(
@@ -579,6 +616,13 @@ ORACLE: dict[str, str] = {
         """SELECT movie_id, title, genres FROM movies WHERE title ILIKE '%ring%' AND genres ILIKE '%economy%'
         ORDER BY title, movie_id LIMIT 20""",
     ),
+    "search_files": _with(
+        "movies",
+        """SELECT title, genre, movies, TRUE AS few_files FROM (
+        SELECT 'RED' AS title, NULL AS genre, COUNT(*) AS movies FROM movies WHERE title ILIKE '%RED%'
+        UNION ALL SELECT NULL, 'small', COUNT(*) FROM movies WHERE genres ILIKE '%small%'
+        UNION ALL SELECT 'ring', 'economy', COUNT(*) FROM movies WHERE title ILIKE '%ring%' AND genres ILIKE '%economy%') AS t""",
+    ),
     "search_none": _with("movies", "SELECT movie_id, title, genres FROM movies ORDER BY title, movie_id LIMIT 20"),
     "movie_cards": _with(
         "movies",
@@ -620,3 +664,5 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["publish_pipeline"] = ORACLE["upsert_ratings"]
+ORACLE |= {f"{name}_indexed": ORACLE[name] for name in ("search_title", "search_genre", "search_title_genre")}
+ORACLE["cleaned_movie_files"] = ORACLE["clean_movies"]

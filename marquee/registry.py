@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from marquee.functions import display, ranking
 from marquee.functions.vectors import cosine_distance, cosine_similarity, vector_text
 from marquee.operators import cleaning, contracts, keyed, sampling, split
-from marquee.operators.lsh import candidate_pairs, top_k_lsh
+from marquee.operators.fold_in import fold_in
+from marquee.operators.item_index import ItemIndex
+from marquee.operators.text_index import TextIndex
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, evaluation, pages, profiles, recommend, reports, training
 from marquee.plans.cleaning_run import run_cleaning
-from marquee.session import new_folder, store_once
+from marquee.session import is_kept, new_folder, store_once
 from marquee.sources.files import factor_layout, read_checked, read_factors
 from marquee.sources.proxies import DAMAGED_ID, SUSPECT_MOVIE, SUSPECT_RATING, Proxies, columns
 from marquee.sources.sinks import Store
@@ -25,8 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The vectors of the test tables have 64 elements.
 DIM = 64
 MIN_RATINGS = 30
-# The hashed search must find this share of the exact best ten of the test vectors, which have hardly any structure.
-LSH_RECALL = 0.4
+# Ratings a movie needs where few of them come through the cleaning.
+FEW_RATINGS = 5
+# The indexed search must find this share of the exact best ten of the test vectors, which have hardly any structure.
+LSH_RECALL = 0.9
 
 QUERIES: dict[str, Query] = {}
 
@@ -37,6 +41,32 @@ def query(build: Callable[[Proxies], DataFrame]) -> Callable[[Proxies], DataFram
     return build
 
 
+# Folders of indexes that queries of one application share, by application, data folder and name.
+_BUILT: dict[tuple[str, str, str], str] = {}
+
+
+def _built(p: Proxies, name: str, build: Callable[[str], object]) -> str:
+    """The folder of an index over a data folder, built by the first query that needs it."""
+    key = p.spark.sparkContext.applicationId, p.sf_dir, name
+    if not is_kept(_BUILT.get(key)):
+        path = new_folder(p.spark, name)
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
+
+def _item_index(p: Proxies) -> ItemIndex:
+    return ItemIndex(p.spark, _built(p, "item-index", lambda path: ItemIndex.build(p.movie_factors, path)))
+
+
+def _clustered_index(p: Proxies) -> ItemIndex:
+    return ItemIndex(p.spark, _built(p, "clustered-index", lambda path: ItemIndex.build(p.clustered_parts, path)))
+
+
+def _text_index(p: Proxies) -> TextIndex:
+    return TextIndex(p.spark, _built(p, "text-index", lambda path: TextIndex.build(p.movies, path)))
+
+
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
@@ -104,10 +134,10 @@ def upsert_movies(p: Proxies) -> DataFrame:
 @query
 def upsert_ratings(p: Proxies) -> DataFrame:
     """The ratings of finished orders, then those of all others."""
-    key, newest = ["user_id", "movie_id"], ["rated_at", "rating"]
+    key = ["user_id", "movie_id"]
     finished = F.col("o_orderstatus") == "F"
-    existing = keyed.last_write_wins(p.ratings_of(finished), key, newest)
-    incoming = keyed.last_write_wins(p.ratings_of(~finished), key, newest)
+    existing = keyed.newest_ratings(p.ratings_of(finished), key)
+    incoming = keyed.newest_ratings(p.ratings_of(~finished), key)
     return keyed.upsert(existing, incoming, key)
 
 
@@ -364,20 +394,56 @@ def als_predictions(p: Proxies) -> DataFrame:
     return both.agg(F.count("*").alias("rows"), F.count_if(F.coalesce(apart, F.lit(True))).alias("off"))
 
 
+@query
+def als_residuals(p: Proxies) -> DataFrame:
+    """The fit against its normal equations: users, their ratings, users whose vector does not solve them, and users
+    whose vector the fold-in does not give again."""
+    train = p.stored_split[0]
+    settings = training.AlsSettings()
+    users, items = training.factor_tables(training.train_als(train, settings))
+    found = fold_in(train, items, reg=settings.reg_param, alpha=settings.alpha, own=users)
+    both = users.withColumnRenamed("features", "trained").join(found, "user_id", "full")
+    apart = F.exists(F.zip_with("trained", "features", lambda a, b: F.abs(a.cast("double") - b)), lambda d: d > 1e-3)
+    return both.agg(
+        F.count("*").alias("users"),
+        F.sum("ratings").alias("ratings"),
+        F.count_if(F.coalesce(F.col("residual") > 1e-3, F.lit(True))).alias("unsolved"),
+        F.count_if(F.coalesce(apart, F.lit(True))).alias("apart"),
+    )
+
+
 # Pipelines from files to files
 
 
-@query
-def cleaning_pipeline(p: Proxies) -> DataFrame:
-    """Dirty text written as CSV, cleaned to stored tables, and the ratings read back."""
-    raw, out = new_folder(p.spark, "raw"), new_folder(p.spark, "clean")
+def _raw_files(p: Proxies) -> str:
+    """Dirty text written as CSV."""
+    raw = new_folder(p.spark, "raw")
     for name, rows in (("movies", p.dirty_movies), ("ratings", p.dirty_ratings)):
         options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         rows.write.options(**options).csv(f"{raw}/{name}.csv")
-    _, ratings, _ = run_cleaning(p.spark, raw, out, MIN_RATINGS)
+    return raw
+
+
+@query
+def cleaning_pipeline(p: Proxies) -> DataFrame:
+    """Raw files cleaned to stored tables, and the ratings read back."""
+    _, ratings, _ = run_cleaning(p.spark, _raw_files(p), new_folder(p.spark, "clean"), FEW_RATINGS)
     return p.spark.read.parquet(ratings)
 
 
+@query
+def cleaned_movie_files(p: Proxies) -> DataFrame:
+    """The movies that the same run stores."""
+    movies, _, _ = run_cleaning(p.spark, _raw_files(p), new_folder(p.spark, "clean"), FEW_RATINGS)
+    return p.spark.read.parquet(movies)
+
+
+@query
+def prepared_ratings(p: Proxies) -> DataFrame:
+    """What training gets from raw files."""
+    return training.prepare_ratings(p.spark, _raw_files(p), FEW_RATINGS)
+
+
 @query
 def training_pipeline(p: Proxies) -> DataFrame:
     """Split, fit, evaluation and export with the published settings: what was stored and how many users were judged."""
@@ -395,12 +461,12 @@ def training_pipeline(p: Proxies) -> DataFrame:
 def publish_pipeline(p: Proxies) -> DataFrame:
     """Ratings of finished orders published, those of all others merged into them, and the published table read."""
     store = Store(p.spark, new_folder(p.spark, "tables"))
-    key, newest = ["user_id", "movie_id"], ["rated_at", "rating"]
+    key = ["user_id", "movie_id"]
     loaded = F.lit(0).cast("timestamp").alias("loaded_at")
     factors = [f.select("*", loaded) for f in (p.user_factors, p.movie_factors)]
     finished = F.col("o_orderstatus") == "F"
     for orders in (finished, ~finished):
-        ratings = keyed.last_write_wins(p.ratings_of(orders), key, newest).select(
+        ratings = keyed.newest_ratings(p.ratings_of(orders), key).select(
             *key, F.col("rating").cast("decimal(2,1)").alias("rating"), F.col("rated_at").cast("timestamp").alias("rated_at")
         )
         store.publish(p.movies.fillna("Unknown", ["genres"]), ratings, *factors, dim=DIM)
@@ -487,25 +553,48 @@ def similarity_of_pairs(p: Proxies) -> DataFrame:
 
 @query
 def recommend_lsh(p: Proxies) -> DataFrame:
-    return _rounded(top_k_lsh(p.user_factors, p.movie_factors, 10), "score")
+    """The nearest items through the stored index."""
+    return _rounded(_item_index(p).search(p.user_factors, 10), "score")
 
 
 @query
 def lsh_recall(p: Proxies) -> DataFrame:
-    """The hashed search beside the exact one: whether it finds enough, with the same scores, from fewer pairs."""
+    """The indexed search beside the exact one: whether it finds enough, with the same scores, from fewer pairs."""
+    index = _item_index(p)
     exact = top_k(p.user_factors, p.movie_factors, 10)
-    hashed = top_k_lsh(p.user_factors, p.movie_factors, 10).select("user_id", "movie_id", F.col("score").alias("hashed"))
-    both = exact.join(hashed, ["user_id", "movie_id"], "left")
-    pairs = candidate_pairs(p.user_factors, p.movie_factors)
+    found = index.search(p.user_factors, 10).select("user_id", "movie_id", F.col("score").alias("found"))
+    both = exact.join(found, ["user_id", "movie_id"], "left")
+    pairs = index.asked_pairs(index.probes(p.user_factors))
     return both.agg(
         F.countDistinct("user_id").alias("users"),
         F.count("*").alias("exact_rows"),
-        (F.count("hashed") >= LSH_RECALL * F.count("*")).alias("recall_sound"),
-        F.count_if(F.col("hashed") != F.col("score")).alias("other_scores"),
+        (F.count("found") >= LSH_RECALL * F.count("*")).alias("recall_sound"),
+        F.count_if(F.col("found") != F.col("score")).alias("other_scores"),
         (F.lit(pairs) * 2 < F.countDistinct("user_id") * p.movie_factors.agg(F.count("*")).scalar()).alias("fewer_pairs"),
     )
 
 
+@query
+def pruned_topk(p: Proxies) -> DataFrame:
+    """The exact best ten through the index, without the cells that cannot hold any of them."""
+    return _rounded(_clustered_index(p).exact(p.clustered_customers, 10), "score")
+
+
+@query
+def pruned_topk_dot(p: Proxies) -> DataFrame:
+    return _rounded(_clustered_index(p).exact(p.clustered_customers, 10, "dot"), "score")
+
+
+@query
+def pruned_share(p: Proxies) -> DataFrame:
+    """Users and items, and whether less than a third of their pairs was scored for the exact best ten."""
+    index = _clustered_index(p)
+    scored = index.exact_pairs(p.clustered_customers, 10)
+    items = p.clustered_parts.agg(F.count("*").alias("items"))
+    users = p.clustered_customers.agg(F.count("*").alias("users"))
+    return users.select("users", items.scalar().alias("items"), (F.lit(scored) * 3 < F.col("users") * items.scalar()).alias("pruned"))
+
+
 @query
 def recommendation_cards(p: Proxies) -> DataFrame:
     return pages.recommendation_cards(_recommended(p))
@@ -601,6 +690,34 @@ def search_title_genre(p: Proxies) -> DataFrame:
     return catalog.search(p.movies, "ring", 20, "economy")
 
 
+@query
+def search_title_indexed(p: Proxies) -> DataFrame:
+    return catalog.search_indexed(_text_index(p), "RED", 20)
+
+
+@query
+def search_genre_indexed(p: Proxies) -> DataFrame:
+    return catalog.search_indexed(_text_index(p), None, 30, "small")
+
+
+@query
+def search_title_genre_indexed(p: Proxies) -> DataFrame:
+    return catalog.search_indexed(_text_index(p), "ring", 20, "economy")
+
+
+@query
+def search_files(p: Proxies) -> DataFrame:
+    """For each question whether its postings lie in fewer files than there are."""
+    index = _text_index(p)
+    asked = [("RED", None), (None, "small"), ("ring", "economy")]
+    counts = []
+    for title, genre in asked:
+        texts = {"title": title, "genres": genre}
+        counts.append((title, genre, index.matching(texts).count(), *index.files(texts)))
+    frame = p.spark.createDataFrame(counts, "title string, genre string, movies long, files int, all_files int")
+    return frame.select("title", "genre", "movies", (F.col("files") * 2 < F.col("all_files")).alias("few_files"))
+
+
 @query
 def search_none(p: Proxies) -> DataFrame:
     return catalog.search(p.movies)

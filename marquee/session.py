@@ -81,6 +81,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return _NAMED[-1]
 
 
+def is_kept(path: str | None) -> bool:
+    """Whether this process has named the folder and not deleted it since."""
+    return path in _NAMED
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever it is stored."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marquee.operators.keyed import last_write_wins
+from marquee.operators.keyed import newest_ratings
 from marquee.operators.split import split_arithmetic
 from marquee.session import configure, store_once
 from marquee.sources.schemas import EMBEDDING_DIM
@@ -67,6 +67,8 @@ SUSPECT_MOVIE = {
 }
 DAMAGED_ID = """CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN 1 WHEN id % 29 = 0 THEN id + 10000000 ELSE id END"""
 
+CLUSTERS = 40
+
 
 def columns(named: dict[str, str]) -> list[str]:
     return [f"{text} AS {name}" for name, text in named.items()]
@@ -102,7 +104,7 @@ class Proxies:
     @cached_property
     def ratings(self) -> DataFrame:
         """The newest rating per user and movie."""
-        return last_write_wins(self.ratings_raw, ["user_id", "movie_id"], ["rated_at", "rating"])
+        return newest_ratings(self.ratings_raw, ["user_id", "movie_id"])
 
     @cached_property
     def dirty_movies(self) -> DataFrame:
@@ -137,6 +139,21 @@ class Proxies:
         key = F.col("p_partkey").cast("int")
         return self.table("part").select(key.alias("movie_id"), arithmetic_vector(key, EMBEDDING_DIM, 43).alias("features"))
 
+    def _clustered(self, table: str, key: str, name: str, seed: int) -> DataFrame:
+        """Vectors close to one of CLUSTERS centres, the same for every table: key modulo CLUSTERS names the centre."""
+        number = F.col(key).cast("int")
+        centre, own = arithmetic_vector(number % CLUSTERS, EMBEDDING_DIM, 44), arithmetic_vector(number, EMBEDDING_DIM, seed)
+        near = F.zip_with(centre, own, lambda c, o: c.cast("double") + o.cast("double") / 8)
+        return self.table(table).select(number.alias(name), near.alias("features"))
+
+    @cached_property
+    def clustered_customers(self) -> DataFrame:
+        return self._clustered("customer", "c_custkey", "user_id", 45)
+
+    @cached_property
+    def clustered_parts(self) -> DataFrame:
+        return self._clustered("part", "p_partkey", "movie_id", 46)
+
     @cached_property
     def ratings_eval(self) -> DataFrame:
         """Ratings with ids folded onto all the vectors there are, so that recommendations can hit."""

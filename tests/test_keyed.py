@@ -1,4 +1,8 @@
-from marquee.operators.keyed import last_write_wins, upsert
+from datetime import date, datetime
+
+import pytest
+
+from marquee.operators.keyed import last_write_wins, newest_ratings, upsert
 from marquee.operators.split import split_arithmetic, split_hash, split_random
 
 
@@ -14,6 +18,35 @@ def test_last_write_wins(spark):
     assert rows(last_write_wins(df.repartition(7, "rating"), ["user_id", "movie_id"], ["rated_at", "rating"])) == wanted
 
 
+@pytest.mark.parametrize("kind, times", [
+    ("date", [date(1969, 5, 1), date(2020, 1, 2), date(2020, 1, 3), date(9999, 12, 31), None]),
+    ("timestamp", [datetime(1960, 1, 1), datetime(2020, 1, 2, 3, 4, 5, 678901), datetime(2020, 1, 2, 3, 4, 5, 678902), datetime(2250, 1, 1), None]),
+    ("timestamp_ntz", [datetime(1960, 1, 1), datetime(2020, 1, 2, 3, 4, 5, 678901), datetime(2020, 1, 2, 3, 4, 5, 678902), datetime(2250, 1, 1), None]),
+])
+@pytest.mark.parametrize("value", ["double", "decimal(3,1)", "float"])
+def test_newest_ratings_by_one_number(spark, kind, times, value):
+    values = [None, 0.0, 0.5, 4.5, 10.2, 3.0]
+    data = [(n % 7, n % 3, values[n % 6], times[n * n % 5]) for n in range(400)] + [(50, 1, None, None), (51, 1, 2.5, None)]
+    df = spark.createDataFrame(data, f"user_id int, movie_id int, rating double, rated_at {kind}")
+    df = df.withColumn("rating", df["rating"].cast(value))
+    found = newest_ratings(df, ["user_id", "movie_id"])
+    assert found.schema == df.schema or [f.dataType for f in found.schema] == [f.dataType for f in df.schema]
+    assert rows(found) == rows(last_write_wins(df, ["user_id", "movie_id"], ["rated_at", "rating"]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_what_does_not_fit_one_number_is_refused(spark):
+    schema = "user_id int, rating double, rated_at timestamp"
+    for row in ((1, 3.25, None), (1, -1.0, None), (1, 500.0, None), (1, 1.0, datetime(2300, 1, 1))):
+        with pytest.raises(Exception, match="out of range"):
+            newest_ratings(spark.createDataFrame([row], schema), ["user_id"]).collect()
+    with pytest.raises(ValueError):
+        newest_ratings(spark.createDataFrame([(1, 1.0, 5)], "user_id int, rating double, rated_at int"), ["user_id"])
+    with pytest.raises(ValueError):
+        newest_ratings(spark.createDataFrame([], schema + ", more int"), ["user_id"])
+
+
 def test_upsert_inserts_and_replaces(spark):
     schema = "movie_id int, title string, genres string"
     existing = spark.createDataFrame([(1, "a", "X"), (2, "b", "Y")], schema)

@@ -28,6 +28,7 @@ def test_same_rows(spark, scale, name):
     columns, found = spark_rows(QUERIES[name](spark, sf_dir))
     wanted_columns, wanted = duck_rows(duck(sf_dir), ORACLE[name])
     assert columns == wanted_columns
+    assert wanted, "an empty comparison proves nothing"
     assert found == wanted
 
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from marquee.functions.vectors import cosine_distance, cosine_similarity, dot
 from marquee.operators import topk
-from marquee.operators.lsh import candidate_pairs, signature_bits, top_k_lsh
 from marquee.operators.topk import top_k
 
 SCHEMA = "{} int, features array<float>"
@@ -164,32 +163,3 @@ def test_vector_functions(spark):
 
 def clustered(rng, count, centres):
     return (centres[rng.integers(0, len(centres), count)] + 0.08 * rng.normal(size=(count, centres.shape[1]))).astype(np.float32)
-
-
-@pytest.mark.parametrize("cells", [(8192, 32768), (20, 30)])
-def test_hashed_search_finds_most_neighbours(spark, cells):
-    rng = np.random.default_rng(4)
-    centres = rng.normal(size=(12, 16))
-    users = vectors(spark, clustered(rng, 60, centres), "user_id")
-    items = vectors(spark, clustered(rng, 400, centres), "movie_id")
-    exact = {(r["user_id"], r["movie_id"]): r["score"] for r in top_k(users, items, 10).collect()}
-    rows = top_k_lsh(users, items, 10, users_per_cell=cells[0], items_per_cell=cells[1]).collect()
-    found = {(r["user_id"], r["movie_id"]): r["score"] for r in rows}
-    assert len(found) == len(rows)
-    common = found.keys() & exact.keys()
-    assert len(common) / len(exact) > 0.9
-    assert all(found[pair] == exact[pair] for pair in common)
-    assert max(r["rank"] for r in rows) <= 10
-
-
-def test_the_hashed_search_scores_a_falling_share_of_the_pairs(spark):
-    rng = np.random.default_rng(9)
-    shares = []
-    for size in (2000, 8000):
-        centres = rng.standard_normal((size // 5, 16))
-        users = vectors(spark, clustered(rng, 200, centres), "user_id")
-        items = vectors(spark, clustered(rng, size, centres), "movie_id")
-        shares.append(candidate_pairs(users, items) / (200 * size))
-    assert shares[1] < shares[0]
-    assert shares[1] < 0.1
-    assert [signature_bits(n) for n in (0, 1, 32, 64, 2000, 1_000_000_000)] == [1, 1, 2, 3, 8, 27]
