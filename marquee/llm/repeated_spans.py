@@ -286,7 +286,8 @@ def without_repeats(
     marks = marks.unionByName(in_cells.groupBy("cell").applyInArrow(_merged(span, shard_bytes), "ord long, start long, end long"))
     if crowded:
         one = read.where("cell < 0").select("high", "low", "ord", "start")
-        least = one.groupBy("high", "low").agg(F.min(F.struct("ord", "start")).alias("least"))
+        # Stored, so that the join reads it through an exchange of its own and a window of many places can be split.
+        least = store_once(one.groupBy("high", "low").agg(F.min(F.struct("ord", "start")).alias("least")), "first-windows")
         later = one.join(least, ["high", "low"]).where("struct(ord, start) != least")
         marks = marks.unionByName(later.select("ord", "start", (F.col("start") + span).alias("end")))
 

@@ -1,31 +1,36 @@
-"""Near copies by their shingles: minima name the pairs, the shingles themselves decide.
+"""Near copies by their shingles: minima name the candidates, the shingles themselves decide.
 
 Two texts are near copies when their sets of shingles (``WORDS`` words in a row, small letters) have a
-Jaccard similarity of ``SIMILARITY`` or more. Each text gets ``BANDS`` keys, each of ``ROWS`` minima of its
-shingles under permutations of their hashes; a pair of similarity s shares a key but for a chance of
-(1 - s^ROWS)^BANDS, 5 in a million at 0.8. Pairs that share one are then compared exactly, so no text goes
-that is not a near copy of one that stays.
-
-Documents are taken in the order of their ids: one goes exactly if a near copy in front of it stays. While a
-bucket has more than ``CROWD`` members, the texts that come first in all their buckets stay and are compared
-with the others there, so a round has no more pairs than the buckets have members, and a crowd of near copies
-goes in the round of its first one. A crowd whose members share keys without being near copies takes up to a
-round for each. The pairs of what is left are compared at once.
-
-Defined results: rows without an id, and texts without words, stay; a text of fewer than ``WORDS`` words is
-one shingle. Of equal texts the rows with the least id stay, unless they are near copies of one in front.
+Jaccard similarity of ``SIMILARITY`` or more; groups are what such links join. Each text gets ``BANDS`` keys, each
+of ``ROWS`` minima of its shingles under permutations of their hashes; a pair of similarity s shares a key but for
+a chance of (1 - s^ROWS)^BANDS, 5 in a million at 0.8. The low bytes of all minima are its sketch: the share
+in which two sketches agree estimates the similarity, within 0.026 (one standard deviation) at 0.8.
+
+Buckets of up to ``CROWD`` texts name all their pairs. A larger one is gone through in one task, ``BLOCK`` texts
+at a time, in a fixed order, by sketch. Texts that are alike beyond doubt (``SURELY``) form clusters around a head. A
+text is compared with the heads, and with the members of each cluster that could hold a near copy (``AROUND``:
+twice the bound's distance less the doubt); it is named with the best one if that is alike beyond doubt, and with all that
+may be similar (``MAYBE``) if not, but with nothing in a group that it is surely in by then. So a crowd of near
+copies names a pair or so for each text, and texts that share a key without being near copies name none and need no
+rounds. The texts of several blocks are then compared with each other's clusters in the same way. ``MAYBE`` lies four
+standard deviations below the bound, ``SURELY`` as many above. The named pairs are compared by their shingles, in
+whole numbers, so no text goes that is not linked to one that stays.
+
+Texts are told apart by SHA-256. Defined results: rows without an id, and texts without words, stay; a text of
+fewer than ``WORDS`` words is one shingle. Of equal texts the rows with the least id stay, if any does. Of each
+group the text with the least id stays, of equal ids the one numbered first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marquee.llm.components import components
 from marquee.session import store_once
 
 WORDS = 5
@@ -33,6 +38,10 @@ SIMILARITY = (4, 5)
 BANDS = 40
 ROWS = 6
 CROWD = 32
+BLOCK = 4096
+MAYBE = round(0.7 * BANDS * ROWS)
+SURELY = round(0.9 * BANDS * ROWS)
+AROUND = round(0.5 * BANDS * ROWS)
 SEED = 42
 PORTION = 2048  # shingles permuted at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -57,111 +66,230 @@ def shingles_of(text: str | None) -> np.ndarray:
     return np.unique(out)
 
 
-def keys_of(shingles: np.ndarray) -> np.ndarray:
-    """The keys of a text's buckets."""
+def minima_of(shingles: np.ndarray) -> np.ndarray:
+    """The least hash of a text's shingles under each permutation."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for part in range(0, len(shingles), PORTION):
         least = np.minimum(least, (shingles[part : part + PORTION, None] * _PERMUTATIONS).min(0))
+    return least
+
+
+def keys_of(least: np.ndarray) -> np.ndarray:
+    """The keys of a text's buckets."""
     keys = np.arange(BANDS, dtype=np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
         keys = _mixed(keys ^ row)
     return keys.view(np.int64)
 
 
-def are_similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets of shingles are near copies; in whole numbers, so the bound itself counts."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both * SIMILARITY[1] >= SIMILARITY[0] * (len(a) + len(b) - both)
+def sketch_of(least: np.ndarray) -> bytes:
+    return _mixed(least).astype(np.uint8).tobytes()
 
 
 def _signature(text: Column) -> Column:
-    kind = pa.struct([("size", pa.int32()), ("keys", pa.list_(pa.int64()))])
+    kind = pa.struct([("size", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
-    @F.arrow_udf("struct<size:int,keys:array<long>>")
+    @F.arrow_udf("struct<size:int,keys:array<long>,sketch:binary>")
     def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [shingles_of(t.as_py()) for t in texts]
-            yield pa.array([{"size": len(s), "keys": keys_of(s) if len(s) else []} for s in found], kind)
+            out = []
+            for text in texts:
+                shingles = shingles_of(text.as_py())
+                least = minima_of(shingles)
+                out.append({"size": len(shingles), "keys": keys_of(least), "sketch": sketch_of(least)})
+            yield pa.array(out, kind)
 
     return signature(text)
 
 
 def _shingles(text: Column) -> Column:
-    @F.arrow_udf("binary")
+    @F.arrow_udf("array<long>")
     def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([shingles_of(t.as_py()).tobytes() for t in texts], pa.binary())
+            yield pa.array([shingles_of(t.as_py()).view(np.int64) for t in texts], pa.list_(pa.int64()))
 
     return shingles(text)
 
 
-def _similar(a: Column, b: Column) -> Column:
-    @F.arrow_udf("boolean")
-    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            pairs = ((np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in zip(left, right))
-            yield pa.array([are_similar(x, y) for x, y in pairs], pa.bool_())
-
-    return similar(a, b)
-
-
-def near_copies(signed: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """(node) of the texts that go; ``texts`` has (id, node, text), ``signed`` their keys. None if no two share a bucket."""
-    rows = signed.select("id", "node", "size", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("key")
-    members = rows.join(store_once(shared, "shared-keys"), "key")
-    live = store_once(members.groupBy("key", "node").agg(F.min("id").alias("id"), F.max("size").alias("size")), "buckets")
-    if live.isEmpty():
-        return None
-    nodes = store_once(live.select("node").distinct(), "candidates")
-    sets = texts.join(nodes, "node").select("node", _shingles(F.col("text")).alias("shingles"))
-    sets = store_once(sets.dropDuplicates(["node"]), "shingles")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The near copies among pairs (first, of, node, size); ``of`` and ``size`` are their numbers of shingles."""
-        alike = F.least("size", "of") * SIMILARITY[1] >= F.greatest("size", "of") * SIMILARITY[0]
-        left, right = (sets.select(F.col("node").alias(n), F.col("shingles").alias(s)) for n, s in (("first", "x"), ("node", "y")))
-        both = pairs.where(alike).select("first", "node").distinct().join(left, "first").join(right, "node")
-        return store_once(both.where(_similar(F.col("x"), F.col("y"))).select("first", "node"), "near-copies")
-
-    gone = []
-    while True:
-        heads = live.groupBy("key").agg(F.min(F.struct("id", "node", "size")).alias("head"), F.count("*").alias("n")).where("n > 1")
-        head = [F.col("head.node").alias("first"), F.col("head.size").alias("of"), "n"]
-        buckets = store_once(live.join(heads, "key").select("key", "id", "node", "size", *head), "round")
-        if buckets.where(F.col("n") > CROWD).isEmpty():
-            break
-        stay = buckets.groupBy("node").agg(F.bool_and(F.col("node") == F.col("first")).alias("all")).where("all").select("node")
-        stay = store_once(stay, "staying")
-        compared = buckets.where("node != first").join(stay.select(F.col("node").alias("first")), "first", "left_semi")
-        gone.append(verified(compared).select("node").distinct())
-        settled = stay.unionByName(gone[-1])
-        live = store_once(buckets.select("key", "node", "id", "size").join(settled, "node", "left_anti"), "buckets")
-    # What is left shares buckets of at most CROWD: all pairs are compared at once.
-    front = buckets.select("key", F.col("id").alias("front"), F.col("node").alias("first"), F.col("size").alias("of"))
-    pairs = buckets.select("key", "id", "node", "size").join(front, "key").where("struct(front, first) < struct(id, node)")
-    edges = verified(pairs)
-    while not edges.isEmpty():
-        stay = edges.select("first").distinct().join(edges.select(F.col("node").alias("first")), "first", "left_anti")
-        gone.append(store_once(edges.join(stay, "first").select("node").distinct(), "near-copies"))
-        edges = edges.join(gone[-1], "node", "left_anti").join(gone[-1].select(F.col("node").alias("first")), "first", "left_anti")
-        edges = store_once(edges, "near-copies")
-    return reduce(DataFrame.unionByName, gone) if gone else None
-
-
-def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that are no near copy of one in front of them that stays, with all columns."""
-    node = F.when(F.col(id_column).isNotNull(), F.xxhash64(text_column))
-    texts = docs.select(F.col(id_column).alias("id"), node.alias("node"), F.col(text_column).alias("text")).where("node IS NOT NULL")
-    signed = texts.select("id", "node", _signature(F.col("text")).alias("s")).select("id", "node", "s.*").where("size > 0")
-    signed = store_once(signed, "signatures")
-    # Equal texts have one node: the least of their ids stands for them.
-    equal = signed.groupBy("node").agg(F.min("id").alias("least id"), F.max("id").alias("id")).where("`least id` != id")
-    equal = store_once(equal.select(F.col("node").alias("equal texts"), "least id"), "equal-texts")
-    gone = near_copies(signed, texts)
-    out = docs
-    if not equal.isEmpty():
-        out = out.join(equal, (node == F.col("equal texts")) & (F.col(id_column) != F.col("least id")), "left_anti")
-    if gone is not None:
-        out = out.join(gone.withColumnRenamed("node", "near copy"), node == F.col("near copy"), "left_anti")
+class Crowd:
+    """Texts of one bucket by cluster: each has a head, and members that are alike to it beyond doubt.
+
+    Clusters that a sure link connects are one group, and nothing more is named between them.
+    """
+
+    def __init__(self, size: int) -> None:
+        self.heads = np.empty((size, BANDS * ROWS), np.uint8)
+        self.names: list[list[int]] = []  # of each cluster: the head and its members
+        self.sketches: list[list[np.ndarray]] = []
+        self.group: list[int] = []
+
+    def root(self, cluster: int) -> int:
+        while self.group[cluster] != cluster:
+            cluster = self.group[cluster]
+        return cluster
+
+    def start(self, name: int, sketch: np.ndarray) -> int:
+        cluster = len(self.names)
+        self.heads[cluster] = sketch
+        self.names.append([name])
+        self.sketches.append([sketch])
+        self.group.append(cluster)
+        return cluster
+
+    def put(self, cluster: int, name: int, sketch: np.ndarray) -> None:
+        self.names[cluster].append(name)
+        self.sketches[cluster].append(sketch)
+
+    def named_with(self, name: int, sketch: np.ndarray, among: int, own: int | None = None) -> tuple[list[tuple[int, int]], set[int], int | None]:
+        """The pairs that a text forms with the first ``among`` clusters, the groups it is surely in, and its head's cluster."""
+        agreed = np.count_nonzero(self.heads[:among] == sketch, axis=1)
+        several = np.fromiter((len(n) > 1 for n in self.names[:among]), bool, among)
+        near = np.flatnonzero((agreed >= MAYBE) | (several & (agreed >= AROUND)))
+        pairs, sure, closest = [], set() if own is None else {self.root(own)}, None
+        for cluster in near[np.argsort(-agreed[near], kind="stable")].tolist():
+            if agreed[cluster] >= SURELY and closest is None:
+                closest = cluster
+            if self.root(cluster) in sure:
+                continue
+            alike = np.count_nonzero(np.array(self.sketches[cluster]) == sketch, axis=1)
+            best = int(alike.argmax())
+            if alike[best] >= SURELY:
+                pairs.append((self.names[cluster][best], name))
+                sure.add(self.root(cluster))
+            else:
+                pairs += [(self.names[cluster][m], name) for m in np.flatnonzero(alike >= MAYBE).tolist()]
+        return pairs, sure, closest
+
+    def join(self, groups: set[int], cluster: int) -> None:
+        for group in groups:
+            self.group[self.root(group)] = self.root(cluster)
+
+
+_NAMED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("own", pa.bool_())])
+
+
+def _rows_of(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    rows = rows.sort_by("node")
+    for node, sketch in zip(rows.column("node").to_pylist(), rows.column("sketch").to_pylist()):
+        yield node, np.frombuffer(sketch, np.uint8)
+
+
+def named_in_block(nodes: list[int], sketches: list[np.ndarray]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The pairs that one block of a crowd names, and (head, text) for each text."""
+    crowd = Crowd(len(nodes))
+    pairs = []
+    for node, sketch in zip(nodes, sketches):
+        found, sure, cluster = crowd.named_with(node, sketch, len(crowd.names))
+        pairs += found
+        if cluster is None:
+            cluster = crowd.start(node, sketch)
+        else:
+            crowd.put(cluster, node, sketch)
+        crowd.join(sure, cluster)
+    return pairs, [(names[0], name) for names in crowd.names for name in names]
+
+
+def _of_block(rows: pa.Table) -> pa.Table:
+    """Named pairs of a block, and each text with its head."""
+    nodes, sketches = zip(*_rows_of(rows))
+    pairs, heads = named_in_block(list(nodes), list(sketches))
+    found = [(*p, False) for p in pairs] + [(*h, True) for h in heads]
+    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*found), _NAMED.types)], schema=_NAMED)
+
+
+def _between_blocks(rows: pa.Table) -> pa.Table:
+    """Pairs that the texts of one block name with the clusters of another."""
+    side = rows.column("own").to_numpy()
+    sides = [rows.filter(pa.array(side == s)) for s in (0, 1)]
+    if not all(s.num_rows for s in sides):
+        return _NAMED.empty_table()
+    crowd, cluster_of, ends = Crowd(rows.num_rows), {}, []
+    for part in sides:
+        part = part.sort_by([("head", "ascending"), ("node", "ascending")])
+        heads, nodes, sketches = (part.column(c).to_pylist() for c in ("head", "node", "sketch"))
+        by_node = dict(zip(nodes, sketches))
+        for head, node, sketch in zip(heads, nodes, sketches):
+            if head not in cluster_of:
+                cluster_of[head] = crowd.start(head, np.frombuffer(by_node[head], np.uint8))
+            if node != head:
+                crowd.put(cluster_of[head], node, np.frombuffer(sketch, np.uint8))
+        ends.append(len(crowd.names))
+    pairs, among = [], ends[0]
+    for cluster in range(*ends):
+        for name, sketch in zip(crowd.names[cluster], crowd.sketches[cluster]):
+            found, sure, _ = crowd.named_with(name, sketch, among, own=cluster)
+            pairs += found
+            crowd.join(sure, cluster)
+    found = [(*p, False) for p in pairs]
+    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*found), _NAMED.types)], schema=_NAMED) if found else _NAMED.empty_table()
+
+
+def _named_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b) of the texts that share a key and look similar; ``nodes`` has node, size, keys and sketch."""
+    rows = nodes.select("node", "size", F.explode("keys").alias("key"))
+    shared = store_once(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
+    members = store_once(rows.join(shared, "key"), "buckets")
+    few = members.where(F.col("n") <= CROWD)
+    other = few.select("key", F.col("node").alias("b"), F.col("size").alias("other"))
+    alike = F.least("size", "other") * SIMILARITY[1] >= F.greatest("size", "other") * SIMILARITY[0]
+    pairs = few.join(other, "key").where((F.col("node") < F.col("b")) & alike).select(F.col("node").alias("a"), "b")
+    crowds = members.where(F.col("n") > CROWD)
+    if crowds.isEmpty():
+        return pairs.distinct()
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    blocks = crowds.select("key", "n", "node", block).join(nodes.select("node", "sketch"), "node")
+    blocks = store_once(blocks, "crowds")
+    named = blocks.groupBy("key", "block").applyInArrow(lambda k, t: _with_key(k, _of_block(t)), "key long, block long, a long, b long, own boolean")
+    named = store_once(named, "named")
+    pairs = pairs.unionByName(named.where("NOT own").select("a", "b"))
+    if not blocks.where(F.col("n") > BLOCK).isEmpty():
+        heads = named.where("own").select("key", F.col("a").alias("head"), F.col("b").alias("node"))
+        clustered = blocks.where(F.col("n") > BLOCK).join(heads, ["key", "node"])
+        # Each block meets each other one of its bucket.
+        others = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / BLOCK) - 1).cast("long"))).alias("to")
+        cells = clustered.select("key", "node", "head", "sketch", "block", others).where("block != to")
+        first, second = F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j")
+        cells = cells.select("key", "node", "head", "sketch", first, second, (F.col("block") > F.col("to")).cast("int").alias("own"))
+        more = cells.groupBy("key", "i", "j").applyInArrow(lambda _, t: _between_blocks(t), "a long, b long, own boolean")
+        pairs = pairs.unionByName(more.select("a", "b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _with_key(key: tuple, found: pa.Table) -> pa.Table:
+    columns = [pa.array([k.as_py()] * found.num_rows, pa.int64()) for k in key]
+    return pa.table([*columns, *found.columns], names=["key", "block", "a", "b", "own"])
+
+
+def without_near_copies(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", searched: DataFrame | None = None
+) -> DataFrame:
+    """The documents that are no near copy of one in their group that stays, with all columns.
+
+    ``searched`` are the documents that form groups, if not the same: those that ``docs`` was made of by a step that
+    keeps the least id of other groups, so that both steps read a stored table.
+    """
+    name = F.unhex(F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256))
+    texts = (docs if searched is None else searched).select(F.col(id_column).alias("id"), name.alias("name"), F.col(text_column).alias("text")).where("id IS NOT NULL")
+    signed = texts.select("id", "name", _signature(F.col("text")).alias("s")).select("id", "name", "s.*").where("size > 0")
+    one = signed.groupBy("name").agg(F.min("id").alias("id"), F.max("id").alias("last"), *[F.first(c).alias(c) for c in ("size", "keys", "sketch")])
+    nodes = store_once(one.withColumn("node", F.monotonically_increasing_id()), "signatures")
+
+    pairs = store_once(_named_pairs(nodes), "named-pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # One row for each text, before any shingle is made.
+    single = texts.join(nodes.join(wanted, "node").select("id", "name", "node"), ["id", "name"]).dropDuplicates(["node"])
+    sets = store_once(single.select("node", _shingles(F.col("text")).alias("shingles")), "shingles")
+    left, right = (sets.select(F.col("node").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
+    both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
+    similar = pairs.join(left, "a").join(right, "b").where(both * sum(SIMILARITY) >= sizes * SIMILARITY[0])
+    classes = components(similar.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+    linked = classes.unionByName(classes.select(F.col("root").alias("node"), "root").distinct())
+    linked = store_once(linked.join(nodes.select("node", "id", "name"), "node"), "groups")
+    kept = linked.groupBy("root").agg(F.min(F.struct("id", "node"))["node"].alias("kept"))
+    gone = linked.join(kept, "root").where("node != kept").select("name", F.lit(True).alias("gone"), "id")
+    equal = nodes.where("last != id").join(gone, "name", "left_anti").select("name", F.lit(False).alias("gone"), "id")
+    dropped = gone.unionByName(equal).select(F.col("name").alias("own name"), F.col("gone").alias("own gone"), F.col("id").alias("least id"))
+    goes = F.col("own gone") | (F.col(id_column) != F.col("least id"))
+    out = docs.join(dropped, (name == F.col("own name")) & F.col(id_column).isNotNull() & goes, "left_anti")
     return out.select(*docs.columns)

@@ -5,9 +5,8 @@ import random
 import numpy as np
 import pytest
 
-import corpus_pipeline
 from marquee.llm import similar_texts
-from marquee.llm.similar_texts import keys_of, shingles_of, without_near_copies
+from marquee.llm.similar_texts import keys_of, minima_of, named_in_block, shingles_of, sketch_of, without_near_copies
 
 
 def plain_shingles(text):
@@ -16,13 +15,21 @@ def plain_shingles(text):
 
 
 def plain_kept(rows):
-    """Ids in order, each but the near copies of one that was kept."""
-    kept = []
-    for i, text in sorted(rows):
-        own = plain_shingles(text)
-        if not own or all(5 * len(own & other) < 4 * len(own | other) for _, other in kept):
-            kept.append((i, own))
-    return [i for i, _ in kept]
+    """The least id of each group that near copies form."""
+    sets = [(i, plain_shingles(text)) for i, text in sorted(rows)]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (_, own) in enumerate(sets):
+        for m, (_, other) in enumerate(sets[:n]):
+            if own and 5 * len(own & other) >= 4 * len(own | other):
+                a, b = sorted((find(m), find(n)))
+                root[b] = a
+    return [i for n, (i, own) in enumerate(sets) if not own or find(n) == n]
 
 
 def kept(spark, rows):
@@ -39,9 +46,10 @@ def altered(draw, words, edits):
     return words
 
 
-@pytest.mark.parametrize("crowd, crowded", [(32, 100), (8, 40)])
-def test_edited_words_are_found_and_others_stay(spark, monkeypatch, crowd, crowded):
+@pytest.mark.parametrize("crowd, block, crowded", [(32, 4096, 100), (8, 4096, 40), (8, 20, 120)])
+def test_edited_words_are_found_and_others_stay(spark, monkeypatch, crowd, block, crowded):
     monkeypatch.setattr(similar_texts, "CROWD", crowd)
+    monkeypatch.setattr(similar_texts, "BLOCK", block)
     draw = random.Random(1)
     rows = []
     for _ in range(25):
@@ -66,7 +74,7 @@ def test_pairs_at_the_bound_share_a_key():
         common, rest = size * 8 // 9, size - size * 8 // 9
         a, b = ([f"{n} a b c d" for n in range(common)] + [f"{k}{n} a b c d" for n in range(rest)] for k in "xy")
         x, y = ({int(s) for t in texts for s in shingles_of(t)} for texts in (a, b))
-        first, second = (keys_of(np.array(sorted(s), np.uint64)) for s in (x, y))
+        first, second = (keys_of(minima_of(np.array(sorted(s), np.uint64))) for s in (x, y))
         assert set(first.tolist()) & set(second.tolist())
         assert 5 * len(x & y) == 4 * len(x | y)
 
@@ -80,13 +88,29 @@ def test_odd_rows(spark):
     assert kept(spark, [(1, "alone")]) == [1]
 
 
-def test_the_pipeline_leaves_no_near_copies(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    stages = dict(corpus_pipeline.STAGES)
-    single = stages["near_duplicates"](spark, docs, "/root/testdata/sf0.01")
-    rows = [(r.doc_id, r.text) for r in single.collect()]
-    left = stages["near_copies"](spark, single, "/root/testdata/sf0.01")
-    assert left.columns == docs.columns
-    want = plain_kept(rows)
-    assert len(want) < len(rows)
-    assert sorted(r.doc_id for r in left.collect()) == sorted(want)
+def test_a_crowd_that_only_looks_alike_names_no_pairs():
+    draw = random.Random(4)
+    common = [f"c{n} a b c d" for n in range(300)]
+    rows = []
+    for i in range(400):  # three quarters in common: a similarity of 0.6
+        rows.append({int(s) for t in common + [f"own{i}x{n} a b c d" for n in range(100)] for s in shingles_of(t)})
+    sketches = [sketch_of(minima_of(np.array(sorted(r), np.uint64))) for r in rows]
+    pairs, heads = named_in_block(list(range(400)), [np.frombuffer(x, np.uint8) for x in sketches])
+    # 0.7 lies about three standard deviations above 0.6: a few of the 79,800 pairs.
+    assert len(pairs) < 100 and len({h for h, _ in heads}) > 390 and len(heads) == 400
+
+
+def test_jobs_do_not_follow_the_crowd(spark):
+    """Pages of one site, at a similarity of 0.6: as many jobs for 1,500 as for 150, and all pages stay."""
+    draw = random.Random(5)
+    frame = " ".join(f"c{n}" for n in range(160))
+    own = lambda: " ".join(f"o{draw.randrange(10**9)}" for _ in range(40))
+    counts = []
+    for pages in (150, 1500):
+        group = f"crowd of {pages}"
+        spark.sparkContext.setJobGroup(group, group)
+        rows = [(i, f"{frame} {own()}") for i in range(pages)]
+        assert len(kept(spark, rows)) == pages
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[1] <= counts[0] + 15
