@@ -1,13 +1,13 @@
-"""The training-data pipeline: six operators of marquee.llm in turn over the documents.
+"""The training-data pipeline: five operators of marquee.llm in turn over the documents.
 
 Each stage gets the rows its predecessor kept and returns them as a DataFrame; ``run`` writes every
 stage's rows as Parquet and reads them again for the next one. Rows come and go whole, with all
 columns; only the masked text of the secret scan changes, and n_chars with it. ``tokens`` adds the
 token ids.
 
-SimHash at the radius of op3 removes copies and very close ones early and cheaply. Near copies with a few
-edited words go in the last stage, by five-word similarity. It stands last because the first five have the
-places that the check's budget counts by.
+Near duplicates go in one stage: SimHash at the radius of op3 finds copies and very close ones, and what has a
+five-word similarity of 0.8 or more, which lies beyond any radius that 64 bits can be searched for, goes by its
+shingles. Both keep the least id of a group, so no group goes whole.
 
 Defined results for odd rows: a null text counts as empty in every stage. Empty documents score
 the share of good labels, form one near-duplicate group, and have no tokens. Rows without doc_id are
@@ -41,9 +41,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that SimHash links."""
+    """One document of each group that SimHash or a five-word similarity of 0.8 links."""
     prepare(spark)
-    return keep_one_per_class(docs, words=3, radius=3)
+    return without_near_copies(keep_one_per_class(docs, words=3, radius=3), searched=docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,19 +67,12 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("token_ids", codec.encode(F.col("text"))).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents but for near copies (five-word similarity of 0.8 or more) of one that stays."""
-    prepare(spark)
-    return without_near_copies(docs)
-
-
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("secrets", secrets),
     ("tokens", tokens),
-    ("near_copies", near_copies),
 ]
 
 # Compression, tokens and random walks are beyond SQL; tests compare the stages with brute force.
