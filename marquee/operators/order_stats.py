@@ -98,3 +98,23 @@ def _holding_rank(buckets: DataFrame) -> DataFrame:
     before = F.col("_upto") - F.col("_c")
     held = buckets.filter((before < F.col("_rank")) & (F.col("_rank") <= F.col("_upto")))
     return held.withColumn("_rank", F.col("_rank") - before)
+
+
+def at_ranks(counts: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., _v): the value at the wanted rank of each combination, from counts (keys..., _v, _c) of distinct values.
+
+    ``wanted`` holds (keys..., _rank). Counts of coarse buckets lead to the one bucket that is put in order, so a
+    combination with very many distinct values is not sorted in one task.
+    """
+    size = F.coalesce(F.log2(F.abs(F.col("_v"))), F.lit(-_LIFT)) + _LIFT
+    exact = F.signum("_v") * size * _COARSE
+    placed = counts.withColumn("_s", exact).withColumn("_coarse", F.floor("_s"))
+    placed = placed.withColumn("_fine", F.floor((F.col("_s") - F.col("_coarse")) * _FINE)).drop("_s")
+    for bucket in ("_coarse", "_fine", "_v"):
+        order = Window.partitionBy(*keys).orderBy(bucket)
+        sums = placed.groupBy(*keys, bucket).agg(F.sum("_c").alias("_c")).withColumn("_upto", F.sum("_c").over(order))
+        wanted = _holding_rank(sums.join(wanted, list(keys))).select(*keys, bucket, "_rank")
+        placed = placed.join(wanted.select(*keys, bucket), [*keys, bucket])
+        if bucket != "_v":
+            wanted = wanted.drop(bucket)
+    return wanted.select(*keys, "_v")

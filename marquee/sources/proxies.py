@@ -15,8 +15,30 @@ from marquee.session import configure, store_once
 from marquee.sources.schemas import EMBEDDING_DIM
 from marquee.sources.synthetic import arithmetic_vector
 
-# Dirty text columns, as SQL that several engines read alike.
+# Dirty text columns, as SQL that several engines read alike. Each fault is made from the row's own number.
 DIRTY_MOVIE = {
+    "movieId": """CASE p_partkey % 11 WHEN 0 THEN NULL WHEN 1 THEN CONCAT('part ', CAST(p_partkey AS STRING))
+        WHEN 2 THEN CONCAT(CAST(p_partkey AS STRING), ',0') WHEN 3 THEN CONCAT('   ', CAST(p_partkey AS STRING), ' ')
+        WHEN 4 THEN CAST(8000000000 + p_partkey AS STRING) ELSE CAST(p_partkey AS STRING) END""",
+    "title": "CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_name END",
+    "genres": "CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CONCAT(p_type, '|', REPLACE(p_name, ' ', '|')) END",
+}
+DIRTY_RATING = {
+    "userId": """CASE l_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN CONCAT('customer ', CAST(o_custkey AS STRING))
+        WHEN 2 THEN CONCAT(CAST(o_custkey AS STRING), ',5') WHEN 3 THEN CONCAT(' ', CAST(o_custkey AS STRING), '   ')
+        WHEN 4 THEN CAST(8000000000 + o_custkey AS STRING) ELSE CAST(o_custkey AS STRING) END""",
+    "movieId": """CASE l_partkey % 13 WHEN 0 THEN NULL WHEN 1 THEN CONCAT(CAST(l_partkey AS STRING), '/1')
+        WHEN 2 THEN CONCAT('(', CAST(l_partkey AS STRING), ')') WHEN 3 THEN CONCAT('  ', CAST(l_partkey AS STRING))
+        ELSE CAST(l_partkey AS STRING) END""",
+    "rating": """CASE l_suppkey % 17 WHEN 0 THEN NULL WHEN 1 THEN CONCAT(CAST(CEIL(l_quantity / 5) / 2 AS STRING), ',0')
+        WHEN 2 THEN CONCAT(CAST(CEIL(l_quantity / 5) / 2 AS STRING), 'E1') WHEN 3 THEN CAST(70 + CEIL(l_quantity / 5) / 2 AS STRING)
+        WHEN 4 THEN CONCAT('   ', CAST(CEIL(l_quantity / 5) / 2 AS STRING), ' ')
+        WHEN 5 THEN CONCAT('#', CAST(CEIL(l_quantity / 5) / 2 AS STRING)) ELSE CAST(CEIL(l_quantity / 5) / 2 AS STRING) END""",
+    "timestamp": """CASE l_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN CONCAT('order ', CAST(l_orderkey AS STRING))
+        WHEN 2 THEN CONCAT('  ', CAST(946684800 + l_orderkey * 60 AS STRING))
+        ELSE CAST(946684800 + l_orderkey * 60 AS STRING) END""",
+}
+MOVIE = {
     "movieId": """CASE p_partkey % 11 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN '12.3'
         WHEN 3 THEN CONCAT('  ', CAST(p_partkey AS STRING), '  ') WHEN 4 THEN '99999999999'
         ELSE CAST(p_partkey AS STRING) END""",

@@ -3,7 +3,9 @@ import random
 
 import pytest
 
+from marquee import session
 from marquee.operators.order_stats import floor_index, nearest_rank, order_statistics
+from marquee.operators.quantile_sketch import bracketed_statistics, quantile_sketches
 from marquee.operators.sampling import sample_ids
 from marquee.plans.reports import latency_report, latency_summary, of_users
 from marquee.sources.sinks import write_report
@@ -89,3 +91,43 @@ def test_sample(spark):
     assert first == again and len(set(first)) == 20
     assert [r[0] for r in sample_ids(df, "user_id", 20, seed=2).collect()] != first
     assert sample_ids(df, "user_id", 5000).count() == 300
+
+
+@pytest.mark.parametrize("margin", [2, 0, -8])
+def test_brackets_give_the_same_rows(spark, margin):
+    """With the margin gone, intervals miss their rank, and the group is computed without a sketch."""
+    rng = random.Random(4)
+    groups = {
+        "spread": [rng.lognormvariate(0, 3) for _ in range(20_000)],
+        "same": [7.5] * 3000,
+        "signs": [rng.uniform(-1e6, 1e6) for _ in range(3000)] + [0.0, -0.0] * 200,
+        "one": [3.25],
+        "ends": [5e-324, -5e-324, 1.7e308, -1.7e308, math.inf, -math.inf, 0.0],
+        "whole": [float(x) for x in range(5000)],
+    }
+    rows = [(g, v, n % 7) for g, values in groups.items() for n, v in enumerate(values)]
+    rows += [("spread", None, 1), ("empty", None, 1), ("one", math.nan, 2)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double, day int").repartition(5)
+    ranks = {f"near_{i}": nearest_rank(p) for i, p in enumerate((0.0, 0.3, 0.95, 1.0))} | {"floor": floor_index(0.5)}
+    kept = quantile_sketches(df, ["day", "g"], "v")
+    for sketches in (None, kept):
+        found = {r["g"]: r for r in bracketed_statistics(df, ["g"], "v", ranks, "avg", sketches, margin).collect()}
+        assert found.keys() == groups.keys()
+        for group, values in groups.items():
+            assert found[group]["n"] == len(values)
+            assert [found[group][f"near_{i}"] for i in range(4)] == [by_nearest_rank(values, p) for p in (0.0, 0.3, 0.95, 1.0)]
+            assert found[group]["floor"] == by_floor_index(values, 0.5)
+    everything = [v for values in groups.values() for v in values]
+    (row,) = bracketed_statistics(df, [], "v", ranks, margin=margin).collect()
+    assert row["n"] == len(everything) and row["near_2"] == by_nearest_rank(everything, 0.95)
+    assert bracketed_statistics(df.limit(0), ["g"], "v", ranks).collect() == []
+
+
+def test_few_values_leave_the_tasks(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(rng.random(),) for _ in range(40_000)], "v double").repartition(4)
+    before = set(session._NAMED)
+    assert bracketed_statistics(df, [], "v", {"p": nearest_rank(0.5)}).first()["n"] == 40_000
+    (counts,) = [p for p in session._NAMED if p not in before and "bracket-counts" in p]
+    assert spark.read.parquet(counts).count() < 5000
