@@ -9,11 +9,12 @@ share of allowed rows among its labelled ones, is smoothed towards its host's an
 whole table's; templates below ``PURITY`` are rejected. Labels come from the rules: what they allow
 or block is known, and the templates carry it over to urls that no rule fits.
 
-All steps are DataFrame functions over counts per distinct url; a busy host is summed up inside
-each task first, and only literal branches are joined back.
+The tree grows level by level until no url has a segment left, or no node has the ``MIN_ROWS`` rows that a literal
+branch needs; what is left of the urls is then variable. All steps are DataFrame functions over counts per distinct
+url; a busy host is summed up inside each task first, and only literal branches are joined back.
 
-Defined results: a url that is null or has no ``://`` has an empty host and path. Segments beyond
-``DEPTH`` are one open end (``**``). Repeated urls count as often as they occur.
+Defined results: a url that is null or has no ``://`` has an empty host and path. In a template a backslash stands before
+each star and backslash of a literal segment, so these are no wildcards. Repeated urls count as often as they occur.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.session import store_once
 
-DEPTH = 6
 MIN_ROWS = 5
 MIN_SHARE = 0.02
 SIMILAR = 1.96  # standard errors between two shares that count as alike
@@ -71,19 +71,22 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def grow_templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
+def grow_templates(urls: DataFrame) -> DataFrame:
     """(host, path, template) for the distinct urls of (host, path, allowed, blocked, n)."""
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = urls.select(
         "host", "path", "allowed", "blocked", "n", segments.alias("segments"), F.col("host").alias("node"), F.lit(False).alias("done")
     ).withColumn("done", F.col("path") == "")
-    for level in range(depth):
+    level = 0
+    while True:
         rows = store_once(rows, "url-nodes")
         segment = F.get("segments", F.lit(level))
         open_ = rows.where(~F.col("done")).withColumn("segment", segment)
         kids = open_.groupBy("node", "segment").agg(F.sum("n").alias("n"), F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
         kids = store_once(kids, "url-branches")
         nodes = kids.groupBy("node").agg(F.sum("n").alias("node_n"), F.sum("a").alias("node_a"), F.sum("b").alias("node_b"))
+        if (nodes.agg(F.max("node_n")).first()[0] or 0) < MIN_ROWS:
+            break
         frequent = (F.col("n") >= MIN_ROWS) & (F.col("n") >= MIN_SHARE * F.col("node_n"))
         labelled, others = F.col("a") + F.col("b"), F.col("node_a") + F.col("node_b") - F.col("a") - F.col("b")
         share = F.try_divide(F.col("b"), labelled)
@@ -100,13 +103,18 @@ def grow_templates(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
             "blocked",
             "n",
             "segments",
-            F.concat("node", F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise("*")).alias("node"),
+            F.concat("node", F.lit("/"), F.when(F.col("literal"), _escaped(F.col("segment"))).otherwise("*")).alias("node"),
             (F.size("segments") <= level + 1).alias("done"),
         )
         rows = rows.where("done").unionByName(moved)
-    return rows.select(
-        "host", "path", "allowed", "blocked", F.when(F.col("done"), F.col("node")).otherwise(F.concat("node", F.lit("/**"))).alias("template")
-    )
+        level += 1
+    rest = F.repeat(F.lit("/*"), F.size("segments") - level)
+    return rows.select("host", "path", "allowed", "blocked", F.when(F.col("done"), F.col("node")).otherwise(F.concat("node", rest)).alias("template"))
+
+
+def _escaped(segment: Column) -> Column:
+    """A literal segment, so that none looks like the wildcard."""
+    return F.replace(F.replace(segment, F.lit("\\"), F.lit("\\\\")), F.lit("*"), F.lit("\\*"))
 
 
 def judge_templates(grown: DataFrame) -> DataFrame:

@@ -76,3 +76,20 @@ def test_query_against_plain_rules(spark):
         host, path, rule, verdict = plain(urls[r.page_id], RULES)
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert r.verdict == (verdict or r.verdict) and r.verdict in ("allow", "block")
+
+
+def test_a_literal_star_is_no_wildcard(spark):
+    urls = [f"http://s.test/*/{i}" for i in range(40)] + [f"http://s.test/x{i}/{i}" for i in range(40)]
+    rules = [Rule("block", f"s.test/*/{i}") for i in range(1, 6)] + [Rule("allow", f"s.test/x{i}/") for i in range(1, 6)]
+    rows = filter_urls(pages(spark, urls), rules).collect()
+    assert {(r.template, r.verdict) for r in rows if r.rule is None} == {("s.test/\\*/*", "block"), ("s.test/*/*", "allow")}
+
+
+def test_deep_urls_are_told_apart(spark):
+    deep = "/".join("abcdefghij")
+    urls = [f"http://s.test/{deep}/{side}/{i}" for side in ("good", "bad") for i in range(30)] + ["http://s.test/" + "z/" * 40]
+    rules = [Rule("block", f"s.test/{deep}/bad/{i}") for i in range(1, 5)] + [Rule("allow", f"s.test/{deep}/good/{i}") for i in range(1, 5)]
+    rows = filter_urls(pages(spark, urls), rules).collect()
+    for r in rows[:-1]:
+        assert r.verdict == ("block" if "/bad/" in r.path else "allow")
+    assert max(r.template.count("/") for r in rows) == 41
