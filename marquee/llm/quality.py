@@ -8,7 +8,8 @@ better dictionary leaves, which tells runs of repeated words from prose. A logis
 on labelled texts that had no part in the dictionaries, turns it into a probability.
 
 The fit is bounded: ``SAMPLE`` labelled texts of each class, those with the smallest hash of their
-id, an excerpt of ``EXCERPT`` characters of each (repeated rows count once); the two classes count in the curve by their
+id (repeated rows count once), and of one longer than ``PIECES`` times ``PIECE`` characters that many pieces, spread
+evenly from its beginning to its end; the two classes count in the curve by their
 share of all labelled rows. Scores are a column function over whole texts without a shuffle. A text
 is compressed in blocks of ``BLOCK`` bytes, each against the dictionary anew, so that a long text is
 judged by the dictionaries to its end and not by its own beginning.
@@ -31,8 +32,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marquee.session import store_once
 
 SAMPLE = 1500
-EXCERPT = 8000
-PIECE = 1000  # bytes of one text in a dictionary
+PIECES = 8
+PIECE = 1000  # characters of a piece of a long text, and bytes of one text in a dictionary
 BLOCK = 1024
 DICTIONARY = 1 << 18
 LEVEL = 3
@@ -53,6 +54,13 @@ def compressor(dictionary: bytes):
     )
 
 
+def excerpt(text: Column) -> Column:
+    """The text, or if it is long pieces from all over it."""
+    room = F.length(text) - PIECE
+    pieces = [F.substr(text, F.floor(room * n / (PIECES - 1)).cast("int") + 1, F.lit(PIECE)) for n in range(PIECES)]
+    return F.when(F.length(text) <= PIECES * PIECE, text).otherwise(F.concat(*pieces))
+
+
 def dictionary_of(texts: list[bytes]) -> bytes:
     """Pieces of the texts, cut at a place that the text's length decides, as far as they fit."""
     out, size = [], 0
@@ -115,7 +123,7 @@ class CompressionClassifier:
         chosen = [usable.where(F.col("label") == n).select("id", "label", place).distinct().orderBy("place", "id").limit(SAMPLE) for n in (1, 0)]
         # At most 2 * SAMPLE ids.
         picked = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").select(
-            "label", "place", "id", F.substring("text", 1, EXCERPT).alias("text")
+            "label", "place", "id", excerpt(F.col("text")).alias("text")
         )
         samples: dict[int, list[bytes]] = {1: [], 0: []}
         for label, _, _, text in sorted(set(map(tuple, picked.collect()))):
