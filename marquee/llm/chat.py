@@ -11,7 +11,7 @@ exactly. Only DataFrame functions are used.
 An example is one value, so a conversation must fit in one row; its turns are put in order once, and
 its examples are made from them one after the other.
 Defined results: null roles and texts are empty; turns go by number, null first, ties by role and
-text; repeated rows are repeated turns; rows without a conversation id form one conversation.
+text; repeated rows are repeated turns; a row without a conversation id is a conversation of its own.
 """
 
 from __future__ import annotations
@@ -63,7 +63,8 @@ def expand_prefix_targets(
             F.length(escape(text)).alias("body"),
         ).alias("t"),
     )
-    whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    whole = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    whole = whole.unionByName(rows.where("conv_id IS NULL").select("conv_id", F.array("t").alias("turns")))
     numbers = F.sequence(F.lit(1), F.size("turns"))
     is_reply = lambda n: F.element_at("turns", n)["role"] == "assistant"
     ends = F.filter(numbers, lambda n: is_reply(n) | (n == F.size("turns")))

@@ -161,7 +161,9 @@ def op2_chat(spark, table):
             F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256
         ).alias("turns_sha256"),
     )
-    whole = read.groupBy("conv_id").agg(
+    # A row without an id is a conversation of its own.
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("own")
+    whole = read.withColumn("own", own).groupBy("conv_id", "own").agg(
         F.max(F.when(F.col("n_turns") >= 0, F.col("n_turns"))).alias("n_turns"),
         F.max("turns_sha256").alias("turns_sha256"),
         F.array_join(F.transform(F.sort_array(F.collect_list("loss")), lambda x: x["text"]), "").alias("loss_text"),
@@ -187,21 +189,22 @@ def _shown_length(column: str, *controls: str) -> str:
 
 ORACLE["op2_chat"] = rf"""
 WITH turns AS (
-    SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
-    UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}'
-    UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'
+    SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own, turn,
+        COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, NULL, 0, 'user', '{CONTROL_TEXT}'
+    UNION ALL SELECT -7, NULL, 1, 'assistant', '{CONTROL_TEXT}'
 ), sized AS (
-    SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+    SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id, own) AS n_turns,
         sum(4 + {_shown_length("role", "</turn>", "### ", ":")} + 2 + {_shown_length("text", "</turn>", "### ")} + 8) OVER w AS upto
     FROM turns
-    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+    WINDOW w AS (PARTITION BY conv_id, own ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
 )
 SELECT conv_id, any_value(n_turns) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
     COALESCE(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
     sha256(COALESCE(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum(upto) FILTER (role = 'assistant' OR n = n_turns)::BIGINT AS formatted_chars
-FROM sized GROUP BY conv_id
+FROM sized GROUP BY conv_id, own
 """
 
 

@@ -49,6 +49,8 @@ def test_odd_turns(spark):
         (3, 1, "", [("user", "alone")]),
     ]
     assert examples(spark, []) == []
+    nameless = [(None, i, "assistant", f"a{i}") for i in range(5)] + [(None, 0, "assistant", "a0")]
+    assert sorted((e.n_turns, e.loss, e.is_last) for e in examples(spark, nameless)) == sorted((1, t, True) for _, _, _, t in nameless)
 
 
 def test_a_long_text_and_many_turns(spark):
@@ -64,3 +66,15 @@ def test_query_against_sql(spark, scale):
 
     folder = f"/root/testdata/sf{scale}"
     assert spark_rows(QUERIES["op2_chat"](spark, folder)) == duck_rows(duck(folder), ORACLE["op2_chat"])
+
+
+def test_rows_without_an_id_against_sql(spark, tmp_path):
+    from compare import duck, duck_rows, spark_rows
+    from marquee.llm.queries import ORACLE, QUERIES
+
+    rows = [(None, i % 3, ("user", "assistant", None)[i % 3], f"t{i % 4}") for i in range(12)] + [(1, 0, "user", "q"), (1, 1, "assistant", "r")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/made")
+    (file,) = (tmp_path / "made").glob("*.parquet")
+    file.rename(tmp_path / "conversations.parquet")
+    assert spark_rows(QUERIES["op2_chat"](spark, str(tmp_path))) == duck_rows(duck(str(tmp_path)), ORACLE["op2_chat"])
