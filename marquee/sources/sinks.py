@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators.contracts import (
     MOVIES,
@@ -75,94 +75,86 @@ def serving_factors(factors: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-# Parts of a stored table that are written as a whole; the same for all versions of a store.
-BUCKETS = 64
-MANIFEST = "table string, bucket int, holder string"
-
-
 class Store:
-    """Versions of the four serving tables under one folder.
+    """The published state of the four serving tables under one folder.
 
-    A publication writes all tables of a new version, checks what was written, and only then
-    adds the version to the log, in one file that names the version it was made from. Readers take the
-    end of that chain, so a load that fails, or is killed, is never seen, and no clock decides.
-    A load whose parent is no longer the newest version when it ends is refused.
+    A publication writes all four tables into a folder of its own, checks what was written, and then makes one
+    small file, ``published/<number>``, that names the folder; the number is one more than that of the state it was
+    made from. The file is made without overwriting, so of two loads that started from one state exactly one
+    gets the number, and the other is refused. Readers take the highest number. A load that fails or is killed
+    before has changed nothing.
 
-    A table is stored in buckets of its first key. A load writes the buckets that it touches and no
-    others; the version's manifest names, for each bucket, the version that holds it.
+    The folder has to be on a file system that makes a file only once when asked not to overwrite (HDFS, or an
+    object store's connector with conditional writes).
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
+    def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
-        self._log = f"{self.root}/published"
 
-    def _published(self) -> list:
-        """Version and parent of every publication."""
+    def _files(self, folder: str) -> list[tuple[str, int]]:
+        """Names and sizes of what lies in a folder."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [(s.getPath().getName(), s.getLen()) for s in files.listStatus(path)] if files.exists(path) else []
+
+    def _newest(self) -> int:
+        """The number of the published state, 0 for none. A file without its content yet is not published."""
+        return max((int(name) for name, size in self._files("published") if name.isdigit() and size), default=0)
+
+    def _claim(self, number: int, version: str) -> bool:
+        """Make ``version`` the state of this number, unless another load was first."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/published/{number:012d}")
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         try:
-            return self.spark.read.schema("version string, parent string, at timestamp").json(self._log).collect()
-        except AnalysisException:
-            return []
+            out = files.create(path, False)
+        except Py4JJavaError:
+            if files.exists(path):
+                return False
+            raise
+        out.write(bytearray(version.encode()))
+        out.close()
+        return True
+
+    def _version(self, number: int) -> str:
+        return self.spark.read.text(f"{self.root}/published/{number:012d}").first()[0]
 
     def current(self) -> str | None:
-        """The newest published version: the one that no other was made from.
-
-        Two loads that ended at the same moment leave two ends; the lower name wins and stays the winner.
-        """
-        children: dict[str | None, list[str]] = {}
-        for row in self._published():
-            children.setdefault(row["parent"], []).append(row["version"])
-        newest = None
-        while newest in children:
-            newest = min(children.pop(newest))
-        return newest
+        """The version that is published."""
+        number = self._newest()
+        return self._version(number) if number else None
 
     def clean_up(self) -> list[str]:
-        """Remove versions that are not in the log, and the staged input of those that are; gives the folders removed.
+        """Remove what belongs to no published state: folders of loads that failed, and staged input; gives what was removed.
 
-        Call it when no load is under way: a load in progress is not in the log yet.
+        Call it when no load is under way: a load in progress is not published yet.
         """
-        listed = {row["version"] for row in self._published()}
-        versions = f"{self.root}/versions"
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(versions)
-        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        listed = {self._version(int(name)) for name, size in self._files("published") if name.isdigit() and size}
         removed = []
-        for status in files.listStatus(path) if files.exists(path) else []:
-            version = status.getPath().getName()
-            folder = f"{versions}/{version}/incoming" if version in listed else f"{versions}/{version}"
-            if files.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)):
-                remove_folder(self.spark, folder)
+        for version, _ in self._files("versions"):
+            folder = f"{self.root}/versions/{version}"
+            if version not in listed:
                 removed.append(folder)
+            elif any(name == "incoming" for name, _ in self._files(f"versions/{version}")):
+                removed.append(f"{folder}/incoming")
+        for folder in removed:
+            remove_folder(self.spark, folder)
         return removed
 
     def path(self, version: str, table: str) -> str:
         return f"{self.root}/versions/{version}/{table}"
 
-    def holders(self, version: str) -> dict[str, dict[int, str]]:
-        """For each table and bucket the version that holds it: as many rows as there are tables and buckets."""
-        found: dict[str, dict[int, str]] = {name: {} for name in schemas.SERVING}
-        for row in self.spark.read.schema(MANIFEST).json(self.path(version, "manifest")).collect():
-            found[row["table"]][row["bucket"]] = row["holder"]
-        return found
-
     def read(self, table: str, version: str | None = None) -> DataFrame:
         version = version or self.current()
         if version is None:
             raise LookupError(f"nothing is published under {self.root}")
-        return self._read(table, self.holders(version)[table])
-
-    def _read(self, table: str, held: dict[int, str]) -> DataFrame:
-        if not held:
-            return self.spark.createDataFrame([], schemas.SERVING[table])
-        paths = [f"{self.path(holder, table)}/bucket={bucket}" for bucket, holder in sorted(held.items())]
-        return self.spark.read.schema(schemas.SERVING[table]).parquet(*paths)
+        return self.spark.read.schema(schemas.SERVING[table]).parquet(self.path(version, table))
 
     def tables(self) -> dict[str, DataFrame]:
         version = self.current()
         if version is None:
             raise LookupError(f"nothing is published under {self.root}")
-        return {name: self._read(name, held) for name, held in self.holders(version).items()}
+        return {name: self.read(name, version) for name in schemas.SERVING}
 
     def publish(
         self,
@@ -180,8 +172,8 @@ class Store:
         of range or without its movie refuses it too, unless ``strict`` is off: then such
         rows go to the table ``ratings_refused`` of the version and the others are published.
         """
-        parent = self.current()
-        before = None if replace else parent
+        number = self._newest()
+        before = self._version(number) if number and not replace else None
         version = uuid4().hex
         contracts = {
             "movies": MOVIES,
@@ -191,49 +183,34 @@ class Store:
         }
         incoming = {"movies": movies, "ratings": ratings, "user_factors": user_factors, "movie_factors": movie_factors}
         staged: dict[str, DataFrame] = {}
-        holders = self.holders(before) if before is not None else {name: {} for name in incoming}
         for name, df in incoming.items():
             # Keys are checked on the input: a merge would hide a key that comes twice.
-            staged[name] = self._stage(version, f"incoming/{name}", df)
+            loaded = self._stage(version, f"incoming/{name}", df)
             if not strict and name == "ratings":
-                staged[name] = self._set_aside(version, staged[name], staged["movies"])
+                loaded = self._set_aside(version, loaded, staged["movies"])
             rules = contracts[name]
             parents = {"movies": staged["movies"]} if rules.references else None
-            enforce(check(staged[name], rules, parents if before is None else None))
-            touched = {r[0] for r in staged[name].select(self._bucket(name)).distinct().collect()}
-            existing = {bucket: holder for bucket, holder in holders[name].items() if bucket in touched}
-            if existing:
+            enforce(check(loaded, rules, parents))
+            if before is not None:
                 kept = ["loaded_at"] if name.endswith("factors") else []
-                staged[name] = upsert(self._read(name, existing), staged[name], contracts[name].key, kept)
-            self._write(version, name, staged[name])
-            holders[name] |= dict.fromkeys(touched, version)
-            staged[name] = self._read(name, holders[name])
+                loaded = upsert(self.read(name, before), loaded, rules.key, kept)
+            self._write(version, name, loaded)
+            staged[name] = self.read(name, version)
         if before is not None:
             enforce(check(staged["ratings"], RATINGS, {"movies": staged["movies"]}))
-        rows = [(name, bucket, holder) for name, held in holders.items() for bucket, holder in held.items()]
-        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.json(self.path(version, "manifest"))
-        if self.current() != parent:
-            raise ContractError(f"another load was published on top of {parent} meanwhile; run this one again")
-        made_from = F.lit(parent).cast("string").alias("parent")
-        entry = self.spark.range(1).select(F.lit(version).alias("version"), made_from, F.current_timestamp().alias("at"))
-        entry.coalesce(1).write.mode("append").json(self._log)
-        if self.current() != version:
-            raise ContractError(f"another load was published on top of {parent} at the same moment; run this one again")
+        if not self._claim(number + 1, version):
+            raise ContractError(f"another load was published on top of state {number} meanwhile; run this one again")
         return version
 
     def _stage(self, version: str, table: str, df: DataFrame) -> DataFrame:
         df.write.parquet(self.path(version, table))
         return self.spark.read.schema(df.schema).parquet(self.path(version, table))
 
-    def _bucket(self, table: str) -> Column:
-        return F.pmod(F.xxhash64(F.col(_key(table)[0]).cast("bigint")), F.lit(self.buckets)).cast("int").alias("bucket")
-
     def _write(self, version: str, table: str, df: DataFrame) -> None:
-        """Store buckets ordered by key, so that file statistics serve a lookup by user or movie."""
+        """Store a table ordered by key, so that file statistics serve a lookup by user or movie."""
         key = _key(table)
-        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SERVING[table].fields], self._bucket(table))
-        ordered = typed.repartitionByRange("bucket", *key).sortWithinPartitions("bucket", *key)
-        ordered.write.partitionBy("bucket").parquet(self.path(version, table))
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SERVING[table].fields])
+        typed.repartitionByRange(*key).sortWithinPartitions(*key).write.parquet(self.path(version, table))
 
     def _set_aside(self, version: str, ratings: DataFrame, movies: DataFrame) -> DataFrame:
         """The ratings to publish; the others are stored with the rule they break."""

@@ -183,15 +183,40 @@ def test_versions_that_were_never_published_are_removed(store):
     assert store.read("ratings").count() == 3 and store.clean_up() == []
 
 
-def test_a_load_writes_the_buckets_it_touches_and_no_others(store):
-    first = load(store, [(i, "T", "G") for i in range(200)], [(i, i, 4.0, i) for i in range(200)], users=200, items=200)
-    second = load(store, [(7, "New", "G")], [(7, 7, 1.0, 7)], users=1, items=1)
-    holders = store.holders(second)
-    for table in ("movies", "ratings", "user_factors", "movie_factors"):
-        assert sorted(holders[table].values()).count(second) == 1
-        assert set(holders[table].values()) == {first, second}
-        assert store.read(table).count() == 200
+def test_of_two_loads_from_one_state_exactly_one_wins(store):
+    """Both loads have written everything before either is published."""
+    load(store, MOVIES, RATINGS)
+    other = Store(store.spark, store.root)
+    claims = []
+
+    def held(number, version):
+        claims.append((number, version))
+        return True
+
+    for writer, rating in ((store, 1.0), (other, 2.0)):
+        claim, writer._claim = writer._claim, held
+        load(writer, rating_rows=[(1, 1, rating, 50)])
+        writer._claim = claim
+    (first, a), (second, b) = claims
+    assert first == second == 2
+    assert other._claim(second, b) and not store._claim(first, a)
+    assert store.current() == other.current() == b
+    assert {float(r["rating"]) for r in store.read("ratings").filter("user_id = 1 AND movie_id = 1").collect()} == {2.0}
+    assert store.read("ratings").count() == 3
+
+
+def test_a_state_without_its_content_is_not_published(store):
+    first = load(store)
+    path = store.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{store.root}/published/{2:012d}")
+    path.getFileSystem(store.spark.sparkContext._jsc.hadoopConfiguration()).create(path, False).close()
+    assert store.current() == first
+
+
+def test_an_earlier_state_can_still_be_read(store):
+    first = load(store, [(i, "T", "G") for i in range(50)], [(i, i, 4.0, i) for i in range(50)], users=50, items=50)
+    load(store, [(7, "New", "G")], [(7, 7, 1.0, 7)], users=1, items=1)
+    assert all(store.read(table).count() == 50 for table in schemas.SERVING)
     assert store.read("movies").filter("movie_id = 7").first()["title"] == "New"
     assert store.read("movies", first).filter("movie_id = 7").first()["title"] == "T"
     store.clean_up()
-    assert store.read("ratings").count() == 200
+    assert store.read("ratings").count() == store.read("ratings", first).count() == 50
