@@ -19,6 +19,7 @@ from marquee.sources.proxies import (
     SUSPECT_RATING,
     columns,
 )
+from marquee.sources.synthetic import PRIME, ROUNDS
 
 
 def _select(named: dict[str, str]) -> str:
@@ -72,6 +73,13 @@ def _ranking_views(prefix: str, ratings: str, users: str, items: str) -> dict[st
     }
 
 
+def _synthetic_vector(key: str, dim: int, seed: int) -> str:
+    drawn = f"list_transform(range(1, {dim + 1}), lambda j: (CAST({key} AS BIGINT) * 7919 + j * 104729 + {seed * 15485863}) % {PRIME})"
+    for constant in ROUNDS:
+        drawn = f"list_transform({drawn}, lambda x: x * ((x + {constant}) % {PRIME}) % {PRIME})"
+    return f"list_transform({drawn}, lambda x: CAST(CAST(x AS DOUBLE) * 2 / CAST({PRIME} AS DOUBLE) - 1 AS FLOAT))"
+
+
 def _clustered_vector(key: str, seed: int) -> str:
     centre, own = _made_vector(f"({key} % {CLUSTERS})", 44), _made_vector(key, seed)
     return f"list_transform(list_zip({centre}, {own}), lambda p: p[1] + p[2] / 8)"
@@ -666,3 +674,18 @@ ORACLE: dict[str, str] = {
 ORACLE["publish_pipeline"] = ORACLE["upsert_ratings"]
 ORACLE |= {f"{name}_indexed": ORACLE[name] for name in ("search_title", "search_genre", "search_title_genre")}
 ORACLE["cleaned_movie_files"] = ORACLE["clean_movies"]
+ORACLE["synthetic_vectors"] = f"SELECT CAST(p_partkey + 1 AS INT) AS id, {_synthetic_vector('(p_partkey + 1)', 50, 43)} AS features FROM part"
+# Lines with a field too many, with one cut off and with an open quote.
+ORACLE["damaged_lines"] = """SELECT outcome, COUNT(*) AS lines, SUM(parts) AS parts FROM (
+    SELECT CASE WHEN l_orderkey % 10 < 3 THEN 'damaged' ELSE 'sound' END AS outcome,
+        CASE WHEN l_orderkey % 10 >= 3 THEN l_partkey END AS parts FROM lineitem) AS t GROUP BY outcome"""
+ORACLE["item_overlap"] = _with(
+    "train relevant",
+    """SELECT user_id, COUNT(t) AS in_a, COUNT(r) AS in_b, COUNT(CASE WHEN t IS NOT NULL AND r IS NOT NULL THEN 1 END) AS in_both,
+    COUNT(*) AS in_either FROM (
+        SELECT COALESCE(a.user_id, b.user_id) AS user_id, a.movie_id AS t, b.movie_id AS r
+        FROM (SELECT DISTINCT user_id, movie_id FROM train) AS a
+        FULL JOIN (SELECT DISTINCT user_id, movie_id FROM relevant) AS b ON a.user_id = b.user_id AND a.movie_id = b.movie_id
+    ) AS pairs GROUP BY user_id""",
+)
+ORACLE["stored_report"] = ORACLE["latency_nearest_rank"]

@@ -11,15 +11,17 @@ from marquee.functions import display, ranking
 from marquee.functions.vectors import cosine_distance, cosine_similarity, vector_text
 from marquee.operators import cleaning, contracts, keyed, sampling, split
 from marquee.operators.fold_in import fold_in
+from marquee.operators.item_bitmaps import compared_sets, item_bitmaps
 from marquee.operators.item_index import ItemIndex
 from marquee.operators.text_index import TextIndex
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, evaluation, pages, profiles, recommend, reports, training
 from marquee.plans.cleaning_run import run_cleaning
 from marquee.session import is_kept, new_folder, store_once
-from marquee.sources.files import factor_layout, read_checked, read_factors
+from marquee.sources import schemas
+from marquee.sources.files import factor_layout, read_checked, read_factors, read_sound_lines
 from marquee.sources.proxies import DAMAGED_ID, SUSPECT_MOVIE, SUSPECT_RATING, Proxies, columns
-from marquee.sources.sinks import Store
+from marquee.sources.sinks import Store, write_report
 from marquee.sources.synthetic import with_synthetic_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +301,13 @@ def train_items(p: Proxies) -> DataFrame:
     return _set_text(p.eval_split[0])
 
 
+@query
+def item_overlap(p: Proxies) -> DataFrame:
+    """For each user how many items were trained on, how many are relevant, and how many are both or either."""
+    train, test = p.eval_split
+    return compared_sets(item_bitmaps(train), item_bitmaps(evaluation.relevant_pairs(test, p.movie_factors)))
+
+
 @query
 def topk_dot_excluding(p: Proxies) -> DataFrame:
     train, test = p.eval_split
@@ -424,6 +433,25 @@ def _raw_files(p: Proxies) -> str:
     return raw
 
 
+@query
+def damaged_lines(p: Proxies) -> DataFrame:
+    """A CSV file in which every tenth order has a field too many, every tenth one too few, and every tenth an open quote."""
+    raw, fault = new_folder(p.spark, "damaged"), F.col("l_orderkey") % 10
+    fields = [F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_quantity", "l_linenumber")]
+    line = (
+        F.when(fault == 0, F.concat_ws(",", *fields, F.lit("more")))
+        .when(fault == 1, F.concat_ws(",", *fields[:3]))
+        .when(fault == 2, F.concat(F.lit('"'), F.concat_ws(",", *fields)))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    p.table("lineitem").select(line.alias("value")).write.text(raw)
+    sound, damaged = read_sound_lines(p.spark, raw, schemas.RAW_RATINGS, header=False)
+    counts = [F.count("*").alias("lines"), F.sum("parts").alias("parts")]
+    found = sound.select(F.col("movieId").cast("bigint").alias("parts")).agg(*counts).select(F.lit("sound").alias("outcome"), "*")
+    aside = damaged.select(F.lit(None).cast("bigint").alias("parts")).agg(*counts).select(F.lit("damaged").alias("outcome"), "*")
+    return found.unionByName(aside)
+
+
 @query
 def cleaning_pipeline(p: Proxies) -> DataFrame:
     """Raw files cleaned to stored tables, and the ratings read back."""
@@ -772,6 +800,14 @@ def latency_nearest_rank(p: Proxies) -> DataFrame:
     return _rounded(reports.latency_report(p.latencies), "avg_ms")
 
 
+@query
+def stored_report(p: Proxies) -> DataFrame:
+    """The report over all measures, written as JSON lines and read back."""
+    report, path = reports.latency_report(p.latencies), new_folder(p.spark, "report")
+    write_report(report, path)
+    return _rounded(p.spark.read.schema(report.schema).json(path), "avg_ms")
+
+
 @query
 def sample_users(p: Proxies) -> DataFrame:
     return sampling.sample_ids(p.latencies, "user_id", 20, draw=sampling.arithmetic_draw("user_id"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.contracts import Contract, ContractError, check, enforce, schema_problems
+from marquee.session import store_once
 from marquee.sources import schemas
 
 
@@ -15,6 +17,18 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
+def read_sound_lines(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV file whose lines have all fields, and the other lines as they are, (line).
+
+    Lines with fewer or more fields, or a quote that is never closed, are set aside instead of being filled up or cut. The
+    file is parsed once and stored.
+    """
+    marked = StructType([*schema.fields, StructField("_line", StringType())])
+    options = {"header": header, "escape": '"', "columnNameOfCorruptRecord": "_line", "columnPruning": False}
+    rows = store_once(spark.read.schema(marked).options(**options).csv(path), "lines")
+    return rows.where("_line IS NULL").drop("_line"), rows.where("_line IS NOT NULL").select(F.col("_line").alias("line"))
+
+
 def read_raw(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
     """The raw movies and ratings of a folder."""
     movies = read_csv(spark, f"{raw_dir}/movies.csv", schemas.RAW_MOVIES)

@@ -8,21 +8,28 @@ from marquee.operators.contracts import enforce, synthetic_check
 from marquee.sources.files import read_factors
 from marquee.sources.schemas import EMBEDDING_DIM
 
-_STEPS = 1 << 24
+# A prime, so that products of two remainders stay within a long, and the constants of the rounds; fixed values that
+# every engine that is to make the same vectors has to share.
+PRIME = 2147483647
+ROUNDS = (48271, 69621, 16807, 39373)
 
 
 def synthetic_vector(id_column: Column, dim: int, seed: int) -> Column:
-    """``dim`` floats spread evenly over [-1, 1], drawn by a hash of seed, id and position.
+    """``dim`` floats spread evenly over [-1, 1], drawn from seed, id and position by whole-number arithmetic.
 
-    A hash needs no generator state, so a row is the same in any partitioning.
+    There is no generator state, so a row is the same in any partitioning and in any SQL engine. Each round multiplies
+    a number by itself plus a constant, modulo PRIME, so neighbouring ids and positions have nothing in common.
     """
-    positions = F.sequence(F.lit(1), F.lit(dim))
+    prime = F.lit(PRIME).cast("bigint")
+    positions = F.sequence(F.lit(1).cast("bigint"), F.lit(dim).cast("bigint"))
+    drawn = F.transform(positions, lambda j: (id_column.cast("bigint") * 7919 + j * 104729 + seed * 15485863) % prime)
 
-    def draw(position: Column) -> Column:
-        step = F.pmod(F.xxhash64(F.lit(seed), id_column.cast("bigint"), position), F.lit(_STEPS + 1).cast("bigint"))
-        return (step * 2.0 / _STEPS - 1.0).cast("float")
+    def mixed(constant: int):
+        return lambda x: x * ((x + constant) % prime) % prime
 
-    return F.transform(positions, draw)
+    for constant in ROUNDS:
+        drawn = F.transform(drawn, mixed(constant))
+    return F.transform(drawn, lambda x: (x * 2.0 / float(PRIME) - 1.0).cast("float"))
 
 
 def arithmetic_vector(id_column: Column, dim: int, seed: int) -> Column:

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from marquee.operators.contracts import (
@@ -106,6 +107,17 @@ def test_synthetic(spark):
             synthetic_factors(spark, *bad)
 
 
+def test_synthetic_vectors_are_spread_evenly(spark):
+    rows = synthetic_factors(spark, 3000, 20, 7).orderBy("id").collect()
+    matrix = np.array([r["features"] for r in rows], np.float64)
+    counts = np.histogram(matrix, bins=20, range=(-1, 1))[0]
+    assert abs(counts / counts.mean() - 1).max() < 0.08
+    assert abs(matrix.mean()) < 0.01 and abs(matrix.var() - 1 / 3) < 0.01
+    assert abs(np.corrcoef(matrix.T) - np.eye(20)).max() < 0.1
+    assert abs(np.corrcoef(matrix[:-1].ravel(), matrix[1:].ravel())[0, 1]) < 0.02
+    assert abs(np.corrcoef(matrix[:, :-1].ravel(), matrix[:, 1:].ravel())[0, 1]) < 0.02
+
+
 def test_synthetic_pair_written_and_read_back(spark, tmp_path):
     users, movies = write_synthetic_pair(spark, str(tmp_path))
     assert spark.read.parquet(users).count() == spark.read.parquet(movies).count() == 50

@@ -12,7 +12,7 @@ from marquee.registry import QUERIES
 TESTDATA = "/root/testdata"
 # The smallest folder unless told otherwise, such as MARQUEE_SCALES=0.001,0.01.
 SCALES = os.environ.get("MARQUEE_SCALES", "0.001").split(",")
-WITHOUT_SQL = {"synthetic_vectors", "als_factors", "als_rmse", "als_ranking", "recommend_lsh"}
+WITHOUT_SQL = {"als_factors", "als_rmse", "als_ranking", "recommend_lsh"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables here")
 
