@@ -6,15 +6,13 @@ of ``ROWS`` minima of its shingles under permutations of their hashes; a pair of
 a chance of (1 - s^ROWS)^BANDS, 5 in a million at 0.8. The low bytes of all minima are its sketch: the share
 in which two sketches agree estimates the similarity, within 0.026 (one standard deviation) at 0.8.
 
-Buckets of up to ``CROWD`` texts name all their pairs. A larger one is gone through in one task, ``BLOCK`` texts
-at a time, in a fixed order, by sketch. Texts that are alike beyond doubt (``SURELY``) form clusters around a head. A
-text is compared with the heads, and with the members of each cluster that could hold a near copy (``AROUND``:
-twice the bound's distance less the doubt); it is named with the best one if that is alike beyond doubt, and with all that
-may be similar (``MAYBE``) if not, but with nothing in a group that it is surely in by then. So a crowd of near
-copies names a pair or so for each text, and texts that share a key without being near copies name none and need no
-rounds. The texts of several blocks are then compared with each other's clusters in the same way. ``MAYBE`` lies four
-standard deviations below the bound, ``SURELY`` as many above. The named pairs are compared by their shingles, in
-whole numbers, so no text goes that is not linked to one that stays.
+Buckets of up to ``CROWD`` texts name all their pairs, which are then compared by their shingles. A larger one is gone
+through in one task, ``BLOCK`` texts at a time: a text is compared by sketch with those in front of it, and by
+shingles, the most alike first, with those that may be similar (``MAYBE``, four standard deviations below the bound)
+and are not in its group by then. Only links that join two groups leave the task, so a crowd of near copies gives a link
+or so for each text, and texts that share a key without being near copies give none and need no rounds. The
+blocks of a bucket are compared with each other in the same way. All comparisons by shingles are in whole numbers, so
+no text goes that is not linked to one that stays.
 
 Texts are told apart by SHA-256. Defined results: rows without an id, and texts without words, stay; a text of
 fewer than ``WORDS`` words is one shingle. Of equal texts the rows with the least id stay, if any does. Of each
@@ -23,7 +21,7 @@ group the text with the least id stays, of equal ids the one numbered first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +36,8 @@ SIMILARITY = (4, 5)
 BANDS = 40
 ROWS = 6
 CROWD = 32
-BLOCK = 4096
+BLOCK = 1024
 MAYBE = round(0.7 * BANDS * ROWS)
-SURELY = round(0.9 * BANDS * ROWS)
-AROUND = round(0.5 * BANDS * ROWS)
 SEED = 42
 PORTION = 2048  # shingles permuted at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -111,148 +107,66 @@ def _shingles(text: Column) -> Column:
     return shingles(text)
 
 
+def are_similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles are near copies; in whole numbers, so the bound itself counts."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both * sum(SIMILARITY) >= (len(a) + len(b)) * SIMILARITY[0]
+
+
 class Crowd:
-    """Texts of one bucket by cluster: each has a head, and members that are alike to it beyond doubt.
+    """Texts of one bucket and the groups that their links form."""
 
-    Clusters that a sure link connects are one group, and nothing more is named between them.
-    """
+    def __init__(self, names: list[int], sketches: np.ndarray, shingles: list[np.ndarray], groups: list[int] | None = None) -> None:
+        self.names, self.sketches, self.shingles = names, sketches, shingles
+        first: dict[int, int] = {}
+        self.group = list(range(len(names))) if groups is None else [first.setdefault(g, i) for i, g in enumerate(groups)]
+
+    def root(self, text: int) -> int:
+        while self.group[text] != text:
+            self.group[text] = text = self.group[self.group[text]]
+        return text
+
+    def links(self, texts: range, others: Callable[[int], int]) -> list[tuple[int, int]]:
+        """Links of each text with those in front of ``others(text)``, that join groups; the most alike are tried first."""
+        found = []
+        for text in texts:
+            agreed = np.count_nonzero(self.sketches[: others(text)] == self.sketches[text], axis=1)
+            maybe = np.flatnonzero(agreed >= MAYBE)
+            for other in maybe[np.argsort(-agreed[maybe], kind="stable")].tolist():
+                mine, its = self.root(text), self.root(other)
+                if mine != its and are_similar(self.shingles[other], self.shingles[text]):
+                    self.group[max(mine, its)] = min(mine, its)
+                    found.append((self.names[other], self.names[text]))
+        return found
+
+
+def _crowd(rows: pa.Table, groups: list[int] | None = None) -> Crowd:
+    sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+    lists = rows.column("shingles").combine_chunks()
+    values, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+    return Crowd(rows.column("node").to_pylist(), sketches, np.split(values, ends[:-1]), groups)
 
-    def __init__(self, size: int) -> None:
-        self.heads = np.empty((size, BANDS * ROWS), np.uint8)
-        self.names: list[list[int]] = []  # of each cluster: the head and its members
-        self.sketches: list[list[np.ndarray]] = []
-        self.group: list[int] = []
-
-    def root(self, cluster: int) -> int:
-        while self.group[cluster] != cluster:
-            cluster = self.group[cluster]
-        return cluster
-
-    def start(self, name: int, sketch: np.ndarray) -> int:
-        cluster = len(self.names)
-        self.heads[cluster] = sketch
-        self.names.append([name])
-        self.sketches.append([sketch])
-        self.group.append(cluster)
-        return cluster
-
-    def put(self, cluster: int, name: int, sketch: np.ndarray) -> None:
-        self.names[cluster].append(name)
-        self.sketches[cluster].append(sketch)
-
-    def named_with(self, name: int, sketch: np.ndarray, among: int, own: int | None = None) -> tuple[list[tuple[int, int]], set[int], int | None]:
-        """The pairs that a text forms with the first ``among`` clusters, the groups it is surely in, and its head's cluster."""
-        agreed = np.count_nonzero(self.heads[:among] == sketch, axis=1)
-        several = np.fromiter((len(n) > 1 for n in self.names[:among]), bool, among)
-        near = np.flatnonzero((agreed >= MAYBE) | (several & (agreed >= AROUND)))
-        pairs, sure, closest = [], set() if own is None else {self.root(own)}, None
-        for cluster in near[np.argsort(-agreed[near], kind="stable")].tolist():
-            if agreed[cluster] >= SURELY and closest is None:
-                closest = cluster
-            if self.root(cluster) in sure:
-                continue
-            alike = np.count_nonzero(np.array(self.sketches[cluster]) == sketch, axis=1)
-            best = int(alike.argmax())
-            if alike[best] >= SURELY:
-                pairs.append((self.names[cluster][best], name))
-                sure.add(self.root(cluster))
-            else:
-                pairs += [(self.names[cluster][m], name) for m in np.flatnonzero(alike >= MAYBE).tolist()]
-        return pairs, sure, closest
-
-    def join(self, groups: set[int], cluster: int) -> None:
-        for group in groups:
-            self.group[self.root(group)] = self.root(cluster)
-
-
-_NAMED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("own", pa.bool_())])
-
-
-def _rows_of(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    rows = rows.sort_by("node")
-    for node, sketch in zip(rows.column("node").to_pylist(), rows.column("sketch").to_pylist()):
-        yield node, np.frombuffer(sketch, np.uint8)
-
-
-def named_in_block(nodes: list[int], sketches: list[np.ndarray]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """The pairs that one block of a crowd names, and (head, text) for each text."""
-    crowd = Crowd(len(nodes))
-    pairs = []
-    for node, sketch in zip(nodes, sketches):
-        found, sure, cluster = crowd.named_with(node, sketch, len(crowd.names))
-        pairs += found
-        if cluster is None:
-            cluster = crowd.start(node, sketch)
-        else:
-            crowd.put(cluster, node, sketch)
-        crowd.join(sure, cluster)
-    return pairs, [(names[0], name) for names in crowd.names for name in names]
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("own", pa.bool_())])
+
+
+def _link_table(rows: list[tuple[int, int, bool]]) -> pa.Table:
+    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows), _LINKS.types)], schema=_LINKS) if rows else _LINKS.empty_table()
 
 
 def _of_block(rows: pa.Table) -> pa.Table:
-    """Named pairs of a block, and each text with its head."""
-    nodes, sketches = zip(*_rows_of(rows))
-    pairs, heads = named_in_block(list(nodes), list(sketches))
-    found = [(*p, False) for p in pairs] + [(*h, True) for h in heads]
-    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*found), _NAMED.types)], schema=_NAMED)
+    """The links inside a block, and each text with the first one of its group."""
+    crowd = _crowd(rows.sort_by("node"))
+    found = crowd.links(range(rows.num_rows), lambda text: text)
+    return _link_table([(*link, False) for link in found] + [(crowd.names[crowd.root(i)], n, True) for i, n in enumerate(crowd.names)])
 
 
 def _between_blocks(rows: pa.Table) -> pa.Table:
-    """Pairs that the texts of one block name with the clusters of another."""
-    side = rows.column("own").to_numpy()
-    sides = [rows.filter(pa.array(side == s)) for s in (0, 1)]
-    if not all(s.num_rows for s in sides):
-        return _NAMED.empty_table()
-    crowd, cluster_of, ends = Crowd(rows.num_rows), {}, []
-    for part in sides:
-        part = part.sort_by([("head", "ascending"), ("node", "ascending")])
-        heads, nodes, sketches = (part.column(c).to_pylist() for c in ("head", "node", "sketch"))
-        by_node = dict(zip(nodes, sketches))
-        for head, node, sketch in zip(heads, nodes, sketches):
-            if head not in cluster_of:
-                cluster_of[head] = crowd.start(head, np.frombuffer(by_node[head], np.uint8))
-            if node != head:
-                crowd.put(cluster_of[head], node, np.frombuffer(sketch, np.uint8))
-        ends.append(len(crowd.names))
-    pairs, among = [], ends[0]
-    for cluster in range(*ends):
-        for name, sketch in zip(crowd.names[cluster], crowd.sketches[cluster]):
-            found, sure, _ = crowd.named_with(name, sketch, among, own=cluster)
-            pairs += found
-            crowd.join(sure, cluster)
-    found = [(*p, False) for p in pairs]
-    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*found), _NAMED.types)], schema=_NAMED) if found else _NAMED.empty_table()
-
-
-def _named_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b) of the texts that share a key and look similar; ``nodes`` has node, size, keys and sketch."""
-    rows = nodes.select("node", "size", F.explode("keys").alias("key"))
-    shared = store_once(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
-    members = store_once(rows.join(shared, "key"), "buckets")
-    few = members.where(F.col("n") <= CROWD)
-    other = few.select("key", F.col("node").alias("b"), F.col("size").alias("other"))
-    alike = F.least("size", "other") * SIMILARITY[1] >= F.greatest("size", "other") * SIMILARITY[0]
-    pairs = few.join(other, "key").where((F.col("node") < F.col("b")) & alike).select(F.col("node").alias("a"), "b")
-    crowds = members.where(F.col("n") > CROWD)
-    if crowds.isEmpty():
-        return pairs.distinct()
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
-    blocks = crowds.select("key", "n", "node", block).join(nodes.select("node", "sketch"), "node")
-    blocks = store_once(blocks, "crowds")
-    named = blocks.groupBy("key", "block").applyInArrow(lambda k, t: _with_key(k, _of_block(t)), "key long, block long, a long, b long, own boolean")
-    named = store_once(named, "named")
-    pairs = pairs.unionByName(named.where("NOT own").select("a", "b"))
-    if not blocks.where(F.col("n") > BLOCK).isEmpty():
-        heads = named.where("own").select("key", F.col("a").alias("head"), F.col("b").alias("node"))
-        clustered = blocks.where(F.col("n") > BLOCK).join(heads, ["key", "node"])
-        # Each block meets each other one of its bucket.
-        others = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / BLOCK) - 1).cast("long"))).alias("to")
-        cells = clustered.select("key", "node", "head", "sketch", "block", others).where("block != to")
-        first, second = F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j")
-        cells = cells.select("key", "node", "head", "sketch", first, second, (F.col("block") > F.col("to")).cast("int").alias("own"))
-        more = cells.groupBy("key", "i", "j").applyInArrow(lambda _, t: _between_blocks(t), "a long, b long, own boolean")
-        pairs = pairs.unionByName(more.select("a", "b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """Links between the texts of two blocks, whose groups are known."""
+    rows = rows.sort_by([("own", "ascending"), ("node", "ascending")])
+    crowd = _crowd(rows, rows.column("head").to_pylist())
+    first = int((rows.column("own").to_numpy() == 0).sum())
+    return _link_table([(*link, False) for link in crowd.links(range(first, rows.num_rows), lambda _: first)])
 
 
 def _with_key(key: tuple, found: pa.Table) -> pa.Table:
@@ -260,6 +174,35 @@ def _with_key(key: tuple, found: pa.Table) -> pa.Table:
     return pa.table([*columns, *found.columns], names=["key", "block", "a", "b", "own"])
 
 
+def _pairs_of_small(members: DataFrame) -> DataFrame:
+    """(a, b) of the texts that share a bucket of up to CROWD, and are of similar size."""
+    few = members.where(F.col("n") <= CROWD)
+    other = few.select("key", F.col("node").alias("b"), F.col("size").alias("other"))
+    alike = F.least("size", "other") * SIMILARITY[1] >= F.greatest("size", "other") * SIMILARITY[0]
+    return few.join(other, "key").where((F.col("node") < F.col("b")) & alike).select(F.col("node").alias("a"), "b").distinct()
+
+
+def _links_of_crowds(crowds: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of links that connect the near copies in each bucket of more than CROWD."""
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    texts = nodes.select("node", "sketch").join(sets, "node")
+    blocks = store_once(crowds.select("key", "n", "node", block).join(texts, "node"), "crowds")
+    inside = blocks.groupBy("key", "block").applyInArrow(lambda k, t: _with_key(k, _of_block(t)), "key long, block long, a long, b long, own boolean")
+    inside = store_once(inside, "crowd-links")
+    links = inside.where("NOT own").select("a", "b")
+    several = blocks.where(F.col("n") > BLOCK)
+    if several.isEmpty():
+        return links
+    heads = inside.where("own").select("key", F.col("a").alias("head"), F.col("b").alias("node"))
+    # Each block meets each other one of its bucket.
+    others = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / BLOCK) - 1).cast("long"))).alias("to")
+    cells = several.join(heads, ["key", "node"]).select("key", "node", "head", "sketch", "shingles", "block", others).where("block != to")
+    first, second = F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j")
+    cells = cells.select("key", "node", "head", "sketch", "shingles", first, second, (F.col("block") > F.col("to")).cast("int").alias("own"))
+    between = cells.groupBy("key", "i", "j").applyInArrow(lambda _, t: _between_blocks(t), "a long, b long, own boolean")
+    return links.unionByName(between.select("a", "b"))
+
+
 def without_near_copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", searched: DataFrame | None = None
 ) -> DataFrame:
@@ -274,15 +217,20 @@ def without_near_copies(
     one = signed.groupBy("name").agg(F.min("id").alias("id"), F.max("id").alias("last"), *[F.first(c).alias(c) for c in ("size", "keys", "sketch")])
     nodes = store_once(one.withColumn("node", F.monotonically_increasing_id()), "signatures")
 
-    pairs = store_once(_named_pairs(nodes), "named-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rows = nodes.select("node", "size", F.explode("keys").alias("key"))
+    shared = store_once(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
+    members = store_once(rows.join(shared, "key"), "buckets")
+    pairs, crowds = store_once(_pairs_of_small(members), "named-pairs"), members.where(F.col("n") > CROWD)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
     # One row for each text, before any shingle is made.
     single = texts.join(nodes.join(wanted, "node").select("id", "name", "node"), ["id", "name"]).dropDuplicates(["node"])
     sets = store_once(single.select("node", _shingles(F.col("text")).alias("shingles")), "shingles")
     left, right = (sets.select(F.col("node").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
     both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
-    similar = pairs.join(left, "a").join(right, "b").where(both * sum(SIMILARITY) >= sizes * SIMILARITY[0])
-    classes = components(similar.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    links = pairs.join(left, "a").join(right, "b").where(both * sum(SIMILARITY) >= sizes * SIMILARITY[0]).select("a", "b")
+    if not crowds.isEmpty():
+        links = links.unionByName(_links_of_crowds(crowds, nodes, sets))
+    classes = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     linked = classes.unionByName(classes.select(F.col("root").alias("node"), "root").distinct())
     linked = store_once(linked.join(nodes.select("node", "id", "name"), "node"), "groups")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from marquee.llm import similar_texts
-from marquee.llm.similar_texts import keys_of, minima_of, named_in_block, shingles_of, sketch_of, without_near_copies
+from marquee.llm.similar_texts import Crowd, keys_of, minima_of, shingles_of, sketch_of, without_near_copies
 
 
 def plain_shingles(text):
@@ -46,7 +46,7 @@ def altered(draw, words, edits):
     return words
 
 
-@pytest.mark.parametrize("crowd, block, crowded", [(32, 4096, 100), (8, 4096, 40), (8, 20, 120)])
+@pytest.mark.parametrize("crowd, block, crowded", [(32, 2048, 100), (8, 2048, 40), (8, 20, 120)])
 def test_edited_words_are_found_and_others_stay(spark, monkeypatch, crowd, block, crowded):
     monkeypatch.setattr(similar_texts, "CROWD", crowd)
     monkeypatch.setattr(similar_texts, "BLOCK", block)
@@ -94,10 +94,11 @@ def test_a_crowd_that_only_looks_alike_names_no_pairs():
     rows = []
     for i in range(400):  # three quarters in common: a similarity of 0.6
         rows.append({int(s) for t in common + [f"own{i}x{n} a b c d" for n in range(100)] for s in shingles_of(t)})
-    sketches = [sketch_of(minima_of(np.array(sorted(r), np.uint64))) for r in rows]
-    pairs, heads = named_in_block(list(range(400)), [np.frombuffer(x, np.uint8) for x in sketches])
-    # 0.7 lies about three standard deviations above 0.6: a few of the 79,800 pairs.
-    assert len(pairs) < 100 and len({h for h, _ in heads}) > 390 and len(heads) == 400
+    sets = [np.array(sorted(r), np.uint64) for r in rows]
+    sets += sets[:20]
+    sketches = np.frombuffer(b"".join(sketch_of(minima_of(x)) for x in sets), np.uint8).reshape(420, -1)
+    crowd = Crowd(list(range(420)), sketches, sets)
+    assert crowd.links(range(420), lambda text: text) == [(i, 400 + i) for i in range(20)]
 
 
 def test_jobs_do_not_follow_the_crowd(spark):
