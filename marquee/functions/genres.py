@@ -19,6 +19,30 @@ def shared_genres(a: Column, b: Column) -> Column:
     return F.coalesce(common, F.array().cast("array<string>"))
 
 
+# Bits of a mask in one number.
+WORD = 63
+
+
+def genre_mask(codes: Column, words: int) -> Column:
+    """One bit for each code, in ``words`` numbers."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (c % WORD).cast("int"))
+    held = lambda w: F.filter(codes, lambda c: F.floor(c / WORD) == w)
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(words - 1)), lambda w: F.aggregate(held(w), F.lit(0).cast("bigint"), lambda m, c: m.bitwiseOR(bit(c)))
+    )
+
+
+def common_mask(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x.bitwiseAND(y))
+
+
+def genres_of_mask(mask: Column, dictionary: list[str]) -> Column:
+    """The names of a mask's bits, in the order of the dictionary; none for a null mask."""
+    bits = lambda i: F.call_function("shiftright", F.get(mask, F.floor(i / WORD).cast("int")), (i % WORD).cast("int"))
+    names = F.array(*[F.lit(g) for g in dictionary]).cast("array<string>")
+    return F.filter(names, lambda _, i: F.coalesce(bits(i).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+
+
 def shown_genres(genres: Column, most: int) -> Column:
     """The first ``most`` genres worth showing."""
     named = F.filter(genre_list(genres), lambda g: (g != "") & (g != NO_GENRES))

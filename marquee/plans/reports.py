@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.operators.order_stats import floor_index, nearest_rank
+from marquee.operators.order_stats import floor_index, nearest_rank, order_statistics
 from marquee.operators.quantile_sketch import bracketed_statistics
+from marquee.session import store_once
 
 # The percentiles reported.
 PERCENTILES = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
@@ -28,10 +29,13 @@ def latency_summary(
     """Per group: runs, and average and percentiles (element ``floor(n * p)``) to two decimals.
 
     Two decimals as a decimal number is written: 2.675 gives 2.68, though the double nearest to it is a little smaller.
-    ``sketches`` of the measures by group, or by day and group, spare a pass.
+    With ``sketches`` of the measures by group, or by day and group, only values close to a percentile leave their tasks.
     """
     ranks = {name: floor_index(p) for name, p in PERCENTILES.items()}
-    ranked = bracketed_statistics(measures, [group], value, ranks, mean="avg_ms", sketches=sketches)
+    if sketches is None:
+        ranked = order_statistics(measures, [group], value, ranks, mean="avg_ms")
+    else:
+        ranked = bracketed_statistics(measures, [group], value, ranks, mean="avg_ms", sketches=sketches)
     return ranked.select(
         group,
         F.col("n").alias("runs"),
@@ -43,12 +47,20 @@ def latency_summary(
 def latency_report(
     measures: DataFrame, group: str = "user_id", value: str = "ms", sketches: DataFrame | None = None
 ) -> DataFrame:
-    """One row over all measures: nearest-rank percentiles, average, number of groups and runs."""
+    """One row over all measures: nearest-rank percentiles, average, number of groups and runs.
+
+    With ``sketches`` of all measures, such as one a day, only values close to a percentile leave their tasks.
+    """
     valued = measures.filter(F.col(value).isNotNull())
     ranks = {name: nearest_rank(p) for name, p in PERCENTILES.items()}
-    overall = bracketed_statistics(valued, [], value, ranks, mean="avg_ms", sketches=sketches)
+    if sketches is None:
+        counted = store_once(valued.groupBy(group, value).agg(F.count("*").alias("times")), "measures")
+        overall = order_statistics(counted, [], value, ranks, weight="times", mean="avg_ms")
+        groups = counted.select(group).distinct().agg(F.count("*").alias("users_sampled"))
+    else:
+        overall = bracketed_statistics(valued, [], value, ranks, mean="avg_ms", sketches=sketches)
+        groups = valued.select(group).distinct().agg(F.count("*").alias("users_sampled"))
     overall = overall.select(F.col("n").alias("total_runs"), "avg_ms", *PERCENTILES)
-    groups = valued.agg(F.count_distinct(F.struct(group)).alias("users_sampled"))
     long = _measures(overall).unionAll(_measures(groups))
     names = ["users_sampled", "total_runs", *PERCENTILES, "avg_ms"]
     wide = long.agg(*[F.max(F.when(F.col("name") == name, F.col("amount"))).alias(name) for name in names])

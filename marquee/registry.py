@@ -13,6 +13,7 @@ from marquee.operators import cleaning, contracts, keyed, sampling, split
 from marquee.operators.fold_in import fold_in
 from marquee.operators.item_bitmaps import compared_sets, item_bitmaps
 from marquee.operators.item_index import ItemIndex
+from marquee.operators.quantile_sketch import quantile_sketches
 from marquee.operators.text_index import TextIndex
 from marquee.operators.topk import top_k
 from marquee.plans import catalog, evaluation, pages, profiles, recommend, reports, training
@@ -792,18 +793,19 @@ def health_cards(p: Proxies) -> DataFrame:
 
 @query
 def latency_floor_index(p: Proxies) -> DataFrame:
-    return reports.latency_summary(p.latencies)
+    sketches = store_once(quantile_sketches(p.latencies, ["user_id"], "ms"), "sketches")
+    return reports.latency_summary(p.latencies, sketches=sketches)
 
 
 @query
 def latency_nearest_rank(p: Proxies) -> DataFrame:
-    return _rounded(reports.latency_report(p.latencies), "avg_ms")
+    return _rounded(reports.latency_report(p.latencies, sketches=p.daily_sketches), "avg_ms")
 
 
 @query
 def stored_report(p: Proxies) -> DataFrame:
     """The report over all measures, written as JSON lines and read back."""
-    report, path = reports.latency_report(p.latencies), new_folder(p.spark, "report")
+    report, path = reports.latency_report(p.latencies, sketches=p.daily_sketches), new_folder(p.spark, "report")
     write_report(report, path)
     return _rounded(p.spark.read.schema(report.schema).json(path), "avg_ms")
 

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.operators.keyed import newest_ratings
+from marquee.operators.quantile_sketch import quantile_sketches
 from marquee.operators.split import split_arithmetic
 from marquee.session import configure, store_once
 from marquee.sources.schemas import EMBEDDING_DIM
@@ -201,3 +202,9 @@ class Proxies:
     def latencies(self) -> DataFrame:
         """Event values read as latency measures."""
         return self.table("events").select(F.col("user_id").cast("int").alias("user_id"), F.col("value").alias("ms"))
+
+    @cached_property
+    def daily_sketches(self) -> DataFrame:
+        """A sketch of each day's measures."""
+        measures = self.table("events").select(F.to_date("ts").alias("day"), F.col("value").alias("ms"))
+        return store_once(quantile_sketches(measures, ["day"], "ms"), "sketches")
