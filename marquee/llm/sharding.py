@@ -31,6 +31,7 @@ FINE = 128
 PARCELS = 8192
 ROW_BYTES = 8
 BUCKET_ROWS = 20_000
+STRETCH = 100_000  # repeats of one row numbered at a time
 
 
 class OpenBins:
@@ -130,9 +131,13 @@ def _numbered(placed: DataFrame) -> DataFrame:
     firsts = per_bucket.select("shard", "bucket", F.coalesce(F.sum("n").over(in_front), F.lit(0)).alias("first"))
     order = Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")
     before = F.coalesce(F.sum("repeats").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (
-        counted.withColumn("before", before)
-        .join(firsts, ["shard", "bucket"])
-        .withColumn("again", F.explode(F.sequence(F.lit(0), (F.col("repeats") - 1).cast("int"))))
-        .withColumn("slot", (F.col("first") + F.col("before") + F.col("again")).cast("long"))
-    )
+    numbered = counted.withColumn("before", before).join(firsts, ["shard", "bucket"])
+    numbered = numbered.withColumn("first", F.col("first") + F.col("before")).drop("before")
+    again = lambda length: F.explode(F.sequence(F.lit(0), (length - 1).cast("int"))).alias("again")
+    columns = ["doc_id", "size", "text_crc32", "shard"]
+    few = numbered.where(F.col("repeats") <= STRETCH).select(*columns, "first", again(F.col("repeats")))
+    # A row that is repeated very often is first cut into stretches, which are dealt to all tasks.
+    stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1, F.lit(STRETCH).cast("long"))).alias("from")
+    many = numbered.where(F.col("repeats") > STRETCH).select(*columns, "first", "repeats", stretch)
+    many = many.repartition("doc_id", "from").select(*columns, (F.col("first") + F.col("from")).alias("first"), again(F.least(F.col("repeats") - F.col("from"), F.lit(STRETCH))))
+    return few.unionByName(many).select(*columns, (F.col("first") + F.col("again")).cast("long").alias("slot"))

@@ -3,6 +3,9 @@
 import zlib
 from collections import defaultdict
 
+import pytest
+
+from marquee.llm import sharding
 from marquee.llm.sharding import OpenBins, best_fit, best_fit_decreasing, pack_shards
 
 
@@ -43,7 +46,9 @@ def test_groups_stay_whole_and_slots_have_no_gaps(spark):
     check(rows, texts, 5)
 
 
-def test_repeated_rows_and_rows_without_an_id(spark):
+@pytest.mark.parametrize("stretch", [100_000, 7])
+def test_repeated_rows_and_rows_without_an_id(spark, monkeypatch, stretch):
+    monkeypatch.setattr(sharding, "STRETCH", stretch)
     docs = spark.createDataFrame([(1, "same")] * 40 + [(None, "n")] * 3 + [(2, "two")], "doc_id long, text string")
     rows = pack_shards(docs, 3).collect()
     assert len(rows) == 44
