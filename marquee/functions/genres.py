@@ -32,15 +32,12 @@ def genre_mask(codes: Column, words: int) -> Column:
     )
 
 
-def common_mask(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x.bitwiseAND(y))
-
-
-def genres_of_mask(mask: Column, dictionary: list[str]) -> Column:
-    """The names of a mask's bits, in the order of the dictionary; none for a null mask."""
-    bits = lambda i: F.call_function("shiftright", F.get(mask, F.floor(i / WORD).cast("int")), (i % WORD).cast("int"))
+def genres_in_mask(codes: Column, mask: Column, dictionary: list[str]) -> Column:
+    """The names of the codes whose bits the mask has, in the order of the codes; none for null codes or a null mask."""
+    bit = lambda c: F.call_function("shiftright", F.get(mask, F.floor(c / WORD).cast("int")), (c % WORD).cast("int"))
     names = F.array(*[F.lit(g) for g in dictionary]).cast("array<string>")
-    return F.filter(names, lambda _, i: F.coalesce(bits(i).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+    held = F.filter(codes, lambda c: F.coalesce(bit(c).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+    return F.coalesce(F.transform(held, lambda c: F.get(names, c)), F.array().cast("array<string>"))
 
 
 def shown_genres(genres: Column, most: int) -> Column:

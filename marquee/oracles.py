@@ -689,3 +689,4 @@ ORACLE["item_overlap"] = _with(
     ) AS pairs GROUP BY user_id""",
 )
 ORACLE["stored_report"] = ORACLE["latency_nearest_rank"]
+ORACLE |= {f"{name}_sketched": ORACLE[name] for name in ("latency_floor_index", "latency_nearest_rank")}

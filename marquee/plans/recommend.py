@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.functions.genres import WORD, common_mask, genre_list, genre_mask, genres_of_mask
+from marquee.functions.genres import WORD, genre_list, genre_mask, genres_in_mask
 from marquee.operators.topk import top_k
 
 
@@ -43,7 +43,7 @@ def genre_masks(movies: DataFrame) -> tuple[list[str], DataFrame]:
     listed = movies.select("movie_id", F.array_distinct(genre_list(F.col("genres"))).alias("names"))
     dictionary = sorted(r[0] for r in listed.select(F.explode("names")).distinct().collect())
     names = F.array(*[F.lit(g) for g in dictionary]).cast("array<string>")
-    codes = F.transform("names", lambda g: (F.array_position(names, g) - 1).cast("int"))
+    codes = F.array_sort(F.transform("names", lambda g: (F.array_position(names, g) - 1).cast("int")))
     coded = listed.select("movie_id", codes.alias("codes"))
     words = max(1, -(-len(dictionary) // WORD))
     return dictionary, coded.withColumn("mask", F.when(F.col("codes").isNotNull(), genre_mask(F.col("codes"), words)))
@@ -71,10 +71,10 @@ def explanations(
         joined = _best_sharing(target, ratings, masks, top_n, threshold)
     else:
         # The liked movies do not depend on the target: cut to top_n before the pairs multiply them.
-        liked = liked_most(ratings, movies, top_n, threshold).join(masks.select("movie_id", "mask"), "movie_id")
+        liked = liked_most(ratings, movies, top_n, threshold).join(masks.select("movie_id", "codes"), "movie_id")
         joined = target.drop("target_codes").join(liked, "user_id")
-    shared = genres_of_mask(common_mask(F.col("mask"), F.col("target_mask")), dictionary).alias("shared_genres")
-    found = joined.select("user_id", "target_id", "position", "movie_id", F.col("rating").cast("double").alias("rating"), "mask", "target_mask")
+    shared = genres_in_mask(F.col("codes"), F.col("target_mask"), dictionary).alias("shared_genres")
+    found = joined.select("user_id", "target_id", "position", "movie_id", F.col("rating").cast("double").alias("rating"), "codes", "target_mask")
     found = found.join(movies.select("movie_id", "title"), "movie_id")
     return found.select("user_id", "target_id", "position", "movie_id", "title", "rating", shared)
 
@@ -86,7 +86,7 @@ def _best_sharing(target: DataFrame, ratings: DataFrame, masks: DataFrame, top_n
     genre are enough to choose from and a long history never meets all the user's targets.
     """
     liked = ratings.filter(F.col("rating") >= threshold).join(masks, "movie_id")
-    by_genre = liked.select("user_id", "movie_id", "rating", "rated_at", "mask", F.explode("codes").alias("genre"))
+    by_genre = liked.select("user_id", "movie_id", "rating", "rated_at", "codes", F.explode("codes").alias("genre"))
     in_genre = Window.partitionBy("user_id", "genre").orderBy(*_best_first())
     best = by_genre.withColumn("_place", F.row_number().over(in_genre)).filter(F.col("_place") <= top_n)
     wanted = target.select("user_id", "target_id", "target_mask", F.explode("target_codes").alias("genre"))

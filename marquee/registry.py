@@ -793,19 +793,31 @@ def health_cards(p: Proxies) -> DataFrame:
 
 @query
 def latency_floor_index(p: Proxies) -> DataFrame:
+    return reports.latency_summary(p.latencies)
+
+
+@query
+def latency_floor_index_sketched(p: Proxies) -> DataFrame:
+    """The same from a sketch for each user."""
     sketches = store_once(quantile_sketches(p.latencies, ["user_id"], "ms"), "sketches")
     return reports.latency_summary(p.latencies, sketches=sketches)
 
 
 @query
 def latency_nearest_rank(p: Proxies) -> DataFrame:
+    return _rounded(reports.latency_report(p.latencies), "avg_ms")
+
+
+@query
+def latency_nearest_rank_sketched(p: Proxies) -> DataFrame:
+    """The same from a sketch for each day."""
     return _rounded(reports.latency_report(p.latencies, sketches=p.daily_sketches), "avg_ms")
 
 
 @query
 def stored_report(p: Proxies) -> DataFrame:
     """The report over all measures, written as JSON lines and read back."""
-    report, path = reports.latency_report(p.latencies, sketches=p.daily_sketches), new_folder(p.spark, "report")
+    report, path = reports.latency_report(p.latencies), new_folder(p.spark, "report")
     write_report(report, path)
     return _rounded(p.spark.read.schema(report.schema).json(path), "avg_ms")
 
