@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -35,3 +35,9 @@ def vector_text(a: Column, dim: int) -> Column:
     return F.when(is_vector(a, dim), text).otherwise(
         F.raise_error(F.lit(f"expected a vector of {dim} numbers")).cast("string")
     )
+
+
+def unbroadcast(vectors: DataFrame) -> DataFrame:
+    """The same rows, joined by a shuffle. Spark counts an array as one element, so its size check takes a table of vectors
+    for a small fraction of what it is, and would send all of it through the driver."""
+    return vectors.hint("merge")

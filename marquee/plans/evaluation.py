@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.functions.ranking import discount, ideal_gain
-from marquee.functions.vectors import dot
+from marquee.functions.vectors import dot, unbroadcast
 from marquee.operators.topk import top_k
 
 RELEVANT_FROM = 4.0
@@ -88,8 +88,8 @@ def mean_metrics(per_user: DataFrame) -> DataFrame:
 
 def predict(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """The model's score for each rating; a user or item without a vector drops the row."""
-    with_user = ratings.join(users.select("user_id", F.col("features").alias("_uf")), "user_id")
-    with_both = with_user.join(items.select("movie_id", F.col("features").alias("_if")), "movie_id")
+    with_user = ratings.join(unbroadcast(users.select("user_id", F.col("features").alias("_uf"))), "user_id")
+    with_both = with_user.join(unbroadcast(items.select("movie_id", F.col("features").alias("_if"))), "movie_id")
     return with_both.select(*ratings.columns, dot(F.col("_uf"), F.col("_if")).alias("prediction"))
 
 

@@ -27,6 +27,13 @@ def test_no_query_pairs_all_rows(spark, with_conf, name):
     assert "NestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["customer_predicted_ratings", "customer_rmse", "similarity_of_pairs"])
+def test_tables_of_vectors_do_not_pass_through_the_driver(spark, with_conf, name):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="10m")
+    text = plan(QUERIES[name](spark, SF))
+    assert "SortMergeJoin [user_id" in text and "SortMergeJoin [movie_id" in text
+
+
 def test_top_rows_per_user_are_cut_before_the_shuffle(spark):
     p = Proxies(spark, SF)
     for df in (profiles.history(p.ratings, p.movies), profiles.genre_distribution(p.ratings, p.movies)):
