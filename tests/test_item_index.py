@@ -69,6 +69,17 @@ def test_the_share_falls_with_the_items_and_without_structure_stays_below_half(s
     assert 0.2 < loose.cells.share < 0.5
 
 
+def test_a_user_travels_to_each_block_once(spark, tmp_path):
+    """Cells that a user asks for share its journey: rows follow the blocks, not the cells."""
+    rng = np.random.default_rng(9)
+    items, users = (vectors(spark, rng.normal(size=(n, 16)).astype(np.float32), name) for n, name in ((1200, "movie_id"), (60, "user_id")))
+    built = ItemIndex.build(items, f"{tmp_path}/loose", items_per_cell=500)
+    probes = built.probes(users)
+    assert len(built.cells.items) > 60 and probes.count() <= 60 * 8
+    assert built.asked_pairs(probes) >= 60 * 1200 * built.cells.share
+    assert rows(built.exact(users, 10, users_per_cell=7)) == rows(top_k(users, items, 10))
+
+
 def test_read_again_and_sorted_by_cell(spark, tables, index):
     again = ItemIndex(spark, index.path)
     assert rows(again.search(tables[0], 3)) == rows(index.search(tables[0], 3))
