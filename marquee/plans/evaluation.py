@@ -6,13 +6,18 @@ long history is then many rows that spread over the cluster.
 
 from __future__ import annotations
 
+from math import ceil, sqrt
+
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.functions.ranking import discount, ideal_gain
-from marquee.functions.vectors import dot, unbroadcast
+from marquee.functions.vectors import cosine_similarity, dot, norm, unbroadcast
 from marquee.operators.topk import top_k
+from marquee.session import store_once
 
 RELEVANT_FROM = 4.0
+# Far more than the rounding errors of a score, as a share of the lengths of its two vectors.
+_ROUNDING = 1e-9
 # Ids in one chunk of a stored item set.
 SET_WIDTH = 65_536
 
@@ -47,6 +52,45 @@ def ranked_for_evaluation(
     return top_k(asked, items, k, metric, exclude=seen, sized_by=users)
 
 
+def contenders(
+    users: DataFrame,
+    items: DataFrame,
+    train: DataFrame,
+    relevant: DataFrame,
+    k: int = 10,
+    metric: str = "dot",
+    probed: int | None = None,
+) -> DataFrame:
+    """The users that may have a relevant item among their k best unseen ones, with their vectors; no user with a hit is lost.
+
+    Each user is ranked on about ``probed`` of the items, the same for all. A relevant item whose score lies below that of
+    k unseen items among these is not among the k best of all items either, whatever the other items are. Only users with
+    a relevant item for which this is not proven have to be ranked on all items. Where few items make it not worth
+    while, all users are given.
+    """
+    size = items.agg(F.count("*").alias("items"), F.max(norm(F.col("features"))).alias("longest")).first()
+    if probed is None:
+        # Balances the pairs scored here with those left: about k of ``probed`` relevant items are not ruled out.
+        probed = max(1024, ceil(sqrt(10 * k * size["items"])))
+        if 8 * probed > size["items"]:
+            return users
+    some = F.pmod(F.xxhash64(F.lit(k), F.col("movie_id")), F.lit(max(1, size["items"] // probed)).cast("bigint")) == 0
+    asked = users.join(relevant.select("user_id").distinct(), "user_id", "left_semi")
+    best = top_k(asked, items.filter(some), k, metric, exclude=train.select("user_id", "movie_id"), sized_by=users)
+    floor = best.filter(F.col("rank") == k).select("user_id", F.col("score").alias("_floor"))
+    vectors = asked.select("user_id", F.col("features").alias("_uf")).join(floor, "user_id", "left")
+    pairs = relevant.join(unbroadcast(vectors), "user_id")
+    pairs = pairs.join(unbroadcast(items.select("movie_id", F.col("features").alias("_if"))), "movie_id")
+    a, b = F.col("_uf"), F.col("_if")
+    if metric == "cosine":
+        score, slack = cosine_similarity(a, b), F.lit(_ROUNDING)
+    else:
+        score, slack = dot(a, b), norm(a) * F.lit(_ROUNDING * (size["longest"] or 0.0))
+    beaten = F.coalesce(score + slack < F.col("_floor"), F.lit(False))
+    kept = pairs.filter(~beaten).select("user_id").distinct()
+    return store_once(users.join(kept, "user_id", "left_semi"), "contenders")
+
+
 def user_metrics(
     users: DataFrame,
     items: DataFrame,
@@ -60,8 +104,11 @@ def user_metrics(
 
     Precision divides by k even when fewer items were left to recommend.
     """
-    relevant = relevant_pairs(test, items, threshold)
-    ranked = ranked_for_evaluation(users, items, train, relevant, k, metric)
+    relevant = store_once(relevant_pairs(test, items, threshold), "relevant")
+    # A user who is no contender has no hit, so its list is not needed.
+    ranking = contenders(users, items, train, relevant, k, metric)
+    seen = train if ranking is users else train.join(ranking.select("user_id"), "user_id", "left_semi")
+    ranked = ranked_for_evaluation(ranking, items, seen, relevant, k, metric)
     hits = ranked.join(relevant, ["user_id", "movie_id"]).groupBy("user_id").agg(
         F.count("*").alias("hits"), F.sum(discount(F.col("rank"))).alias("gain")
     )

@@ -98,6 +98,30 @@ def test_metrics_agree_with_sorting_by_hand(setting):
     assert any(r["hits"] for r in per_user.values())
 
 
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_only_contenders_are_ranked_on_all_items(setting, spark, metric):
+    users, items, train, _ = setting
+    everyone = users.select("user_id", F.lit(1).alias("movie_id"))
+    ranked = evaluation.ranked_for_evaluation(users, items, train, everyone, 60, metric).collect()
+    rank = {r["user_id"]: 3 if r["user_id"] < 8 else 35 for r in ranked}
+    pairs = [(r["user_id"], r["movie_id"]) for r in ranked if r["rank"] == rank[r["user_id"]]]
+    relevant = spark.createDataFrame(pairs, "user_id int, movie_id int")
+    hit = {u for u, _ in pairs if u < 8}
+    kept = {r["user_id"] for r in evaluation.contenders(users, items, train, relevant, 3, metric, probed=20).collect()}
+    assert len(hit) == 7 and hit <= kept and len(kept) < 20
+
+
+def test_ties_and_short_lists_stay_contenders(spark):
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "user_id int, features array<float>")
+    items = spark.createDataFrame([(i, [0.1, float(i)]) for i in range(40)], "movie_id int, features array<float>")
+    train = spark.createDataFrame([], RATING)
+    relevant = spark.createDataFrame([(1, 39), (2, 39)], "user_id int, movie_id int")
+    for k in (3, 30):
+        for metric in ("dot", "cosine"):
+            kept = {r["user_id"] for r in evaluation.contenders(users, items, train, relevant, k, metric, probed=10).collect()}
+            assert kept == ({1, 2} if metric == "dot" or k == 30 else {2})
+
+
 def test_metrics_agree_with_mllib(setting):
     users, items, train, test = setting
     relevant = evaluation.relevant_pairs(test, items)
