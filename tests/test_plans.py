@@ -164,3 +164,16 @@ def test_a_few_users_go_to_the_items(spark):
     found = sorted(map(tuple, top_k(few, p.movie_factors, 10).collect()))
     assert found == sorted(tuple(r) for r in top_k(p.user_factors, p.movie_factors, 10).collect() if r["user_id"] < 5)
     assert top_k(p.user_factors.filter("user_id < 0"), p.movie_factors, 10).count() == 0
+
+
+def test_genres_are_shuffled_before_they_are_counted(spark):
+    """A task ahead of the shuffle would hold nearly every row as a group of its own."""
+    ratings = spark.createDataFrame([(1, 1, 4.0), (1, 2, None), (2, 1, 3.5)], "user_id int, movie_id int, rating double")
+    movies = spark.createDataFrame([(1, "a|b"), (2, "a")], "movie_id int, genres string")
+    counted = profiles.genre_profile(ratings, movies)
+    lines = counted._jdf.queryExecution().sparkPlan().toString().splitlines()
+    steps = [line.strip(" :+-").split(" ")[0].split("(")[0] for line in lines]
+    above = steps[: steps.index("Generate")]
+    assert "Exchange" in above and "HashAggregate" not in above[above.index("Exchange") :]
+    found = {(r["user_id"], r["genre"]): (r["movies"], r["scored"], r["tenths"]) for r in counted.collect()}
+    assert found == {(1, "a"): (2, 1, 40), (1, "b"): (1, 1, 40), (1, None): (2, 1, 40), (2, "a"): (1, 1, 35), (2, "b"): (1, 1, 35), (2, None): (1, 1, 35)}
