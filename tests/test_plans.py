@@ -1,5 +1,8 @@
 """Shapes of physical plans: what must not be in them, and what must."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +11,7 @@ from marquee.operators.topk import top_k
 from marquee.operators.order_stats import nearest_rank, order_statistics
 from marquee.plans import catalog, evaluation, profiles, reports
 from marquee.registry import QUERIES
+from marquee.session import store_once
 from marquee.sources.proxies import Proxies
 
 SF = "/root/testdata/sf0.001"
@@ -177,3 +181,19 @@ def test_genres_are_shuffled_before_they_are_counted(spark):
     assert "Exchange" in above and "HashAggregate" not in above[above.index("Exchange") :]
     found = {(r["user_id"], r["genre"]): (r["movies"], r["scored"], r["tenths"]) for r in counted.collect()}
     assert found == {(1, "a"): (2, 1, 40), (1, "b"): (1, 1, 40), (1, None): (2, 1, 40), (2, "a"): (1, 1, 35), (2, "b"): (1, 1, 35), (2, None): (1, 1, 35)}
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled() -> set[str]:
+        return {name for folder in folders for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    stored = store_once(spark.range(1000).groupBy((F.col("id") % 7).alias("rest")).agg(F.count("*").alias("n")), "counts")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert stored.agg(F.sum("n")).first()[0] == 1000
