@@ -99,3 +99,15 @@ def test_few_and_no_items(spark, tables, tmp_path):
     assert rows(ItemIndex.build(three, f"{tmp_path}/three").exact(users, 5, "dot")) == rows(top_k(users, three, 5, "dot"))
     with pytest.raises(ValueError):
         zero.search(users, 0)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+@pytest.mark.parametrize("users_per_cell", [32768, 5])
+def test_exact_search_leaves_out_what_is_excluded(spark, tables, index, metric, users_per_cell):
+    users, items = tables
+    # What is best for each user, all of a crowd for one, and items there are not.
+    best = top_k(users, items, 14, metric).where("(user_id + rank) % 3 > 0").select("user_id", "movie_id")
+    others = spark.createDataFrame([(6, m) for m in range(1, 400)] + [(9, 5000), (999, 1)], "user_id int, movie_id int")
+    hidden = best.unionByName(others)
+    found = index.exact(users, 10, metric, users_per_cell=users_per_cell, exclude=hidden)
+    assert rows(found) == rows(top_k(users, items, 10, metric, hidden))

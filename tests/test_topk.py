@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions.vectors import cosine_distance, cosine_similarity, dot
-from marquee.operators import topk
+from marquee.operators import item_index, topk
 from marquee.operators.topk import top_k
 
 SCHEMA = "{} int, features array<float>"
@@ -163,3 +163,44 @@ def test_vector_functions(spark):
 
 def clustered(rng, count, centres):
     return (centres[rng.integers(0, len(centres), count)] + 0.08 * rng.normal(size=(count, centres.shape[1]))).astype(np.float32)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+@pytest.mark.parametrize("structured", [True, False])
+def test_many_pairs_go_through_an_index_where_its_bounds_skip_most(spark, monkeypatch, metric, structured):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 16)) if structured else rng.normal(size=(3000, 16))
+    spread = 0.02 if structured else 1.0
+    users = vectors(spark, centres[rng.integers(0, len(centres), 150)] + spread * rng.normal(size=(150, 16)), "user_id")
+    items = vectors(spark, centres[rng.integers(0, len(centres), 2000)] + spread * rng.normal(size=(2000, 16)), "movie_id")
+    seen = top_k(users, items, 6, metric).where("(user_id + rank) % 2 = 0").select("user_id", "movie_id")
+    wanted = [sorted(top_k(users, items, 10, metric, hidden).collect()) for hidden in (None, seen)]
+
+    searched = []
+    exact = item_index.ItemIndex.exact
+    monkeypatch.setattr(item_index.ItemIndex, "exact", lambda *a, **b: searched.append(1) or exact(*a, **b))
+    monkeypatch.setattr(topk, "PAIRS_FOR_INDEX", 1)
+    assert [sorted(top_k(users, items, 10, metric, hidden).collect()) for hidden in (None, seen)] == wanted
+    assert len(searched) == (2 if structured else 0)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+def test_close_scores_are_told_apart_before_pairs_are_scored_one_by_one(monkeypatch, metric):
+    turn = np.linspace(0, 0.02, 3000)
+    items, asked = (np.stack([np.cos(t), np.sin(t), 0.1 * np.ones(len(t))], axis=1) for t in (turn, turn[::600] + 2e-6))
+    items[100] = 0
+    hidden = (np.repeat([0, 4], 20), np.tile(np.arange(1480, 1500), 2))
+    users, items = topk._Side(asked, True), topk._Side(items, metric == "cosine")
+    pairs = []
+    scored = topk._pair_products
+    monkeypatch.setattr(topk, "_pair_products", lambda u, i, row, col: pairs.append(len(row)) or scored(u, i, row, col))
+    row, col, values, rank = topk._best_in_tile(users, items, slice(0, 5), 10, metric, hidden)
+    assert sum(pairs) < 5 * 200
+
+    products = np.einsum("uj,ij->ui", users.exact, items.exact)
+    if metric == "cosine":
+        products /= users.norms[:, None] * np.where(items.norms > 0, items.norms, np.nan)
+    products = np.nan_to_num(products, nan=-2.0)
+    products[hidden] = -np.inf
+    best = [np.lexsort((np.arange(3000), -line))[:10].tolist() for line in products]
+    assert [sorted(col[row == u].tolist()) for u in range(5)] == [sorted(b) for b in best]
