@@ -5,7 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.operators.contracts import (
     MOVIES,
@@ -18,7 +18,7 @@ from marquee.operators.contracts import (
     split_valid,
 )
 from marquee.operators.keyed import upsert
-from marquee.session import remove_folder
+from marquee.session import HASH_JOINS, remove_folder, runtime_option
 from marquee.sources import schemas
 
 
@@ -183,21 +183,23 @@ class Store:
         }
         incoming = {"movies": movies, "ratings": ratings, "user_factors": user_factors, "movie_factors": movie_factors}
         staged: dict[str, DataFrame] = {}
-        for name, df in incoming.items():
-            # Keys are checked on the input: a merge would hide a key that comes twice.
-            loaded = self._stage(version, f"incoming/{name}", df)
-            if not strict and name == "ratings":
-                loaded = self._set_aside(version, loaded, staged["movies"])
-            rules = contracts[name]
-            parents = {"movies": staged["movies"]} if rules.references else None
-            enforce(check(loaded, rules, parents))
+        # Joins, also those of the inputs, sort nothing if each part of a side can be held by a task; larger parts are sorted and merged.
+        with runtime_option(self.spark, HASH_JOINS, "64MB"):
+            for name, df in incoming.items():
+                # Keys are checked on the input: a merge would hide a key that comes twice.
+                loaded = self._stage(version, f"incoming/{name}", df)
+                if not strict and name == "ratings":
+                    loaded = self._set_aside(version, loaded, staged["movies"])
+                rules = contracts[name]
+                parents = {"movies": staged["movies"]} if rules.references else None
+                enforce(check(loaded, rules, parents))
+                if before is not None:
+                    kept = ["loaded_at"] if name.endswith("factors") else []
+                    loaded = upsert(self.read(name, before), loaded, rules.key, kept)
+                self._write(version, name, loaded)
+                staged[name] = self.read(name, version)
             if before is not None:
-                kept = ["loaded_at"] if name.endswith("factors") else []
-                loaded = upsert(self.read(name, before), loaded, rules.key, kept)
-            self._write(version, name, loaded)
-            staged[name] = self.read(name, version)
-        if before is not None:
-            enforce(check(staged["ratings"], RATINGS, {"movies": staged["movies"]}))
+                enforce(check(staged["ratings"], RATINGS, {"movies": staged["movies"]}))
         if not self._claim(number + 1, version):
             raise ContractError(f"another load was published on top of state {number} meanwhile; run this one again")
         return version
@@ -208,9 +210,9 @@ class Store:
 
     def _write(self, version: str, table: str, df: DataFrame) -> None:
         """Store a table ordered by key, so that file statistics serve a lookup by user or movie."""
-        key = _key(table)
+        place = _place(table)
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SERVING[table].fields])
-        typed.repartitionByRange(*key).sortWithinPartitions(*key).write.parquet(self.path(version, table))
+        typed.repartitionByRange(place).sortWithinPartitions(place).write.parquet(self.path(version, table))
 
     def _set_aside(self, version: str, ratings: DataFrame, movies: DataFrame) -> DataFrame:
         """The ratings to publish; the others are stored with the rule they break."""
@@ -221,5 +223,8 @@ class Store:
         return sound.join(known, "movie_id", "left_semi")
 
 
-def _key(table: str) -> list[str]:
-    return [c for c in ("user_id", "movie_id") if c in schemas.SERVING[table].names]
+def _place(table: str) -> Column:
+    """A number that orders rows like their key. Of two ids the first takes the high half: one whole number is sorted by its
+    bits, two columns by comparing rows."""
+    ids = [F.col(c).cast("bigint") for c in ("user_id", "movie_id") if c in schemas.SERVING[table].names]
+    return ids[0] if len(ids) == 1 else F.shiftleft(ids[0], 32).bitwiseOR(ids[1] + (1 << 31))

@@ -4,9 +4,10 @@ import pytest
 
 from marquee.operators.contracts import ContractError
 from marquee.serving import Serving
+from marquee.session import HASH_JOINS
 from marquee.sources import schemas
 from marquee.sources.files import register_views
-from marquee.sources.sinks import Store, serving_factors, serving_movies, serving_ratings
+from marquee.sources.sinks import Store, _place, serving_factors, serving_movies, serving_ratings
 from marquee.sources.synthetic import synthetic_factors
 
 
@@ -220,3 +221,33 @@ def test_an_earlier_state_can_still_be_read(store):
     assert store.read("movies", first).filter("movie_id = 7").first()["title"] == "T"
     store.clean_up()
     assert store.read("ratings").count() == store.read("ratings", first).count() == 50
+
+
+def test_a_publication_joins_large_inputs_without_sorting_them(store, with_conf, monkeypatch):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    before = store.spark.conf.get(HASH_JOINS)
+    plans = {}
+    stage = store._stage
+
+    def seen(version, table, df):
+        df.collect()
+        plans[table] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(version, table, df)
+
+    monkeypatch.setattr(store, "_stage", seen)
+    joined = ratings(store.spark, RATINGS).join(store.spark.range(9).selectExpr("CAST(id AS INT) AS user_id"), "user_id")
+    parts = [factors(store.spark, n, f"{kind}_id") for kind, n in (("user", 2), ("movie", 3))]
+    store.publish(movies(store.spark, MOVIES), joined, *parts, dim=4)
+    assert "ShuffledHashJoin" in plans["incoming/ratings"].split("Initial Plan")[0]
+    assert "SortMergeJoin" not in plans["incoming/ratings"].split("Initial Plan")[0]
+    assert store.read("ratings").count() == 3 and store.spark.conf.get(HASH_JOINS) == before
+
+
+def test_one_number_orders_like_the_key(spark):
+    low, high = -(2**31), 2**31 - 1
+    pairs = [(u, m) for u in (low, -1, 0, 1, high) for m in (low, -1, 0, 1, high)]
+    df = spark.createDataFrame(pairs[::-1], "user_id int, movie_id int")
+    assert dict(df.select(_place("ratings").alias("p")).dtypes) == {"p": "bigint"}
+    assert [tuple(r) for r in df.orderBy(_place("ratings")).collect()] == pairs
+    assert df.select(_place("ratings")).distinct().count() == len(pairs)
+    assert [r["movie_id"] for r in df.select("movie_id").distinct().orderBy(_place("movies")).collect()] == [low, -1, 0, 1, high]
