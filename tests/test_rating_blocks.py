@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from marquee.operators import rating_blocks
+from marquee.operators.fold_in import fold_in
 from marquee.operators.rating_blocks import RatingBlocks, gram_of, rows_of, vector_pages
 from marquee.plans.training import AlsSettings, factor_tables, train_als
 
@@ -64,3 +65,18 @@ def test_a_rating_without_one_of_its_parts_is_refused(ratings, column):
     damaged = ratings.withColumn(column, F.when(F.col("user_id") == 5, None).otherwise(F.col(column)))
     with pytest.raises(Exception, match="(?i)null|number"):
         train_als(damaged, AlsSettings(rank=4, max_iter=1))
+
+
+def test_a_fold_in_neither_joins_nor_shuffles_vectors(spark, ratings, monkeypatch):
+    plans, stored = [], rating_blocks.store_pages
+
+    def store(pages, name):
+        plans.append(pages._jdf.queryExecution().executedPlan().toString())
+        return stored(pages, name)
+
+    monkeypatch.setattr(rating_blocks, "store_pages", store)
+    rng = np.random.default_rng(6)
+    items = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(38)], "movie_id int, features array<double>")
+    users = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(60)], "user_id int, features array<double>")
+    assert fold_in(ratings, items, own=users).where("residual IS NULL").count() == 2
+    assert plans and not [text for text in plans if "Exchange" in text or "Join" in text]
