@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions.genres import WORD, genre_list, genre_mask, genres_in_mask
+from marquee.functions.vectors import unbroadcast
 from marquee.operators.topk import top_k
 
 
@@ -31,7 +32,7 @@ def _best_first() -> list[Column]:
 def liked_most(ratings: DataFrame, movies: DataFrame, top_n: int = 3, threshold: float = 4.0) -> DataFrame:
     """Each user's best rated movies, by id: rating, then newest, then id."""
     best = Window.partitionBy("user_id").orderBy(*_best_first())
-    liked = ratings.filter(F.col("rating") >= threshold).join(movies.select("movie_id"), "movie_id", "left_semi")
+    liked = ratings.filter(F.col("rating") >= threshold).join(unbroadcast(movies.select("movie_id")), "movie_id", "left_semi")
     return liked.withColumn("position", F.row_number().over(best)).filter(F.col("position") <= top_n)
 
 
@@ -64,18 +65,18 @@ def explanations(
     Pairs meet as ids and genre masks; titles and names join the rows that are left.
     """
     dictionary, masks = genre_masks(movies)
-    target = pairs.select("user_id", F.col("movie_id").alias("target_id")).join(
-        masks.select(F.col("movie_id").alias("target_id"), F.col("codes").alias("target_codes"), F.col("mask").alias("target_mask")), "target_id", "left"
-    )
+    wanted = masks.select(F.col("movie_id").alias("target_id"), F.col("codes").alias("target_codes"), F.col("mask").alias("target_mask"))
+    # Like vectors, codes and masks are arrays, of which Spark's size check counts one element.
+    target = pairs.select("user_id", F.col("movie_id").alias("target_id")).join(unbroadcast(wanted), "target_id", "left")
     if require_shared:
         joined = _best_sharing(target, ratings, masks, top_n, threshold)
     else:
         # The liked movies do not depend on the target: cut to top_n before the pairs multiply them.
-        liked = liked_most(ratings, movies, top_n, threshold).join(masks.select("movie_id", "codes"), "movie_id")
+        liked = liked_most(ratings, movies, top_n, threshold).join(unbroadcast(masks.select("movie_id", "codes")), "movie_id")
         joined = target.drop("target_codes").join(liked, "user_id")
     shared = genres_in_mask(F.col("codes"), F.col("target_mask"), dictionary).alias("shared_genres")
     found = joined.select("user_id", "target_id", "position", "movie_id", F.col("rating").cast("double").alias("rating"), "codes", "target_mask")
-    found = found.join(movies.select("movie_id", "title"), "movie_id")
+    found = found.join(unbroadcast(movies.select("movie_id", "title")), "movie_id")
     return found.select("user_id", "target_id", "position", "movie_id", "title", "rating", shared)
 
 
@@ -85,7 +86,7 @@ def _best_sharing(target: DataFrame, ratings: DataFrame, masks: DataFrame, top_n
     Each of them is among the best ``top_n`` of a genre it shares, so that many per user and
     genre are enough to choose from and a long history never meets all the user's targets.
     """
-    liked = ratings.filter(F.col("rating") >= threshold).join(masks, "movie_id")
+    liked = ratings.filter(F.col("rating") >= threshold).join(unbroadcast(masks), "movie_id")
     by_genre = liked.select("user_id", "movie_id", "rating", "rated_at", "codes", F.explode("codes").alias("genre"))
     in_genre = Window.partitionBy("user_id", "genre").orderBy(*_best_first())
     best = by_genre.withColumn("_place", F.row_number().over(in_genre)).filter(F.col("_place") <= top_n)
